@@ -121,24 +121,21 @@ def window_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    base = _Q + np.uint64(2 * seed)
+    base = np.uint64(int(_Q) + 2 * seed)
     if size <= 8:
         total = np.zeros(n, dtype=np.uint64)
         for k, power in enumerate(_powers(base, size)):
             total += words[k : k + n] * power
     else:  # doubling: a window of 2m is two windows of m
-        sums, have, total, at = words, 1, None, 0
-        power = base
+        sums, have, total, done = words, 1, np.zeros(n, dtype=np.uint64), 0
         left = size
         while left:
             if left & 1:
-                part = sums[at : at + n] if total is None else sums[at : at + n] * _power(base, at)
-                total = part.copy() if total is None else total + part
-                at += have
+                total += sums[done : done + n] * _power(base, done)
+                done += have
             left >>= 1
             if left:
-                sums = sums[: len(sums) - have] + sums[have:] * power
-                power = power * power
+                sums = sums[: len(sums) - have] + sums[have:] * _power(base, have)
                 have *= 2
     return mix(total ^ np.uint64(size))
 

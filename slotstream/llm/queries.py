@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.llm import bpe, token_counts, url_filter
+from slotstream.llm import bpe, substring_dedup, token_counts, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -56,10 +56,29 @@ FROM keyed k LEFT JOIN judged j USING (host, path) LEFT JOIN listed l USING (can
 """
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without passages of 50 words or more that an earlier document has, as digests."""
+    kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), words=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50),
+h AS (SELECT s.doc_id, s.pos, sha256(array_to_string(list_slice(d.w, s.pos, s.pos + 49), ' ')) AS h FROM s JOIN d USING (doc_id)),
+f AS (SELECT h, min(doc_id) AS first_doc FROM h GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS i FROM h JOIN f USING (h) WHERE doc_id > first_doc),
+g AS (SELECT doc_id, count(*) AS n, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(g.n, 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, i: g.gone IS NULL OR NOT list_contains(g.gone, i)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op3_url_filters": op3_url_filters, "op7_bpe": op7_bpe}
-ORACLE_SQL = {"op3_url_filters": OP3_SQL}
+QUERIES = {"op1_token_counts": op1_token_counts, "op3_url_filters": op3_url_filters, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe}
+ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL}
