@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.llm import bpe, substring_dedup, token_counts, url_filter
+from slotstream.llm import bpe, mixing, ngram_join, quality_rules, substring_dedup, token_counts, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -22,6 +22,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(lengths, "n_tokens"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under 5-word shingles and a Jaccard similarity of 0.75."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), size=5, percent=75).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 #: The rules of the url list: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: Hosts whose pages make up the list of canonical urls.
@@ -56,6 +61,13 @@ FROM keyed k LEFT JOIN judged j USING (host, path) LEFT JOIN listed l USING (can
 """
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, distances and verdict of every document."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules.judge(documents, quality_rules.references(documents))
+    return judged.drop("text", "lang")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 words or more that an earlier document has, as digests."""
     kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), words=50)
@@ -80,5 +92,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op3_url_filters": op3_url_filters, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phase, block, slot and position of every document, by source weights tempered with the square root."""
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), alpha=0.5)
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
 ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL}
