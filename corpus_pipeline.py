@@ -1,16 +1,58 @@
-"""The corpus pipeline: quality rules, near-duplicate removal, PII surrogates, mixing, BPE encoding."""
+"""The corpus pipeline: quality rules, near-duplicate removal, PII surrogates, mixing, BPE encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. Every stage but the last
+returns the columns of documents; the last adds the token ids. SQL cannot express the near-duplicate search,
+the surrogates and the encoding, so the pipeline is tested against brute force instead.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slotstream.llm import bpe, mixing, ngram_join, pii, quality_rules
+from slotstream.llm.common import bounded, materialize
+from slotstream.llm.queries import PII_KEY, VOCABULARY
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality rules reject."""
+    return quality_rules.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the one with the smallest doc_id, of each component of near copies; rows without doc_id stay."""
+    found = ngram_join.near_duplicates(docs, size=5, percent=75)
+    gone = materialize(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    return docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data and secrets; n_chars follows the new text."""
+    done = pii.replace_entities(docs, PII_KEY, count="_replaced").drop("_replaced")
+    return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else done
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of the mixing schedule, as the order of the written files' rows."""
+    return mixing.mix(docs, alpha=0.5).orderBy("position").select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and number of tokens."""
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY)).withColumn("n_tokens", F.size("token_ids").cast("long"))
+
 
-STAGES = []
+STAGES = [("quality_rules", quality), ("ngram_join", near_duplicates), ("pii", surrogates), ("mixing", mixed), ("bpe", encoded)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"stage-{name}")
     return docs

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.llm import bpe, mixing, ngram_join, quality_rules, substring_dedup, token_counts, url_filter
+from slotstream.llm import bpe, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -92,10 +92,19 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+#: Key of the surrogates in these queries; a production run passes its own secret.
+PII_KEY = b"surrogates of the registered queries"
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of its entities."""
+    return pii.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phase, block, slot and position of every document, by source weights tempered with the square root."""
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), alpha=0.5)
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op10_mixing": op10_mixing}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
 ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL}
