@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.llm import bpe, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, url_filter
+from slotstream.llm import bpe, license_scan, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, topk_search, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -61,6 +61,13 @@ FROM keyed k LEFT JOIN judged j USING (host, path) LEFT JOIN listed l USING (can
 """
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own or inherited licence of every document, filed as source/thousands/hundreds/doc_id.txt."""
+    place = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100), F.concat("doc_id", F.lit(".txt")))
+    scanned = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text")).drop("text")
+    return license_scan.inherit(scanned).withColumn("score", F.round("score", 9)).drop("share")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances and verdict of every document."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -92,6 +99,21 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for every hundredth vector."""
+    return topk_search.search(_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+OP8_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 #: Key of the surrogates in these queries; a production run passes its own secret.
 PII_KEY = b"surrogates of the registered queries"
 
@@ -106,5 +128,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), alpha=0.5)
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
-ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
+ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
