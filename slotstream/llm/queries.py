@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.llm import bpe, license_scan, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, topk_search, url_filter
+from slotstream.llm.common import materialize
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -19,7 +20,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of encoded lengths with suffix sums for every context limit."""
     count = bpe.counter(spark, public_tokenizers.path(VOCABULARY))
     lengths = _table(spark, sf_dir, "documents").select(count("text").alias("n_tokens"))
-    return token_counts.suffix_sums(token_counts.length_histogram(lengths, "n_tokens"))
+    return token_counts.suffix_sums(materialize(token_counts.length_histogram(lengths, "n_tokens"), "histogram"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
