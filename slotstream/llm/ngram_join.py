@@ -4,11 +4,13 @@ A document's set holds its distinct shingles of consecutive words, as 64-bit has
 are one shingle, no words an empty set that is linked with nothing. Two documents are linked if
 100 * |intersection| >= percent * |union|.
 
-1. A fixed-size sketch of shingle counts over all documents gives each shingle a frequency class.
-2. Equal sets are one class of copies, told by a 128-bit digest; only the smallest doc_id of a class goes on.
-3. Order 1 is (frequency class, hash): linked documents share one of the first n - ceil(percent * n / 100) + 1
-   shingles. Order 2 is the ascending and order 3 the descending hash. A candidate must share prefix shingles
-   under order 1 (the index), then under orders 2 and 3; what is left of the intersection is verified exactly.
+1. Equal sets are one class of copies, told by a 128-bit digest; only the smallest doc_id of a class goes on.
+2. All shingles are counted exactly. A shingle of one document alone cannot be shared, so the unshared ones come
+   first in every order used here, and only shared shingles are kept (as 48 bits). A document whose unshared
+   shingles fill its prefix of n - ceil(percent * n / 100) + 1 can have no partner and leaves.
+3. Order 1 is (number of documents, hash), order 2 the ascending and order 3 the descending hash. Linked
+   documents share a shingle of their prefixes under every one of them. Candidates share one under order 1 (the
+   index); intersecting with orders 2 and 3 comes before the exact overlap.
 4. In each list of the index every document is first compared with its neighbour by size and with the first of
    the list. The links found join near copies into components. Then all pairs of a list that are in different
    components are candidates, unless lengths or positions rule them out; so a large group of near copies costs
@@ -22,14 +24,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotstream.llm.common import bounded, materialize, mix, window_hashes, word_hashes
 from slotstream.llm.components import connected_components
 
-CELL_BITS = 20  # the sketch has 2 ** 20 counters whatever the corpus: 4 MB a task, 1 MB of classes broadcast
-CHUNKS = 64
+TOKENS_PER_PARTITION = 1_000_000  # of the exact count; sets the number of partitions from the corpus
+TOKENS_PER_ROW_GROUP = 500_000
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -40,87 +42,92 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(window_hashes(words, min(size, len(words))))
 
 
-def frequency_classes(df: DataFrame, size: int, text: str = "text") -> np.ndarray:
-    """Per cell of the sketch 0, or the binary logarithm of what it holds beyond chance: frequent shingles come last in order 1."""
-    cells, part = 1 << CELL_BITS, (1 << CELL_BITS) // CHUNKS
-
-    def count(batches):
-        total = np.zeros(cells, dtype=np.uint32)
-        held, n = [], 0
-
-        def add():
-            return np.bincount((np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-
-        for batch in batches:
-            for x in batch.column(0):
-                held.append(shingle_set(x.as_py(), size))
-                n += len(held[-1])
-                if n > 1 << 19:
-                    total += add()
-                    held, n = [], 0
-        if held:
-            total += add()
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([total[i * part : (i + 1) * part].tobytes() for i in range(CHUNKS)], pa.binary())], names=["chunk", "counts"])
-
-    def add_up(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column("chunk"), batch.column("counts"), strict=True):
-                have = sums.setdefault(chunk.as_py(), np.zeros(part, dtype=np.uint64))
-                have += np.frombuffer(counts.as_py(), dtype=np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["chunk", "counts"])
-
-    counted = df.select(F.col(text)).mapInArrow(count, "chunk int, counts binary")
-    rows = counted.repartition(CHUNKS, "chunk").mapInArrow(add_up, "chunk int, counts binary").collect()  # 2 ** CELL_BITS numbers
-    total = np.zeros(cells, dtype=np.float64)
-    for chunk, counts in rows:
-        total[chunk * part : (chunk + 1) * part] = np.frombuffer(counts, dtype=np.uint64)
-    mean = total.mean()
-    beyond = total - mean
-    return np.where(beyond > 8 * np.sqrt(mean) + 16, np.log2(np.maximum(beyond, 1)), 0).astype(np.uint8)
-
-
 def _prefix_length(n, percent: int):
-    return n - (percent * n + 99) // 100 + 1
+    return n - F.floor((percent * n + 99) / 100) + 1
 
 
-def _features(df: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, n, digest (d1, d2) and the order-1 prefix of every row."""
-    shared = df.sparkSession.sparkContext.broadcast(classes)
+def _features(df: DataFrame, size: int) -> DataFrame:
+    """doc_id, n and digest (d1, d2) of every row."""
 
     def run(batches):
         for batch in batches:
-            n, d1, d2, prefixes = [], [], [], []
+            n, d1, d2 = [], [], []
             for x in batch.column("text"):
                 tokens = shingle_set(x.as_py(), size)
                 n.append(len(tokens))
-                d1.append(int(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                d2.append(int(mix(tokens ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64)))
-                order = shared.value[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                p = _prefix_length(len(tokens), percent) if len(tokens) else 0
-                prefixes.append(tokens[np.argsort(order, kind="stable")[:p]])
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
-            flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(d1, dtype=np.uint64).view(np.int64)), pa.array(np.array(d2, dtype=np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["doc_id", "n", "d1", "d2", "prefix"],
-            )
+                d1.append(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+                d2.append(mix(tokens ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(d, dtype=np.uint64).view(np.int64)) for d in (d1, d2)]], names=["doc_id", "n", "d1", "d2"])
+
+    return df.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+
+
+def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
+    """doc_id, tokens (shingles that more than one document has) and dfs (how many have each).
+
+    The shuffle carries 6 bytes a shingle and each doc_id once per partition: bytes of many documents make a row.
+    """
+
+    def deal(batches):
+        ids, sets, n = [], [], 0
+
+        def rows():
+            lengths = [len(s) for s in sets]
+            tokens, docs_at = np.concatenate(sets), np.repeat(np.arange(len(ids)), lengths)
+            bucket = (tokens % np.uint64(partitions)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            tokens, docs_at, bucket = tokens[order], docs_at[order], bucket[order]
+            known = np.array(ids, dtype=np.int64)
+            edges = np.flatnonzero(np.diff(bucket)) + 1
+            out = []
+            for a, b in zip([0, *edges], [*edges, len(bucket)], strict=True):
+                part = docs_at[a:b]
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                counts = np.diff(first, append=len(part)).astype(np.uint32)
+                out.append((int(bucket[a]), known[part[first]].tobytes(), counts.tobytes(), (tokens[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((tokens[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()))
+            columns = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "ids", "counts", "low", "high"])
 
-    return df.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, prefix array<long>")
-
-
-def _sets(df: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """doc_id and sorted shingles of the documents in ``ids``."""
-
-    def run(batches):
         for batch in batches:
-            sets = [shingle_set(x.as_py(), size) for x in batch.column("text")]
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], names=["doc_id", "tokens"])
+            for i, x in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                tokens = shingle_set(x.as_py(), size)
+                if len(tokens):
+                    ids.append(i.as_py())
+                    sets.append(tokens)
+                    n += len(tokens)
+                if n >= TOKENS_PER_ROW_GROUP:
+                    yield rows()
+                    ids, sets, n = [], [], 0
+        if n:
+            yield rows()
 
-    return df.join(bounded(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens array<long>")
+    def count(batches):
+        ids, tokens = [], []
+        for batch in batches:
+            for i, c, low, high in zip(*[batch.column(k) for k in ("ids", "counts", "low", "high")], strict=True):
+                ids.append(np.repeat(np.frombuffer(i.as_py(), dtype=np.int64), np.frombuffer(c.as_py(), dtype=np.uint32)))
+                tokens.append(np.frombuffer(low.as_py(), dtype=np.uint32) | (np.frombuffer(high.as_py(), dtype=np.uint16).astype(np.uint64) << np.uint64(32)))
+        if not ids:
+            return
+        ids, tokens = np.concatenate(ids), np.concatenate(tokens)
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        first = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
+        dfs = np.diff(first, append=len(tokens))
+        keep = np.repeat(dfs > 1, dfs)
+        ids, tokens, dfs = ids[order[keep]], tokens[keep], np.repeat(dfs, dfs)[keep]
+        order = np.argsort(ids, kind="stable")
+        ids, tokens, dfs = ids[order], tokens[order].astype(np.int64), dfs[order].astype(np.int32)
+        edges = np.flatnonzero(np.diff(ids)) + 1
+        for a in range(0, len(edges) + 1, 50_000):
+            at = np.array([0, *edges, len(ids)])[a : a + 50_001]
+            if len(at) > 1 and at[-1] > at[0]:
+                lists = [pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(x[at[0] : at[-1]])) for x in (tokens, dfs)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at[:-1]]), *lists], names=["doc_id", "tokens", "dfs"])
+
+    dealt = docs.mapInArrow(deal, "bucket int, ids binary, counts binary, low binary, high binary").repartition(partitions, "bucket")
+    parts = dealt.mapInArrow(count, "doc_id long, tokens array<long>, dfs array<int>")
+    return parts.groupBy("doc_id").agg(F.flatten(F.collect_list("tokens")).alias("tokens"), F.flatten(F.collect_list("dfs")).alias("dfs"))
 
 
 def _fit(na: Column, nb: Column, percent: int) -> Column:
@@ -128,39 +135,44 @@ def _fit(na: Column, nb: Column, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked: filters of orders 2 and 3 first, then the exact overlap."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(right, "b").join(left, "a")
-    na, nb = F.size("ta"), F.size("tb")
-    p = lambda n: F.expr("0") + n - F.floor((percent * n + 99) / 100) + 1
-    low = F.arrays_overlap(F.slice("ta", F.lit(1), p(na).cast("int")), F.slice("tb", F.lit(1), p(nb).cast("int")))
-    high = F.arrays_overlap(F.slice("ta", -p(na).cast("int"), p(na).cast("int")), F.slice("tb", -p(nb).cast("int"), p(nb).cast("int")))
+    """The pairs (a, b) that are linked: orders 2 and 3 first, then the exact overlap. ``sets``: doc_id, n, q, tokens in ascending order."""
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("q").alias("qa"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("tokens").alias("tb"))
+    both = pairs.join(right, "b").join(left, "a").where(_fit(F.col("na"), F.col("nb"), percent))
+    low = F.arrays_overlap(F.slice("ta", F.lit(1), F.col("qa")), F.slice("tb", F.lit(1), F.col("qb")))
+    high = F.arrays_overlap(F.slice("ta", -F.col("qa"), F.col("qa")), F.slice("tb", -F.col("qb"), F.col("qb")))
     shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(_fit(na, nb, percent)).where(low & high).where(100 * shared >= percent * (na + nb - shared)).select("a", "b")
+    return both.where(low & high).where(100 * shared >= percent * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with an equal set) and component_id of every row."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes = frequency_classes(docs, size)
-    features = materialize(_features(docs, classes, size, percent), "features")
+    features = materialize(_features(docs, size), "features")
     named = features.where("doc_id is not null and n > 0")
-    reps = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")), "classes")
-    # copies leave before the index is built
-    copied = named.select("doc_id", "d1", "d2").join(reps.where("copies > 1"), ["d1", "d2"]).where("doc_id <> class_id").select("doc_id", "d1", "d2")
-    index = named.join(bounded(materialize(copied, "copies")), ["doc_id", "d1", "d2"], "left_anti")
-    postings = index.select("doc_id", "n", F.posexplode("prefix").alias("at", "token"))
-
-    from pyspark.sql import Window
-
+    reps = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "classes")
+    # of copies, only the one with the smallest doc_id is indexed
+    copied = named.join(reps.where("copies > 1").select("d1", "d2", "class_id"), ["d1", "d2"]).where("doc_id <> class_id").select("doc_id")
+    copied = materialize(copied.join(reps.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti").distinct(), "copies")
+    total = reps.agg(F.sum("n")).first()[0] or 0
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TOKENS_PER_PARTITION))
+    single = docs.where("doc_id is not null").join(bounded(copied), "doc_id", "left_anti")
+    shared = _shared_tokens(single, size, partitions)
+    lengths = reps.groupBy(F.col("class_id").alias("doc_id")).agg(F.max("n").alias("n"))
+    # the prefix holds the unshared shingles and then the first q shared ones
+    q = F.size("tokens") + _prefix_length(F.col("n"), percent) - F.col("n")
+    sets = shared.join(lengths, "doc_id").withColumn("q", q.cast("int")).where("q > 0")
+    pairs = F.sort_array(F.arrays_zip(F.col("dfs"), F.col("tokens")))
+    sets = materialize(sets.select("doc_id", "n", "q", F.array_sort("tokens").alias("tokens"), F.transform(F.slice(pairs, F.lit(1), F.col("q")), lambda x: x["tokens"]).alias("prefix")), "sets")
+    # places count from the first shared shingle; the unshared ones before it are added
+    unshared = (F.col("n") - F.size("tokens")).alias("unshared")
+    postings = sets.select("doc_id", "n", unshared, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("unshared")).drop("unshared")
     by_size = Window.partitionBy("token").orderBy("n", "doc_id")
     entry = F.struct("doc_id", "n")
     listed = postings.withColumns({"before": F.lag(entry).over(by_size), "after": F.lead(F.lit(1)).over(by_size), "head": F.first(entry).over(by_size.rowsBetween(Window.unboundedPreceding, 0))})
     lists = materialize(listed.where("before is not null or after is not null").drop("after"), "lists")
     near = lists.select("doc_id", "n", F.explode(F.array("before", "head")).alias("other")).where(F.col("other").isNotNull() & (F.col("other.doc_id") != F.col("doc_id")) & _fit(F.col("n"), F.col("other.n"), percent))
     first = materialize(near.select(F.greatest("doc_id", "other.doc_id").alias("a"), F.least("doc_id", "other.doc_id").alias("b")).distinct(), "pairs")
-    sets = materialize(_sets(docs, lists.select("doc_id").distinct(), size), "sets")
     links = materialize(_verified(first, sets, percent), "links")
     # what is still apart within a list: all pairs across components
     labels = materialize(connected_components(links), "labels")
@@ -171,9 +183,9 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))  # no more can be shared from here on
     crossing = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_doc_id") > F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component")) & _fit(F.col("x_n"), F.col("y_n"), percent) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n"))))
     second = crossing.select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(materialize(second, "pairs"), sets, percent))
-    found = materialize(connected_components(links), "labels")
-    out = features.join(reps, ["d1", "d2"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
+    more = materialize(_verified(materialize(second, "pairs"), sets, percent), "links")
+    found = materialize(connected_components(links.unionByName(more)), "labels")
+    out = features.join(reps.drop("n", "copies"), ["d1", "d2"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
     out = out.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.coalesce("component", "class_id")).alias("component_id"))
