@@ -7,6 +7,9 @@ Below the wanted length a window is judged by its anchor: the smallest hash amon
 it. Equal windows have equal anchors, so none is lost, and the shuffle of a level carries about two anchors
 for every wanted window's length of text. The wanted length itself decides with 128-bit hashes.
 
+Copies of a whole text are told by a digest first: their windows all start in the copy with the smallest doc_id,
+so they take no part in the search.
+
 A word goes if a wanted window covers it whose word sequence also starts in a document with a smaller doc_id.
 Null and empty texts have no words. Rows without a doc_id keep their text and are compared with nothing.
 Nothing is removed between rows that share a doc_id. Extra columns of the input are not carried.
@@ -130,21 +133,33 @@ def repeated_windows(docs: DataFrame, words: int = 50, base: int = 25) -> DataFr
     return covered.groupBy(*KEY).agg(F.collect_set("at").alias("starts"))
 
 
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key of the rows whose whole text an earlier document has."""
+    keyed = docs.where("doc_id is not null and text is not null").select(*KEY, F.md5(F.col("text").cast("binary")).alias("digest"))
+    firsts = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc")
+    return keyed.join(firsts, "digest").where("doc_id > first_doc").select(*KEY).distinct()
+
+
 def remove_repeats(df: DataFrame, words: int = 50, base: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text without the repeated passages (words joined by one space), n_words and n_removed of every row."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("row_key"), F.col(text).alias("text"))
-    starts = materialize(repeated_windows(docs, words, base), "starts")
-    ids = bounded(starts.select(*KEY))
-    touched = docs.join(ids, KEY, "left_semi").join(starts, KEY)
-    rest = docs.join(ids, KEY, "left_anti").withColumn("starts", F.lit(None).cast("array<bigint>"))
+    copies = materialize(whole_copies(docs), "copies")
+    single = docs.join(bounded(copies), KEY, "left_anti")
+    starts = repeated_windows(single, words, base)
+    marks = materialize(starts.withColumn("whole", F.lit(False)).unionByName(copies.withColumn("whole", F.lit(True)), allowMissingColumns=True), "marks")
+    ids = bounded(marks.select(*KEY))
+    touched = docs.join(ids, KEY, "left_semi").join(marks, KEY)
+    rest = docs.join(ids, KEY, "left_anti").withColumns({"starts": F.lit(None).cast("array<bigint>"), "whole": F.lit(False)})
 
     def cut(batches):
         for batch in batches:
             texts, n_words, n_removed = [], [], []
-            for x, s in zip(batch.column("text"), batch.column("starts"), strict=True):
+            for x, s, whole in zip(batch.column("text"), batch.column("starts"), batch.column("whole"), strict=True):
                 kept = (x.as_py() or "").encode().split()  # bytes: exactly the six separators
                 n_words.append(len(kept))
-                if s.is_valid:
+                if whole.as_py():
+                    kept = kept if len(kept) < words else []
+                elif s.is_valid:
                     edge = np.zeros(len(kept) + 1, dtype=np.int64)
                     at = np.asarray(s.values)
                     edge[at] += 1
