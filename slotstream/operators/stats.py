@@ -123,7 +123,7 @@ def block_rate_average(rates: DataFrame, ticks: int = 5, seconds: int = 1, chunk
     size = chunk * seconds
     own = F.floor(F.col("tick") / size)
     lent = F.floor((F.col("tick") + (ticks - 1) * seconds) / size)
-    parts = rates.withColumn("_chunk", F.explode(F.array_distinct(F.array(own, lent))))
+    parts = rates.withColumn("_chunk", F.explode(F.sequence(own, lent)))
     window = Window.partitionBy("_chunk").orderBy("tick").rowsBetween(-(ticks - 1), 0)
     return parts.withColumn("average", F.sum("blocks").over(window) / ticks).where(F.col("_chunk") == own).drop("_chunk")
 
