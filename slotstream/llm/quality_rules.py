@@ -1,13 +1,13 @@
 """Quality rules: base counts, and divergence of a document's histograms from its language's reference.
 
-DataFrame functions only. Each document is reduced, in its own row, to a histogram of character classes and a
-histogram of common words. The references are the sums of these histograms over all documents of a language
-that are long enough. A document is kept if its base counts pass and, for both histograms, the Jensen-Shannon
-distance (base 2, square root of the divergence) to the nearest language reference is within the limit.
-Histograms below a minimum length are not judged.
+DataFrame functions only. Each document is reduced, in its own row and once, to base counts, a histogram of
+character classes and a histogram of common words. The references are the sums of these histograms over all
+documents of a language that are long enough. A document is kept if its base counts pass and, for both
+histograms, the Jensen-Shannon distance (base 2, square root of the divergence) to the nearest language reference
+is within the limit. Histograms below a minimum length are not judged.
 
 Null texts have no words. Documents of other or no language add to no reference but are judged like the rest;
-without any reference the histograms pass. Extra columns pass through where the input is kept whole.
+without any reference the histograms pass. ``judge`` carries the key alone, ``keep_good`` all columns.
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotstream.llm.common import SEPARATORS
+from slotstream.llm.common import bounded, materialize
 
-SYMBOLS = "#*$%&|<>"
-#: Character classes; what is left over is the class of all other characters.
-CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", SEPARATORS, ".,;:!?'\"()-", SYMBOLS)
+#: Character classes, after separators; what is left over is the class of all other characters.
+CLASSES = ("[A-Z]+", "[0-9]+", "[.,;:!?'\"()-]+", "[#*$%&|<>]+", "[^\\x00-\\x7F]+")
+SYMBOL_CLASS = 4  # place in the histogram, separators being 0
+SEPARATOR = "[ \t\n\x0b\x0c\r]"
 #: Frequent function words of the languages judged.
 COMMON_WORDS = {
     "de": "der die das und in zu den mit von ist nicht ein eine auf im".split(),
@@ -42,44 +43,67 @@ class Limits:
     min_words: int = 200
 
 
-def _count_of(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def words_of(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text, in order."""
-    return F.array_remove(F.split(F.translate(text, SEPARATORS, " " * len(SEPARATORS)), " "), "")
+    return F.array_remove(F.split(text, SEPARATOR), "")
 
 
-def _histograms(df: DataFrame, text: str) -> DataFrame:
-    """Add _text, _words and the counts per class and per common word (last bin: all others)."""
-    df = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn("_words", words_of(F.col("_text")))
-    counted = [_count_of(F.col("_text"), c) for c in CLASSES]
+def features(df: DataFrame, text: str = "text", lang: str = "lang", *keys: str) -> DataFrame:
+    """The keys, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_chars, classes and common of every row."""
+    df = df.select(*keys, F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    df = df.withColumn("_pieces", F.split("_text", SEPARATOR))
+    df = df.withColumns({"_words": F.array_remove("_pieces", ""), "_chars": F.length("_text"), "_separators": F.size("_pieces") - 1}).drop("_pieces")
+    counted = [F.col("_chars") - F.length(F.regexp_replace("_text", c, "")) for c in CLASSES]
     bins = F.array(*map(F.lit, WORD_BINS))
     hits = F.transform(F.filter("_words", lambda w: w.isin(WORD_BINS)), lambda w: F.array_position(bins, w))
     # with one sentinel per bin, a bin's count is the distance between the sentinels' places in sorted order
-    df = df.withColumns({"_classes": F.array(*counted), "_hits": F.sort_array(F.concat(hits, F.sequence(F.lit(1).cast("long"), F.lit(len(WORD_BINS) + 1).cast("long"))))})
+    sentinels = F.sequence(F.lit(1).cast("long"), F.lit(len(WORD_BINS) + 1).cast("long"))
+    df = df.withColumns({"_classes": F.array("_separators", *counted), "_hits": F.sort_array(F.concat(hits, sentinels))})
     in_class = F.aggregate("_classes", F.lit(0), lambda a, x: a + x)
     found = F.transform(F.sequence(F.lit(1), F.lit(len(WORD_BINS))), lambda b: F.array_position(F.col("_hits"), b + 1) - F.array_position(F.col("_hits"), b) - 1)
-    df = df.withColumns({"_classes": F.concat("_classes", F.array(F.length("_text") - in_class)).cast("array<bigint>"), "_found": found})
-    others = F.size("_words") - F.aggregate("_found", F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumn("_common", F.concat("_found", F.array(others))).drop("_hits", "_found")
+    # positions take as many low bits as the number of words needs; the rest holds the window's hash
+    high = F.call_function("shiftleft", F.lit(-1).cast("long"), F.length(F.bin(F.size("_words"))))
+    df = df.withColumns({"_classes": F.concat("_classes", F.array(F.col("_chars") - in_class)), "_common": found, "_high": high})
+    df = df.withColumn("_sorted", _sorted_windows())
+    same = lambda x, y: x.bitwiseAND(F.col("_high")) == y.bitwiseAND(F.col("_high"))
+    twice = F.filter("_sorted", lambda x, i: F.coalesce(same(x, F.get("_sorted", i + 1)), F.lit(False)) | F.coalesce(same(x, F.get("_sorted", i - 1)), F.lit(False)))
+    df = df.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.bitwise_not(F.col("_high"))))))
+    start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+    covered = F.aggregate("_starts", start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3).cast("long"), p - a["last"])).alias("n")), lambda a: a["n"])
+    df = df.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda line: line.rlike("[^ \t\n\x0b\x0c\r]")))
+    others = F.size("_words") - F.aggregate("_common", F.lit(0).cast("long"), lambda a, x: a + x)
+    return df.select(
+        *keys,
+        "lang",
+        F.size("_words").cast("long").alias("n_words"),
+        (F.col("_chars") - F.col("_separators")).cast("long").alias("word_chars"),
+        F.get("_classes", F.lit(SYMBOL_CLASS)).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        covered.alias("n_repeat_words"),
+        F.col("_chars").cast("long").alias("n_chars"),
+        F.col("_classes").cast("array<bigint>").alias("classes"),
+        F.concat("_common", F.array(others)).alias("common"),
+    )
 
 
-def references(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Class and word shares per language, over all its documents that reach the minimum lengths.
+def _sorted_windows() -> Column:
+    """(hash, position) longs of the 3-word windows in order, where equal windows are neighbours."""
+    n = F.size("_words")
+    window = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(F.col("_high")).bitwiseOR(i.cast("long")))
+    return F.when(n >= 4, F.sort_array(window)).otherwise(F.array().cast("array<bigint>"))
 
-    One row per document and non-empty bin is summed before the shuffle; the driver gets one number per
-    language and bin, at most (languages) x (bins) of them.
+
+def references(counts: DataFrame, limits: Limits = Limits()) -> dict[str, tuple[list[float], list[float]]]:
+    """Class and word shares per language, over all its documents that reach the minimum lengths. ``counts``: ``features``.
+
+    The driver gets one number per language and bin, at most (languages) x (bins) of them.
     """
-    counts = _histograms(df.where(F.col(lang).isin(list(COMMON_WORDS))).select(F.col(text).alias("text"), F.col(lang).alias("lang")), "text")
-    counts = counts.where((F.size("_words") >= limits.min_words) & (F.length("_text") >= limits.min_chars))
-    binned = counts.select("lang", F.posexplode(F.concat("_classes", "_common"))).where("col > 0").groupBy("lang", "pos").agg(F.sum("col").alias("n"))
+    counts = counts.where(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") >= limits.min_words) & (F.col("n_chars") >= limits.min_chars))
+    binned = counts.select("lang", F.posexplode(F.concat("classes", "common"))).where("col > 0").groupBy("lang", "pos").agg(F.sum("col").alias("n"))
+    split = len(CLASSES) + 2
     sums: dict[str, list[int]] = {}
     for row in binned.collect():
-        sums.setdefault(row["lang"], [0] * (len(CLASSES) + 1 + len(WORD_BINS) + 1))[row["pos"]] = row["n"]
-    split = len(CLASSES) + 1
+        sums.setdefault(row["lang"], [0] * (split + len(WORD_BINS) + 1))[row["pos"]] = row["n"]
     return {name: tuple([x / max(1, sum(part)) for x in part] for part in (n[:split], n[split:])) for name, n in sorted(sums.items())}
 
 
@@ -94,41 +118,23 @@ def js_distance(counts: Column, total: Column, reference: list[float]) -> Column
     return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2)))
 
 
-def _repeat_words() -> Column:
-    """Words inside 3-word windows that occur twice or more: equal windows meet after sorting (hash, position) longs."""
-    n = F.size("_words")
-    window = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(F.col("_high")).bitwiseOR(i.cast("long")))
-    return F.when(n >= 4, F.sort_array(window)).otherwise(F.array().cast("array<bigint>"))
-
-
-def judge(df: DataFrame, refs: dict[str, tuple[list[float], list[float]]], limits: Limits = Limits(), text: str = "text") -> DataFrame:
-    """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed, kept."""
-    df = _histograms(df, text)
-    t = F.col("_text")
-    # positions take as many low bits as the number of words needs; the rest holds the window's hash
-    df = df.withColumn("_high", F.call_function("shiftleft", F.lit(-1).cast("long"), F.length(F.bin(F.size("_words")))))
-    df = df.withColumn("_sorted", _repeat_words())
-    same = lambda x, y: x.bitwiseAND(F.col("_high")) == y.bitwiseAND(F.col("_high"))
-    twice = F.filter("_sorted", lambda x, i: F.coalesce(same(x, F.get("_sorted", i + 1)), F.lit(False)) | F.coalesce(same(x, F.get("_sorted", i - 1)), F.lit(False)))
-    df = df.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.bitwise_not(F.col("_high"))))))
-    start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate("_starts", start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3).cast("long"), p - a["last"])).alias("n")), lambda a: a["n"])
-    df = df.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda line: F.length(F.translate(line, SEPARATORS, "")) > 0))
-    df = df.withColumns(
+def verdicts(counts: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``features`` with class_distance, word_distance, base_failed and kept, against the references from the same rows."""
+    refs = references(counts, limits)
+    out = counts.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": (F.length(t) - F.get("_classes", F.lit(3))).cast("long"),
-            "n_symbols": F.get("_classes", F.lit(5)).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": covered,
-            "class_distance": _nearest("_classes", F.length(t), [r[0] for r in refs.values()]),
-            "word_distance": _nearest("_common", F.size("_words"), [r[1] for r in refs.values()]),
+            "class_distance": _nearest("classes", F.col("n_chars"), [r[0] for r in refs.values()]),
+            "word_distance": _nearest("common", F.col("n_words"), [r[1] for r in refs.values()]),
         }
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = ((F.length(t) >= limits.min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > limits.class_distance)) | ((F.col("n_words") >= limits.min_words) & (F.coalesce("word_distance", F.lit(0.0)) > limits.word_distance))
-    df = df.withColumns({"base_failed": failed, "kept": ~failed & ~far})
-    return df.drop("_text", "_words", "_classes", "_common", "_high", "_sorted", "_starts", "_lines")
+    far = ((F.col("n_chars") >= limits.min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > limits.class_distance)) | ((F.col("n_words") >= limits.min_words) & (F.coalesce("word_distance", F.lit(0.0)) > limits.word_distance))
+    return out.withColumns({"base_failed": failed, "kept": ~failed & ~far}).drop("lang", "n_chars", "classes", "common")
+
+
+def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
+    """The key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed and kept of every row."""
+    return verdicts(materialize(features(df, text, lang, key), "features"), limits)
 
 
 def _nearest(counts: str, total: Column, shares: list[list[float]]) -> Column:
@@ -137,11 +143,11 @@ def _nearest(counts: str, total: Column, shares: list[list[float]]) -> Column:
 
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``df`` that pass, with their own columns."""
+    """The rows of ``df`` that pass, with their own columns. The verdict depends on the text alone, so the text's digest is the key."""
     names = [f"c{i}" for i in range(len(df.columns))]  # the input may have columns of any name
-    plain = df.toDF(*names)
     at = dict(zip(df.columns, names, strict=True))
-    refs = references(df, limits, text, lang)
-    return judge(plain, refs, limits, at[text]).where("kept").select(*names).toDF(*df.columns)
-
-
+    body = F.col(at[text])
+    plain = df.toDF(*names).withColumns({"_key": F.xxhash64(body), "_check": F.coalesce(F.octet_length(body), F.lit(-1))})
+    judged = verdicts(materialize(features(plain, at[text], at[lang], "_key", "_check"), "features"), limits)
+    rejected = materialize(judged.where("NOT kept").select("_key", "_check").distinct(), "rejected")
+    return plain.join(bounded(rejected), ["_key", "_check"], "left_anti").select(*names).toDF(*df.columns)

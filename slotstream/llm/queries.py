@@ -71,9 +71,7 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances and verdict of every document."""
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    judged = quality_rules.judge(documents, quality_rules.references(documents))
-    return judged.drop("text", "lang")
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
