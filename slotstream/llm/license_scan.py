@@ -107,7 +107,8 @@ def line_frequencies(files: DataFrame, templates: list[tuple[str, str]], text: s
 
 
 def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.6, text: str = "text") -> DataFrame:
-    """``files`` (without clashing names) with own_license, score and share of each file's own text."""
+    """``files`` with own_license, score and share of each file's own text; existing columns of these names are replaced."""
+    files = files.drop("own_license", "score", "share", "_found")
     templates = TEMPLATES if templates is None else templates
     units, df = line_frequencies(files, templates, text)
     matcher = Matcher(templates, units, df, threshold)
