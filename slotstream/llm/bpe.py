@@ -12,15 +12,18 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from itertools import chain
+from array import array
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = "</w>"
 #: Entries after which a worker's memory of encoded words starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 #: Symbols of a fragment from which merging uses a heap.
 LONG = 64
 NEVER = 1 << 60
@@ -48,7 +51,7 @@ class _Words(dict):
     def __init__(self, model: ForcedBoundaryBpe):
         self.model = model
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.model.word(word if word.isascii() and word.isprintable() else "".join(map(_BYTE_LETTER.__getitem__, word.encode("utf-8"))))
         if len(self) >= CACHE_WORDS:
             self.clear()
@@ -81,25 +84,31 @@ class ForcedBoundaryBpe:
 
     def cut(self, symbols: list[str]) -> list[list[str]]:
         """The fragments between the certain cuts of a word."""
-        joined = self.joined
-        at = [i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False), 1) if pair not in joined]
-        return [symbols[a:b] for a, b in zip([0, *at], [*at, len(symbols)], strict=True)] if at else [symbols]
+        joined, pairs = self.joined, list(zip(symbols, symbols[1:], strict=False))
+        if joined.issuperset(pairs):
+            return [symbols]
+        at = [i for i, pair in enumerate(pairs, 1) if pair not in joined]
+        return [symbols[a:b] for a, b in zip([0, *at], [*at, len(symbols)], strict=True)]
 
     def merge(self, parts: list[str]) -> list[int]:
         """Merge the best-ranked pair of a fragment, leftmost first, until none is left."""
         if len(parts) > LONG:
             return self._merge_long(parts)
         rank, parts = self.ranks.get, parts[:]
-        found = [rank(pair, NEVER) for pair in zip(parts, parts[1:], strict=False)]
-        while found and (best := min(found)) != NEVER:
+        found = list(map(rank, zip(parts, parts[1:], strict=False), repeat(NEVER)))
+        while found:
+            best = min(found)
+            if best == NEVER:
+                break
             i = found.index(best)
-            parts[i] += parts.pop(i + 1)
-            del found[i]
+            parts[i] = merged = parts[i] + parts[i + 1]
+            del parts[i + 1], found[i]
             if i:
-                found[i - 1] = rank((parts[i - 1], parts[i]), NEVER)
+                found[i - 1] = rank((parts[i - 1], merged), NEVER)
             if i < len(found):
-                found[i] = rank((parts[i], parts[i + 1]), NEVER)
-        return [self.vocab[p] for p in parts if p in self.vocab]
+                found[i] = rank((merged, parts[i + 1]), NEVER)
+        vocab = self.vocab
+        return [vocab[p] for p in parts if p in vocab]
 
     def _merge_long(self, fragment: list[str]) -> list[int]:
         """The same with a heap, for fragments of any length."""
@@ -122,25 +131,25 @@ class ForcedBoundaryBpe:
                     heapq.heappush(heap, (r, a, (parts[a], parts[b])))
         return [self.vocab[p] for p in parts if p is not None and p in self.vocab]
 
-    def word(self, letters: str) -> tuple[int, ...]:
-        """Ids of one word, given in the letters that stand for its bytes."""
-        return tuple([i for fragment in self.cut([*letters[:-1], letters[-1] + END]) for i in self.merge(fragment)])
+    def word(self, letters: str) -> bytes:
+        """Ids of one word, given in the letters that stand for its bytes, as 32-bit numbers."""
+        return array("i", [i for fragment in self.cut([*letters[:-1], letters[-1] + END]) for i in self.merge(fragment)]).tobytes()
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit numbers; words that were met before cost one look-up."""
         if not text:
-            return []
+            return b""
         if self.split_special and "<|" in text:
-            parts = [[self.special[p]] if p in self.special else self._plain(p) for p in self.split_special.split(text) if p]
-            return list(chain.from_iterable(parts))
+            parts = (array("i", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in self.split_special.split(text) if p)
+            return b"".join(parts)
         return self._plain(text)
 
-    def _plain(self, text: str) -> list[int]:
-        words = self.words
+    def _plain(self, text: str) -> bytes:
         if _BEYOND_LATIN.search(text):
-            pieces = (p for chunk in _WHITE.split(text) if chunk for p in self._pieces(chunk))
+            pieces = [p for chunk in _WHITE.split(text) if chunk for p in self._pieces(chunk)]
         else:
             pieces = _LATIN_PIECES.findall(text.lower())
-        return list(chain.from_iterable(map(words.__getitem__, pieces)))
+        return b"".join(map(self.words.__getitem__, pieces))
 
     def _pieces(self, chunk: str) -> list[str]:
         if not _BEYOND_LATIN.search(chunk):
@@ -148,8 +157,8 @@ class ForcedBoundaryBpe:
         found = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(chunk))
         return [bytes(map(_LETTER_BYTE.__getitem__, piece)).decode("utf-8") for piece, _ in found]
 
-    def decode(self, ids) -> str:
-        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+    def decode(self, ids: list[int]) -> str:
+        return " ".join([t for t in map(self.tokens.get, ids) if t is not None])
 
 
 def _model(spec: str) -> ForcedBoundaryBpe:
@@ -172,13 +181,10 @@ def encoder(spark: SparkSession, path: str):
 
     @F.arrow_udf("array<int>")
     def encode_texts(texts: pa.Array) -> pa.Array:
-        from array import array
-
-        model, values, offsets = _model(spec.value), array("i"), array("i", [0])
-        for text in texts:
-            values.extend(model.encode(text.as_py()))
-            offsets.append(len(values))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+        model = _model(spec.value)
+        encoded = [model.encode(t) for t in texts.to_pylist()]
+        offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), dtype=np.int32)))
 
     return encode_texts
 
@@ -189,8 +195,9 @@ def decoder(spark: SparkSession, path: str):
 
     @F.arrow_udf("string")
     def decode_ids(ids: pa.Array) -> pa.Array:
-        model = _model(spec.value)
-        return pa.array([model.decode(x.as_py() or ()) for x in ids], pa.string())
+        model, flat = _model(spec.value), ids.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
+        return pa.array([model.decode(flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)], pa.string())
 
     return decode_ids
 
@@ -202,7 +209,7 @@ def counter(spark: SparkSession, path: str):
     @F.arrow_udf("bigint")
     def count_tokens(texts: pa.Array) -> pa.Array:
         model = _model(spec.value)
-        return pa.array([len(model.encode(t.as_py())) for t in texts], pa.int64())
+        return pa.array([len(model.encode(t)) // 4 for t in texts.to_pylist()], pa.int64())
 
     return count_tokens
 
