@@ -116,18 +116,35 @@ def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
         dfs = np.diff(first, append=len(tokens))
         keep = np.repeat(dfs > 1, dfs)
         ids, tokens, dfs = ids[order[keep]], tokens[keep], np.repeat(dfs, dfs)[keep]
+        if len(ids) == 0:
+            return
+        yield packed(ids, tokens, dfs.astype(np.uint32))
+
+    def packed(ids, tokens, dfs):
+        """The same bytes again, dealt by document: a row per receiving partition, not one per document."""
+        bucket = (mix(ids.view(np.uint64)) % np.uint64(partitions)).astype(np.int32)
+        order = np.lexsort((ids, bucket))
+        ids, tokens, dfs, bucket = ids[order], tokens[order], dfs[order], bucket[order]
+        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)]
+        spans = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+        return pa.RecordBatch.from_arrays([pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), *[pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (ids, tokens, dfs)]], names=["bucket", "ids", "tokens", "dfs"])
+
+    def gather(batches):
+        parts = [[np.frombuffer(x.as_py(), dtype=t) for x in batch.column(c)] for batch in batches for c, t in (("ids", np.int64), ("tokens", np.int64), ("dfs", np.uint32))]
+        if not any(parts):
+            return
+        ids, tokens, dfs = (np.concatenate([x for part in parts[k::3] for x in part]) for k in range(3))
         order = np.argsort(ids, kind="stable")
-        ids, tokens, dfs = ids[order], tokens[order].astype(np.int64), dfs[order].astype(np.int32)
-        edges = np.flatnonzero(np.diff(ids)) + 1
-        for a in range(0, len(edges) + 1, 50_000):
-            at = np.array([0, *edges, len(ids)])[a : a + 50_001]
-            if len(at) > 1 and at[-1] > at[0]:
-                lists = [pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(x[at[0] : at[-1]])) for x in (tokens, dfs)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at[:-1]]), *lists], names=["doc_id", "tokens", "dfs"])
+        ids, tokens, dfs = ids[order], tokens[order], dfs[order].astype(np.int32)
+        at = np.array([0, *(np.flatnonzero(np.diff(ids)) + 1), len(ids)])
+        for a in range(0, len(at) - 1, 20_000):
+            cut = at[a : a + 20_001]
+            lists = [pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), pa.array(x[cut[0] : cut[-1]])) for x in (tokens, dfs)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[cut[:-1]]), *lists], names=["doc_id", "tokens", "dfs"])
 
     dealt = docs.mapInArrow(deal, "bucket int, ids binary, counts binary, low binary, high binary").repartition(partitions, "bucket")
-    parts = dealt.mapInArrow(count, "doc_id long, tokens array<long>, dfs array<int>")
-    return parts.groupBy("doc_id").agg(F.flatten(F.collect_list("tokens")).alias("tokens"), F.flatten(F.collect_list("dfs")).alias("dfs"))
+    back = dealt.mapInArrow(count, "bucket int, ids binary, tokens binary, dfs binary").repartition(partitions, "bucket")
+    return back.mapInArrow(gather, "doc_id long, tokens array<long>, dfs array<int>")
 
 
 def _fit(na: Column, nb: Column, percent: int) -> Column:
