@@ -11,8 +11,9 @@ are one shingle, no words an empty set that is linked with nothing. Two document
 3. Order 1 is (number of documents, hash), order 2 the ascending and order 3 the descending hash. Linked
    documents share a shingle of their prefixes under every one of them. Candidates share one under order 1 (the
    index); intersecting with orders 2 and 3 comes before the exact overlap.
-4. In each list of the index every document is first compared with its neighbour by size and with the first of
-   the list. The links found join near copies into components. Then all pairs of a list that are in different
+4. In each list of the index documents stand in order of the mean count of their shingles, so that what most others
+   were copied from comes first. Every document is first compared with the one before it and with the first of the
+   list. The links found join near copies into components. Then all pairs of a list that are in different
    components are candidates, unless lengths or positions rule them out; so a large group of near copies costs
    a number of pairs in proportion to its size, and no link between components is missed.
 
@@ -180,14 +181,15 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     q = F.size("tokens") + _prefix_length(F.col("n"), percent) - F.col("n")
     sets = shared.join(lengths, "doc_id").withColumn("q", q.cast("int")).where("q > 0")
     pairs = F.sort_array(F.arrays_zip(F.col("dfs"), F.col("tokens")))
-    sets = materialize(sets.select("doc_id", "n", "q", F.array_sort("tokens").alias("tokens"), F.transform(F.slice(pairs, F.lit(1), F.col("q")), lambda x: x["tokens"]).alias("prefix")), "sets")
+    central = (F.aggregate("dfs", F.lit(0).cast("long"), lambda a, x: a + x) / F.col("n")).alias("central")
+    sets = materialize(sets.select("doc_id", "n", "q", central, F.array_sort("tokens").alias("tokens"), F.transform(F.slice(pairs, F.lit(1), F.col("q")), lambda x: x["tokens"]).alias("prefix")), "sets")
     # places count from the first shared shingle; the unshared ones before it are added
     unshared = (F.col("n") - F.size("tokens")).alias("unshared")
-    postings = sets.select("doc_id", "n", unshared, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("unshared")).drop("unshared")
-    by_size = Window.partitionBy("token").orderBy("n", "doc_id")
+    postings = sets.select("doc_id", "n", "central", unshared, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("unshared")).drop("unshared")
+    by_place = Window.partitionBy("token").orderBy(F.col("central").desc(), "doc_id")
     entry = F.struct("doc_id", "n")
-    listed = postings.withColumns({"before": F.lag(entry).over(by_size), "after": F.lead(F.lit(1)).over(by_size), "head": F.first(entry).over(by_size.rowsBetween(Window.unboundedPreceding, 0))})
-    lists = materialize(listed.where("before is not null or after is not null").drop("after"), "lists")
+    listed = postings.withColumns({"before": F.lag(entry).over(by_place), "after": F.lead(F.lit(1)).over(by_place), "head": F.first(entry).over(by_place.rowsBetween(Window.unboundedPreceding, 0))})
+    lists = materialize(listed.where("before is not null or after is not null").drop("after", "central"), "lists")
     near = lists.select("doc_id", "n", F.explode(F.array("before", "head")).alias("other")).where(F.col("other").isNotNull() & (F.col("other.doc_id") != F.col("doc_id")) & _fit(F.col("n"), F.col("other.n"), percent))
     first = materialize(near.select(F.greatest("doc_id", "other.doc_id").alias("a"), F.least("doc_id", "other.doc_id").alias("b")).distinct(), "pairs")
     links = materialize(_verified(first, sets, percent), "links")
