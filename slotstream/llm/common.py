@@ -15,6 +15,7 @@ SEPARATORS = " \t\n\x0b\x0c\r"
 
 #: Rows up to which a side of fixed-width keys may be broadcast (16 MB of longs); beyond it, joins shuffle.
 BROADCAST_ROWS = 1_000_000
+_WRITTEN: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -34,16 +35,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete scratch tables made by ``materialize`` that no later plan reads."""
     for table in tables:
-        spark = table.sparkSession
         for uri in {os.path.dirname(name) for name in table.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(table.sparkSession, uri)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables that this driver wrote, once their results have been written elsewhere."""
+    while _WRITTEN:
+        _delete(spark, _WRITTEN.pop())
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

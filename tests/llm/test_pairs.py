@@ -132,6 +132,20 @@ def test_remove_repeats_of_odd_tables(spark):
     assert got == [(-1, 60, 0), (1, 60, 0), (1, 60, 0), (1, 61, 0), (2, 61, 60)]
 
 
+def test_scratch_tables(spark):
+    import os
+
+    common.clear_scratch(spark)
+    a, b = (common.materialize(spark.range(3), name) for name in "ab")
+    paths = [os.path.dirname(t.inputFiles()[0].removeprefix("file:").replace("//", "/")) for t in (a, b)]
+    common.forget(a)
+    assert [os.path.exists(p) for p in paths] == [False, True] and b.count() == 3
+    common.clear_scratch(spark)
+    assert not os.path.exists(paths[1])
+    assert "broadcast" in common.bounded(spark.range(3), 3)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in common.bounded(spark.range(4), 3)._jdf.queryExecution().analyzed().toString().lower()
+
+
 def test_word_hashes_in_segments(monkeypatch):
     text = " ".join(f"wörd{i}\t\x0bX" for i in range(500))
     whole = common.word_hashes(text)
