@@ -12,6 +12,7 @@ from slotstream.functions import project
 from slotstream.operators import adapters, completion, dedup, groups, progress, stats
 from slotstream.sources import sinks, tables
 from slotstream.sources import testdata as td
+from slotstream.streaming import queries as stream_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,3 +587,8 @@ def group_list(spark, d):
 def group_delete(spark, d):
     table = td.consumer_groups(spark, d)
     return groups.delete(table, table.where("committed_offset < 1000"))
+
+
+# ------------------------------------------------------------------ M streams
+QUERIES.update(stream_queries.QUERIES)
+ORACLE_SQL.update({name: _sql(sql) for name, sql in stream_queries.SQL.items()})
