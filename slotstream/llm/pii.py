@@ -30,8 +30,8 @@ SAME_LENGTH = 6
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora")
 _MALE = ("Mr", "Herr", "Monsieur", "Señor")
 _PATTERN = re.compile(
-    r"(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
-    r"|(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
+    r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
+    r"|(?:token|secret|password|passwd|api[_-]?key)[^\S\n]*[=:][^\S\n]*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
     r"|(?<![0-9A-Za-z])(?P<hex>[0-9a-fA-F]{32,128})(?![0-9A-Za-z])"
     r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)"
     r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4})(?!\d)"
@@ -39,7 +39,8 @@ _PATTERN = re.compile(
     r"|\b(?P<title>" + "|".join(_FEMALE + _MALE) + r")\.? (?P<name>[^\W\d_][^\W\d_]+(?: [^\W\d_][^\W\d_]+)?)",
     re.IGNORECASE,
 )
-_HINT = re.compile(r"[0-9@]|" + "|".join(_FEMALE + _MALE), re.IGNORECASE)
+#: Lines without any of these hold no entity.
+_HINT = re.compile(r"[0-9@]|[=:][^\S\n]*[\"']?[A-Za-z0-9+/_=-]{12}|\b(?:" + "|".join(t for title in _FEMALE + _MALE for t in (title, title.upper())) + r")\b")
 #: Syllables by script: stems, and endings of female and male names.
 _SYLLABLES = {
     "latin": ("ba be di do fa ga ka le li ma mi na no pe ra ri sa ta ve zo".split(), ("na", "ria", "ela"), ("no", "rik", "mar")),
@@ -147,17 +148,19 @@ def _render(kind: str, mention: str, canon: str) -> str:
 
 def mentions(text: str | None):
     """(kind, start, end) of every entity in a text, from left to right."""
-    if text and _HINT.search(text):
-        for m in _PATTERN.finditer(text):
+    at = 0
+    for line in (text or "").split("\n"):
+        for m in _PATTERN.finditer(line) if _HINT.search(line) else ():
             kind = "name" if m["name"] else m.lastgroup if m.lastgroup != "sep" else "card"
             start, end = m.span(kind)
             if kind == "name":
-                if not text[start].isupper() or not m["title"][0].isupper():
+                if not line[start].isupper() or not m["title"][0].isupper():
                     continue
                 kind = "f" if m["title"].lower() in [t.lower() for t in _FEMALE] else "m"
-            if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", text[start:end]):
+            if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", line[start:end]):
                 kind = "hex"
-            yield kind, start, end
+            yield kind, at + start, at + end
+        at += len(line) + 1
 
 
 def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, int]:
