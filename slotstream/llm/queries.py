@@ -71,7 +71,39 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances and verdict of every document."""
-    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 9) for c in ("class_distance", "word_distance")})
+
+
+_BINS = ", ".join(f"({i}, '{w}')" for i, w in enumerate(quality_rules.WORD_BINS))
+_CLASS = "length(t) - length(regexp_replace(t, '{}', '', 'g'))"
+_CLASS_COUNTS = ", ".join(_CLASS.format(c.removesuffix("+").replace("'", "''")) for c in (quality_rules.SEPARATOR.encode().decode("unicode_escape"), *quality_rules.CLASSES))
+_LIMITS = quality_rules.Limits()
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, t, [{_CLASS_COUNTS}] AS c FROM d),
+bins(bin, word) AS (VALUES {_BINS}),
+hits AS (SELECT doc_id, bin, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN bins USING (word) GROUP BY ALL),
+classes AS (SELECT doc_id, 'c' AS kind, unnest(range(0, 7)) AS bin, unnest(list_append(c, length(t) - list_sum(c))) AS n FROM c),
+common AS (SELECT d.doc_id, 'w' AS kind, b.bin, coalesce(h.n, 0) AS n FROM d CROSS JOIN bins b LEFT JOIN hits h ON h.doc_id = d.doc_id AND h.bin = b.bin
+  UNION ALL SELECT d.doc_id, 'w', -1, len(w) - coalesce((SELECT sum(n) FROM hits h WHERE h.doc_id = d.doc_id), 0) FROM d),
+counts AS (SELECT * FROM classes UNION ALL SELECT * FROM common),
+shares AS (SELECT doc_id, kind, bin, n, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM counts QUALIFY sum(n) OVER (PARTITION BY doc_id, kind) > 0),
+refs AS (SELECT lang, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM counts JOIN d USING (doc_id)
+  WHERE lang IN ('de', 'en', 'es', 'fr') AND len(w) >= {_LIMITS.min_words} AND length(t) >= {_LIMITS.min_chars} GROUP BY lang, kind, bin),
+js AS (SELECT doc_id, kind, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS x
+  FROM shares JOIN refs USING (kind, bin) GROUP BY doc_id, kind, lang),
+near AS (SELECT doc_id, min(x) FILTER (kind = 'c') AS class_distance, min(x) FILTER (kind = 'w') AS word_distance FROM js GROUP BY doc_id),
+base AS (SELECT d.doc_id, len(w) AS n_words, length(t) - c.c[1] AS word_chars, c.c[5] AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, length(t) AS n_chars,
+  near.class_distance, near.word_distance, len(w) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(w) AS base_failed
+  FROM d JOIN (SELECT doc_id, c FROM c) c USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN near USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(class_distance, 9) AS class_distance, round(word_distance, 9) AS word_distance, base_failed,
+  NOT base_failed AND NOT (n_chars >= {_LIMITS.min_chars} AND coalesce(class_distance, 0) > {_LIMITS.class_distance}) AND NOT (n_words >= {_LIMITS.min_words} AND coalesce(word_distance, 0) > {_LIMITS.word_distance}) AS kept
+FROM base
+"""
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,4 +160,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
-ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
+ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
