@@ -28,6 +28,20 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), size=5, percent=75).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+OP2_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y, k = nx.n AND k = ny.n AS equal FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 75 * (nx.n + ny.n - k)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT a, y FROM reach JOIN links ON x = b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(b) AS component_id, coalesce(least(d.doc_id, min(e.y)), d.doc_id) AS class_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON a = d.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM links WHERE equal GROUP BY x) e ON e.x = d.doc_id
+GROUP BY d.doc_id, n.n
+"""
+
 #: The rules of the url list: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: Hosts whose pages make up the list of canonical urls.
@@ -160,4 +174,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
-ORACLE_SQL = {"op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
+ORACLE_SQL = {"op2_ngram_join": OP2_SQL, "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
