@@ -31,7 +31,7 @@ _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora")
 _MALE = ("Mr", "Herr", "Monsieur", "Señor")
 _PATTERN = re.compile(
     r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
-    r"|(?:token|secret|password|passwd|api[_-]?key)[^\S\n]*[=:][^\S\n]*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
+    r"|(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
     r"|(?<![0-9A-Za-z])(?P<hex>[0-9a-fA-F]{32,128})(?![0-9A-Za-z])"
     r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)"
     r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4})(?!\d)"
@@ -39,8 +39,12 @@ _PATTERN = re.compile(
     r"|\b(?P<title>" + "|".join(_FEMALE + _MALE) + r")\.? (?P<name>[^\W\d_][^\W\d_]+(?: [^\W\d_][^\W\d_]+)?)",
     re.IGNORECASE,
 )
-#: Lines without any of these hold no entity.
-_HINT = re.compile(r"[0-9@]|[=:][^\S\n]*[\"']?[A-Za-z0-9+/_=-]{12}|\b(?:" + "|".join(t for title in _FEMALE + _MALE for t in (title, title.upper())) + r")\b")
+#: Pieces without any of these hold no entity. ASCII letters of either case have four more partners where case is ignored.
+_HINT = re.compile(r"[\d@]|[=:]\s*[\"']?[A-Za-zİıſ\u212a0-9+/_=-]{12}|[a-fA-F0-9]{32}|\b[" + "".join(sorted({t[0] for t in _FEMALE + _MALE})) + r"](?i:" + "|".join(t[1:] for t in _FEMALE + _MALE) + r")\b")
+#: The end of a line that a secret's key or its sign may leave open; no entity passes any other line break.
+_OPEN = re.compile(r"(?:token|secret|password|passwd|api[_-]?key|[=:])\Z", re.IGNORECASE)
+#: What is left of a word in which another entity ended may be an email address.
+_EMAIL_REST = re.compile(_PATTERN.pattern[len(r"(?<![\w.%+-])") : _PATTERN.pattern.index("|(?:token")], re.IGNORECASE)
 #: Syllables by script: stems, and endings of female and male names.
 _SYLLABLES = {
     "latin": ("ba be di do fa ga ka le li ma mi na no pe ra ri sa ta ve zo".split(), ("na", "ria", "ela"), ("no", "rik", "mar")),
@@ -87,7 +91,7 @@ def canonical(kind: str, mention: str) -> str:
     if kind in ("email", "hex"):
         return mention.lower()
     if kind in ("phone", "card"):
-        return re.sub(r"\D", "", mention)
+        return "".join(str(int(c)) for c in mention if c.isdecimal())
     if kind in ("f", "m"):
         return mention.casefold()
     return mention
@@ -137,7 +141,7 @@ def _render(kind: str, mention: str, canon: str) -> str:
     """The canonical surrogate in the manner of the mention."""
     if kind in ("phone", "card"):
         digits = iter(canon)
-        out = "".join(next(digits, "") if c.isdigit() else c for c in mention)
+        out = "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in mention)
         return out + "".join(digits)
     if kind in ("f", "m"):
         return canon.upper() if mention.isupper() else canon.title()
@@ -146,21 +150,44 @@ def _render(kind: str, mention: str, canon: str) -> str:
     return canon
 
 
+def _pieces(text: str):
+    """(start, piece) of the parts of a text between line breaks that no entity passes."""
+    start, at, still_open = 0, 0, False
+    while (end := text.find("\n", at)) >= 0:
+        line = text[at:end].rstrip()
+        if line:
+            still_open = _OPEN.search(line, max(0, len(line) - 8)) is not None
+        at = end + 1
+        if not still_open:
+            yield start, text[start:end]
+            start = at
+    yield start, text[start:]
+
+
+def _matches(piece: str):
+    """The matches of _PATTERN, and email addresses right after another entity."""
+    m = _PATTERN.search(piece)
+    while m:
+        yield m
+        m = _EMAIL_REST.match(piece, m.end()) or _PATTERN.search(piece, m.end())
+
+
 def mentions(text: str | None):
     """(kind, start, end) of every entity in a text, from left to right."""
-    at = 0
-    for line in (text or "").split("\n"):
-        for m in _PATTERN.finditer(line) if _HINT.search(line) else ():
+    for at, piece in _pieces(text or ""):
+        for m in _matches(piece) if _HINT.search(piece) else ():
+            if m.re is _EMAIL_REST:
+                yield "email", at + m.start(), at + m.end()
+                continue
             kind = "name" if m["name"] else m.lastgroup if m.lastgroup != "sep" else "card"
             start, end = m.span(kind)
             if kind == "name":
-                if not line[start].isupper() or not m["title"][0].isupper():
+                if not piece[start].isupper() or not m["title"][0].isupper():
                     continue
                 kind = "f" if m["title"].lower() in [t.lower() for t in _FEMALE] else "m"
-            if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", line[start:end]):
+            if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", piece[start:end]):
                 kind = "hex"
             yield kind, at + start, at + end
-        at += len(line) + 1
 
 
 def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, int]:

@@ -86,6 +86,37 @@ def test_pii(spark):
     assert "Ѐ" <= out[5].rsplit(" ", 1)[1][1] <= "ӿ"
 
 
+#: The expressions of op9 before texts were searched in pieces; the whole text is searched with them.
+WHOLE_TEXT = pii.re.compile(pii._PATTERN.pattern.removeprefix(r"(?<![\w.%+-])"), pii.re.IGNORECASE)
+ODD_PARTS = ["password", "API-KEY", "tokEn", "secret", ":", "=", "\n", "\n", " ", "\t", "\x85", "'", "correct-horse-battery", "abcdefabcdefabcdefabcdefabcdefab", "٤١١١ ١١١١ ١١١١ ١١١١", "+١ (٠١٧) ٥٥٥-٧٧١٣", "4111111111111111", "97.51.17.173", "MRs Keller", "mr. smith", "Señora Ruiz", ".foo@x.org", "a@b.example", "ſecretpaſſword", "K", "x", "-", "."]
+
+
+def whole_text_mentions(text):
+    for m in WHOLE_TEXT.finditer(text):
+        kind = "name" if m["name"] else m.lastgroup if m.lastgroup != "sep" else "card"
+        if kind != "name":
+            a, b = m.span(kind)
+            yield "hex" if kind == "secret" and pii.re.fullmatch("[0-9a-fA-F]{32,128}", text[a:b]) else kind, a, b
+        elif text[m.start("name")].isupper() and m["title"][0].isupper():
+            yield "f" if m["title"].lower() in [t.lower() for t in pii._FEMALE] else "m", *m.span("name")
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(ODD_PARTS), st.text(max_size=3)), max_size=12).map("".join))
+def test_pii_search_in_pieces_finds_what_the_whole_text_holds(text):
+    assert list(pii.mentions(text)) == list(whole_text_mentions(text))
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [("password:\n  correct-horse-battery", "secret", "correct-horse-battery"), ("api_key\n\n= \n'correct-horse-battery'", "secret", "correct-horse-battery"), ("card ٤١١١ ١١١١ ١١١١ ١١١١ x", "card", "٤١١١ ١١١١ ١١١١ ١١١١"),
+     ("call +١ (٠١٧) ٥٥٥-٧٧١٣ x", "phone", "+١ (٠١٧) ٥٥٥-٧٧١٣"), ("key " + "abcdef" * 8, "hex", "abcdef" * 8), ("Dear MRs Keller", "f", "Keller"), ("token=abcdefghijkl.foo@x.org", "email", ".foo@x.org")],
+)
+def test_pii_of_several_lines_other_digits_and_letter_keys(text, kind, found):
+    assert (kind, found) in [(k, text[a:b]) for k, a, b in pii.mentions(text)]
+    assert found not in pii.replace(text, b"k", {})[0]
+
+
 def test_pii_stays_distinct_where_formats_are_scarce(spark):
     """More entities than a two-digit local part can name: surrogates grow, none is shared or real."""
     entities = spark.createDataFrame([("email", f"{i:02d}@x.org") for i in range(100)], "kind string, canon string")
