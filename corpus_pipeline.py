@@ -1,14 +1,14 @@
 """The corpus pipeline: quality rules, near-duplicate removal, PII surrogates, mixing, BPE encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. Every stage but the last
-returns the columns of documents; the last adds the token ids. SQL cannot express the near-duplicate search,
+returns the columns of documents; the last adds the token ids and the position in the mixed order. SQL cannot express the near-duplicate search,
 the surrogates and the encoding, so the pipeline is tested against brute force instead.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotstream.llm import bpe, mixing, ngram_join, pii, quality_rules
@@ -39,9 +39,23 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, alpha=0.5).orderBy("position").select(*docs.columns)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs``, read from a table written in order, with each row's position in it: scans return files in any order.
+
+    Part files are told apart by number; the offsets are one row per file.
+    """
+    rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    number = F.regexp_extract("_file", "^part-(\\d+)", 1).cast("long")
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = materialize(sizes.select("_file", before.alias("_before")), "offsets")
+    found = rows.join(bounded(offsets), "_file").withColumn("position", F.col("_before") + F.col("_index"))
+    return found.select(*[c for c in docs.columns if c != "position"], "position")
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and number of tokens."""
-    return bpe.encode(docs, public_tokenizers.path(VOCABULARY)).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    """The documents with their position in the mixed order, token ids and number of tokens."""
+    return bpe.encode(placed(docs), public_tokenizers.path(VOCABULARY)).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [("quality_rules", quality), ("ngram_join", near_duplicates), ("pii", surrogates), ("mixing", mixed), ("bpe", encoded)]

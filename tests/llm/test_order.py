@@ -110,3 +110,26 @@ def test_pipeline(spark):
     assert order == sorted(order)
     assert all(r["token_ids"] == library_ids(r["text"]) and r["n_tokens"] == len(r["token_ids"]) for r in seen["bpe"])
     assert corpus_pipeline.run(spark, SF).count() == len(seen["bpe"])
+
+
+def test_pipeline_returns_the_mixed_order_of_many_files(spark):
+    """Part files of unequal size come back in another order; the positions tell the schedule's."""
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    texts = ["word " * (rng.choice([1, 1, 400]) + 3 * i) for i in range(300)]
+    docs = documents(spark, texts, ["a", "a", "a", "b", "c"])
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        written = corpus_pipeline.materialize(corpus_pipeline.mixed(spark, docs, SF), "many")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(written.inputFiles()) > 8
+    got = corpus_pipeline.encoded(spark, written, SF).select("doc_id", "position").collect()
+    order = [r.doc_id for r in mixing.mix(docs).orderBy("position").collect()]
+    assert sorted(r.position for r in got) == list(range(300))
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.position)] == order
+    assert [r.doc_id for r in written.select("doc_id").collect()] != order  # what a scan returns
