@@ -17,8 +17,8 @@ from slotstream.llm.queries import PII_KEY, VOCABULARY
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality rules reject."""
-    return quality_rules.keep_good(docs)
+    """Drop the documents that the quality rules reject; words are judged from 50 on, the fewest that pass the base rules."""
+    return quality_rules.keep_good(docs, quality_rules.Limits(judged_words=50))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

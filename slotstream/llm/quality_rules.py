@@ -4,7 +4,7 @@ DataFrame functions only. Each document is reduced, in its own row and once, to
 character classes and a histogram of common words. The references are the sums of these histograms over all
 documents of a language that are long enough. A document is kept if its base counts pass and, for both
 histograms, the Jensen-Shannon distance (base 2, square root of the divergence) to the nearest language reference
-is within the limit. Histograms below a minimum length are not judged.
+is within the limit. Histograms below a minimum length are not judged; it may be lower than the references'.
 
 Null texts have no words. Documents of other or no language add to no reference but are judged like the rest;
 without any reference the histograms pass. ``judge`` carries the key alone, ``keep_good`` all columns.
@@ -41,6 +41,7 @@ class Limits:
     word_distance: float = 0.29
     min_chars: int = 200
     min_words: int = 200
+    judged_words: int | None = None  # words from which a word histogram is judged, where other than for the references
 
 
 def words_of(text: Column) -> Column:
@@ -67,7 +68,13 @@ def features(df: DataFrame, text: str = "text", lang: str = "lang", *keys: str)
     df = df.withColumn("_sorted", _sorted_windows())
     same = lambda x, y: x.bitwiseAND(F.col("_high")) == y.bitwiseAND(F.col("_high"))
     twice = F.filter("_sorted", lambda x, i: F.coalesce(same(x, F.get("_sorted", i + 1)), F.lit(False)) | F.coalesce(same(x, F.get("_sorted", i - 1)), F.lit(False)))
-    df = df.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.bitwise_not(F.col("_high"))))))
+    # the shortened hashes only propose windows; the words decide
+    at = lambda x, k: F.get("_words", (x.bitwiseAND(F.bitwise_not(F.col("_high"))) + k).cast("int"))
+    df = df.withColumn("_twice", twice)
+    proposed = F.transform("_twice", lambda x: F.struct(at(x, 0).alias("a"), at(x, 1).alias("b"), at(x, 2).alias("c"), x.bitwiseAND(F.bitwise_not(F.col("_high"))).alias("p")))
+    df = df.withColumn("_proposed", F.sort_array(proposed))
+    equal = lambda x, i: F.coalesce(F.struct(x["a"], x["b"], x["c"]) == F.struct(*[F.get("_proposed", i)[k] for k in "abc"]), F.lit(False))
+    df = df.withColumn("_starts", F.sort_array(F.transform(F.filter("_proposed", lambda x, i: equal(x, i + 1) | equal(x, i - 1)), lambda x: x["p"])))
     start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate("_starts", start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3).cast("long"), p - a["last"])).alias("n")), lambda a: a["n"])
     df = df.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda line: line.rlike("[^ \t\n\x0b\x0c\r]")))
@@ -86,10 +93,14 @@ def features(df: DataFrame, text: str = "text", lang: str = "lang", *keys: str)
     )
 
 
+def _window_hash(*words: Column) -> Column:
+    return F.xxhash64(*words)
+
+
 def _sorted_windows() -> Column:
-    """(hash, position) longs of the 3-word windows in order, where equal windows are neighbours."""
+    """(hash, position) longs of the 3-word windows in order, where equal windows have equal hashes."""
     n = F.size("_words")
-    window = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(F.col("_high")).bitwiseOR(i.cast("long")))
+    window = F.transform(F.sequence(F.lit(0), n - 3), lambda i: _window_hash(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(F.col("_high")).bitwiseOR(i.cast("long")))
     return F.when(n >= 4, F.sort_array(window)).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -128,7 +139,8 @@ def verdicts(counts: DataFrame, limits: Limits = Limits()) -> DataFrame:
         }
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = ((F.col("n_chars") >= limits.min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > limits.class_distance)) | ((F.col("n_words") >= limits.min_words) & (F.coalesce("word_distance", F.lit(0.0)) > limits.word_distance))
+    judged_words = limits.min_words if limits.judged_words is None else limits.judged_words
+    far = ((F.col("n_chars") >= limits.min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > limits.class_distance)) | ((F.col("n_words") >= judged_words) & (F.coalesce("word_distance", F.lit(0.0)) > limits.word_distance))
     return out.withColumns({"base_failed": failed, "kept": ~failed & ~far}).drop("lang", "n_chars", "classes", "common")
 
 

@@ -179,6 +179,28 @@ def test_quality_rules(spark):
     assert quality_rules.judge(docs.withColumnRenamed("lang", "x").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).where("kept").count() >= 12
 
 
+@pytest.mark.parametrize("hashed", [0, 1])
+def test_repeated_words_do_not_depend_on_the_hash(spark, monkeypatch, hashed):
+    """With hashes that all collide, or collide by first word, the counts stay those of the words."""
+    monkeypatch.setattr(quality_rules, "_window_hash", lambda *w: quality_rules.F.xxhash64(*w[:hashed], quality_rules.F.lit(1)))
+    rng = random.Random(8)
+    texts = [" ".join(prose(rng, n, v)) for n, v in [(3, 1), (4, 1), (60, 3), (60, 6), (200, 9), (300, 400)]] + ["a b c d e f a b c", "a b c d e f g h", None]
+    rows = quality_rules.judge(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r.n_repeat_words for r in rows] == [base_counts(t)[4] for t in texts]
+
+
+def test_short_documents_are_judged_by_their_words(spark):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    common = quality_rules.COMMON_WORDS["en"]
+    def text(n, share):
+        return " ".join(rng.choice(common) if rng.random() < share else x for x in prose(rng, n, 4000))
+    texts = [text(400, 0.5) for _ in range(8)] + [text(n, 0.5) for n in (60, 120, 190)] + [text(n, 0) for n in (60, 120, 190)]
+    kept = corpus_pipeline.quality(spark, documents(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(11))
+
+
 def test_license_scans(spark):
     filler = " ".join(f"word{i}" for i in range(30))
     files = [
