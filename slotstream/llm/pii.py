@@ -10,6 +10,9 @@ of the corpus, is drawn again with the next attempt, until none is left. Later a
 surrogate, so the rounds end even where a format has too few values. Only documents with redrawn entities are
 joined with their attempts.
 
+A name is the capitalised words after a title, with particles and initials; each part has a surrogate by itself, so
+full and short mentions agree, and the parts are replaced without a title too in the texts that hold the name.
+
 Null texts stay null, empty ones empty. Other columns pass through, whatever their names.
 """
 
@@ -29,6 +32,7 @@ SAME_LENGTH = 6
 
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora")
 _MALE = ("Mr", "Herr", "Monsieur", "Señor")
+_FEMALE_TITLES = {t.lower() for t in _FEMALE}
 _PATTERN = re.compile(
     r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
@@ -36,7 +40,7 @@ _PATTERN = re.compile(
     r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)"
     r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4})(?!\d)"
     r"|(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)"
-    r"|\b(?P<title>" + "|".join(_FEMALE + _MALE) + r")\.? (?P<name>[^\W\d_][^\W\d_]+(?: [^\W\d_][^\W\d_]+)?)",
+    r"|\b(?P<title>" + "|".join(_FEMALE + _MALE) + r")\.? (?=[^\W\d_])",
     re.IGNORECASE,
 )
 #: Pieces without any of these hold no entity. ASCII letters of either case have four more partners where case is ignored.
@@ -45,6 +49,13 @@ _HINT = re.compile(r"[\d@]|[=:]\s*[\"']?[A-Za-zİıſ\u212a0-9+/_=-]{12}|[a-fA-F
 _OPEN = re.compile(r"(?:token|secret|password|passwd|api[_-]?key|[=:])\Z", re.IGNORECASE)
 #: What is left of a word in which another entity ended may be an email address.
 _EMAIL_REST = re.compile(_PATTERN.pattern[len(r"(?<![\w.%+-])") : _PATTERN.pattern.index("|(?:token")], re.IGNORECASE)
+#: Words of a name: letters with hyphens and apostrophes within (no possessive), or an initial.
+_NAME_WORD = re.compile(r"[^\W\d_](?=\.)\.?|[^\W\d_]+(?:(?:-|['’](?!s\b))[^\W\d_]+)*")
+#: Small words within names, kept as they are.
+_PARTICLES = re.compile(r"(?:(?:von|van|der|den|de|del|della|di|da|du|la|zu|ter|ten) )+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Words of a name in capitals only, where the end of the name does not show.
+MAX_CAPITAL_WORDS = 3
 #: Syllables by script: stems, and endings of female and male names.
 _SYLLABLES = {
     "latin": ("ba be di do fa ga ka le li ma mi na no pe ra ri sa ta ve zo".split(), ("na", "ria", "ela"), ("no", "rik", "mar")),
@@ -91,7 +102,9 @@ def canonical(kind: str, mention: str) -> str:
     if kind in ("email", "hex"):
         return mention.lower()
     if kind in ("phone", "card"):
-        return "".join(str(int(c)) for c in mention if c.isdecimal())
+        digits = "".join(str(int(c)) for c in mention if c.isdecimal())
+        # numbers without a country code are those of +1
+        return digits[1:] if kind == "phone" and mention[0] == "+" and digits[0] == "1" and len(digits) == 11 else digits
     if kind in ("f", "m"):
         return mention.casefold()
     return mention
@@ -140,7 +153,8 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
 def _render(kind: str, mention: str, canon: str) -> str:
     """The canonical surrogate in the manner of the mention."""
     if kind in ("phone", "card"):
-        digits = iter(canon)
+        code = "1" if kind == "phone" and len(canonical(kind, mention)) < sum(c.isdecimal() for c in mention) else ""
+        digits = iter(code + canon)
         out = "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in mention)
         return out + "".join(digits)
     if kind in ("f", "m"):
@@ -164,30 +178,109 @@ def _pieces(text: str):
     yield start, text[start:]
 
 
-def _matches(piece: str):
-    """The matches of _PATTERN, and email addresses right after another entity."""
+def _name_end(text: str, start: int) -> int:
+    """The end of the capitalised words, initials and particles from ``start`` on; ``start`` where there is no name."""
+    at = end = start
+    words = 0
+    while True:
+        if small := _PARTICLES.match(text, at):
+            at = small.end()
+        m = _NAME_WORD.match(text, at)
+        if not m or not m[0][0].isupper():
+            return end
+        if len(m[0]) == 1:  # a letter alone, which is no initial
+            return end
+        words += 1
+        end = m.end()
+        if text[end : end + 1] != " " or (words >= MAX_CAPITAL_WORDS and text[start:end].isupper()):
+            return end
+        at = end + 1
+
+
+def _name_parts(mention: str):
+    """(start, end) of the parts of a name that have surrogates: its words and what hyphens join, of two letters or more."""
+    for m in _LETTERS.finditer(mention):
+        if len(m[0]) > 1 and m[0][0].isupper():
+            yield m.span()
+
+
+def _entities(piece: str):
+    """(kind, start, end) of the entities of a piece that show by themselves."""
     m = _PATTERN.search(piece)
     while m:
-        yield m
-        m = _EMAIL_REST.match(piece, m.end()) or _PATTERN.search(piece, m.end())
+        at = m.end()
+        if m.re is _EMAIL_REST:
+            yield "email", m.start(), at
+        elif m["title"]:
+            end = _name_end(piece, at) if m["title"][0].isupper() else at
+            if any(True for _ in _name_parts(piece[at:end])):
+                yield "f" if m["title"].lower() in _FEMALE_TITLES else "m", at, end
+                at = end
+        else:
+            kind = m.lastgroup if m.lastgroup != "sep" else "card"
+            start, end = m.span(kind)
+            yield "hex" if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", piece[start:end]) else kind, start, end
+        m = _EMAIL_REST.match(piece, at) or _PATTERN.search(piece, at)
 
 
 def mentions(text: str | None):
-    """(kind, start, end) of every entity in a text, from left to right."""
-    for at, piece in _pieces(text or ""):
-        for m in _matches(piece) if _HINT.search(piece) else ():
-            if m.re is _EMAIL_REST:
-                yield "email", at + m.start(), at + m.end()
-                continue
-            kind = "name" if m["name"] else m.lastgroup if m.lastgroup != "sep" else "card"
-            start, end = m.span(kind)
-            if kind == "name":
-                if not piece[start].isupper() or not m["title"][0].isupper():
-                    continue
-                kind = "f" if m["title"].lower() in [t.lower() for t in _FEMALE] else "m"
-            if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", piece[start:end]):
-                kind = "hex"
-            yield kind, at + start, at + end
+    """(kind, start, end) of every entity in a text, from left to right; of names, also the mentions without a title."""
+    found = [(kind, at + a, at + b) for at, piece in _pieces(text or "") if _HINT.search(piece) for kind, a, b in _entities(piece)]
+    return _with_untitled(text, found) if any(kind in ("f", "m") for kind, *_ in found) else found
+
+
+def _with_untitled(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """``found`` and the capitalised words elsewhere in the text that are parts of its names.
+
+    A part that names of both genders share belongs to the last one before it. Parts seen in capitals only are
+    looked for in capitals only, as such names may include other words.
+    """
+    seen: dict[str, list[tuple[int, str]]] = {}
+    mixed = set()
+    for kind, start, end in found:
+        if kind in ("f", "m"):
+            for a, b in _name_parts(text[start:end]):
+                part = text[start + a : start + b]
+                seen.setdefault(part.casefold(), []).append((start, kind))
+                if not part.isupper():
+                    mixed.add(part.casefold())
+    word = lambda at: 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+    out, free = [], 0
+    for kind, start, end in [*found, ("", len(text), len(text))]:
+        for m in _LETTERS.finditer(text, free, start):
+            part = m[0].casefold()
+            if part in seen and len(m[0]) > 1 and m[0][0].isupper() and (part in mixed or m[0].isupper()) and not word(m.start() - 1) and not word(m.end()):
+                of = next((k for at, k in reversed(seen[part]) if at < m.start()), seen[part][0][1])
+                if out and out[-1][0] == of and out[-1][1] >= free and text[out[-1][2] : m.start()] in (" ", "-"):
+                    out[-1] = (of, out[-1][1], m.end())
+                else:
+                    out.append((of, m.start(), m.end()))
+        if kind:
+            out.append((kind, start, end))
+        free = end
+    return out
+
+
+def keys(kind: str, mention: str) -> list[str]:
+    """The canonical forms that have surrogates: one for a mention, or one for each part of a name."""
+    return [canonical(kind, mention[a:b]) for a, b in _name_parts(mention)] if kind in ("f", "m") else [canonical(kind, mention)]
+
+
+def _replaced(kind: str, mention: str, key: bytes, attempts: dict[tuple[str, str], int]) -> str:
+    if kind not in ("f", "m"):
+        canon = canonical(kind, mention)
+        return _render(kind, mention, surrogate(key, kind, canon, attempts.get((kind, canon), 0)))
+    out, at = [], 0
+    for a, b in _name_parts(mention):
+        canon = canonical(kind, mention[a:b])
+        out += [_initials(mention[at:a], kind, key), _render(kind, mention[a:b], surrogate(key, kind, canon, attempts.get((kind, canon), 0)))]
+        at = b
+    return "".join(out) + _initials(mention[at:], kind, key)
+
+
+def _initials(text: str, kind: str, key: bytes) -> str:
+    """Initials have a keyed letter of their own, which other initials may share."""
+    return re.sub(r"[^\W\d_](?=\.)", lambda m: chr(65 + _Draw(key, kind, "initial", m[0].casefold()).below(26)) if m[0].isupper() else m[0], text)
 
 
 def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, int]:
@@ -195,8 +288,7 @@ def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int])
     out, at, n = [], 0, 0
     for kind, start, end in mentions(text):
         mention = text[start:end]
-        canon = canonical(kind, mention)
-        out += [text[at:start], _render(kind, mention, surrogate(key, kind, canon, attempts.get((kind, canon), 0)))]
+        out += [text[at:start], _replaced(kind, mention, key, attempts)]
         at, n = end, n + 1
     return ("".join(out) + text[at:] if n else text), n
 
@@ -209,7 +301,7 @@ def _found(df: DataFrame) -> DataFrame:
             docs, kinds, canons = [], [], []
             for doc, text in zip(batch.column("doc"), batch.column("text"), strict=True):
                 x = text.as_py()
-                for kind, canon in {(kind, canonical(kind, x[a:b])) for kind, a, b in mentions(x)}:
+                for kind, canon in {(kind, canon) for kind, a, b in mentions(x) for canon in keys(kind, x[a:b])}:
                     docs.append(doc.as_py())
                     kinds.append(kind)
                     canons.append(canon)

@@ -92,13 +92,20 @@ ODD_PARTS = ["password", "API-KEY", "tokEn", "secret", ":", "=", "\n", "\n", " "
 
 
 def whole_text_mentions(text):
-    for m in WHOLE_TEXT.finditer(text):
-        kind = "name" if m["name"] else m.lastgroup if m.lastgroup != "sep" else "card"
-        if kind != "name":
+    m, found = WHOLE_TEXT.search(text), []
+    while m:
+        at = m.end()
+        if m["title"]:
+            end = pii._name_end(text, at) if m["title"][0].isupper() else at
+            if list(pii._name_parts(text[at:end])):
+                found.append(("f" if m["title"].lower() in [t.lower() for t in pii._FEMALE] else "m", at, end))
+                at = end
+        else:
+            kind = m.lastgroup if m.lastgroup != "sep" else "card"
             a, b = m.span(kind)
-            yield "hex" if kind == "secret" and pii.re.fullmatch("[0-9a-fA-F]{32,128}", text[a:b]) else kind, a, b
-        elif text[m.start("name")].isupper() and m["title"][0].isupper():
-            yield "f" if m["title"].lower() in [t.lower() for t in pii._FEMALE] else "m", *m.span("name")
+            found.append(("hex" if kind == "secret" and pii.re.fullmatch("[0-9a-fA-F]{32,128}", text[a:b]) else kind, a, b))
+        m = WHOLE_TEXT.search(text, at)
+    return pii._with_untitled(text, found)
 
 
 @settings(max_examples=500, deadline=None)
@@ -117,6 +124,31 @@ def test_pii_of_several_lines_other_digits_and_letter_keys(text, kind, found):
     assert found not in pii.replace(text, b"k", {})[0]
 
 
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [("Mr. Smith said so. Mr. Smith went.", ["Smith", "Smith"]), ("Mrs. Anna Maria Keller rose. Mrs. Keller sat; Keller and Anna Keller's dog.", ["Anna Maria Keller", "Keller", "Keller", "Anna Keller"]),
+     ("Ms Smith-Jones met Mr. O'Brien and Jones, not Smithers.", ["Smith-Jones", "O'Brien", "Jones"]), ("Frau von der Leyen and Mr. J. R. Tolkien", ["von der Leyen", "J. R. Tolkien"]), ("MRS. KELLER, then Keller; write to Keller@x.org", ["KELLER"]), ("Mr. anna mail@x.org", [])],
+)
+def test_pii_whole_names(text, names):
+    found = [(k, text[a:b]) for k, a, b in pii.mentions(text)]
+    assert [x for k, x in found if k in ("f", "m")] == names
+    new, n = pii.replace(text, b"k", {})
+    assert n == len(found)
+    after = [new[a:b] for k, a, b in pii.mentions(new) if k in ("f", "m")]
+    parts = {}
+    for old, got in zip(names, after, strict=True):
+        for (a, b), (c, d) in zip(pii._name_parts(old), pii._name_parts(got), strict=True):
+            assert parts.setdefault(old[a:b], got[c:d]) == got[c:d] != old[a:b]
+    outside = lambda t, spans: "".join(t[e:s] for e, s in zip([0, *[b for _, _, b in spans]], [*[a for _, a, _ in spans], len(t)], strict=True))
+    assert outside(text, pii.mentions(text)) == outside(new, pii.mentions(new))
+
+
+def test_pii_phone_with_and_without_country_code():
+    new, n = pii.replace("+1 (017) 555-7713 or (017) 555-7713 or +44 (017) 555-7713", b"k", {})
+    a, b, c = new.split(" or ")
+    assert n == 3 and a == f"+1 {b}" and b != "(017) 555-7713" and c.startswith("+44 ") and c[4:] != b
+
+
 def test_pii_stays_distinct_where_formats_are_scarce(spark):
     """More entities than a two-digit local part can name: surrogates grow, none is shared or real."""
     entities = spark.createDataFrame([("email", f"{i:02d}@x.org") for i in range(100)], "kind string, canon string")
