@@ -1,10 +1,16 @@
 """BPE encoding and decoding by forced-boundary splitting.
 
 Byte pairs that occur inside no vocabulary token can never be merged over, so each such pair is a certain cut.
-A word falls apart at its cuts into fragments; every fragment is encoded by itself and the ids are concatenated.
+A word falls apart at its cuts into fragments; fragments are encoded by themselves, many at a time, and the ids
+are concatenated.
 
-Null and empty texts have no ids and decode to the empty string. Extra columns pass through; an existing
-column with an output's name is replaced.
+Texts are encoded in slices of bounded size, cut at white space, where no token ends or begins otherwise. Words
+met before are remembered in two generations of a bounded number of bytes; words of a slice that are new are
+merged together. So a worker's memory follows neither the corpus nor a text's length, but for one run of
+characters without white space.
+
+Null and empty texts have no ids and decode to the empty string. Repeated rows are encoded alike, each by itself.
+Extra columns pass through; an existing column with an output's name is replaced.
 """
 
 from __future__ import annotations
@@ -12,8 +18,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 from array import array
-from itertools import repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +29,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = "</w>"
-#: Entries after which a worker's memory of encoded words starts anew.
-CACHE_WORDS = 1_000_000
+#: Bytes of a worker's memory of encoded words, two generations together.
+CACHE_BYTES = 48 << 20
+#: Of an entry beside its word and ids: two object heads and a place in a dictionary.
+ENTRY_BYTES = 190
+#: Characters encoded, and ids decoded, at a time.
+SLICE_CHARS, SLICE_IDS = 1 << 18, 1 << 18
 #: Symbols of a fragment from which merging uses a heap.
 LONG = 64
-NEVER = 1 << 60
+NEVER = np.int32((1 << 31) - 1)
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Up to U+024F normalization changes nothing but case, and letters and numbers are the ranges below.
 _BEYOND_LATIN = re.compile("[İɐ-\U0010ffff]")
@@ -45,111 +56,181 @@ _BYTE_LETTER = _byte_letters()
 _LETTER_BYTE = {c: b for b, c in _BYTE_LETTER.items()}
 
 
-class _Words(dict):
-    """Ids of the words met so far; starts anew when full."""
-
-    def __init__(self, model: ForcedBoundaryBpe):
-        self.model = model
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.model.word(word if word.isascii() and word.isprintable() else "".join(map(_BYTE_LETTER.__getitem__, word.encode("utf-8"))))
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        if len(word) <= LONG:
-            self[word] = ids
-        return ids
-
-
 class ForcedBoundaryBpe:
-    """One tokenizer file (BPE with word ends, byte-level letters, no decoder) in memory of a worker."""
+    """One tokenizer file (BPE with word ends, byte-level letters, no decoder) in memory of a worker.
+
+    Symbols are numbered: 0 to 255 are the bytes within a word, 256 to 511 those at its end, then what merges make.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         loaded, tokenizer = json.loads(spec), Tokenizer.from_str(spec)
         self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
-        self.vocab = loaded["model"]["vocab"]
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(loaded["model"]["merges"])}
+        vocab = loaded["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in loaded["added_tokens"]}
-        self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special))) + ")") if self.special else None
-        self.joined = {pair for token in self.vocab for symbols in [self.symbols(token)] for pair in zip(symbols, symbols[1:], strict=False)}
-        self.words = _Words(self)
-
-    @staticmethod
-    def symbols(token: str) -> list[str]:
-        if token.endswith(END) and len(token) > len(END):
-            return [*token[: -len(END) - 1], token[-len(END) - 1 :]]
-        return list(token)
-
-    def cut(self, symbols: list[str]) -> list[list[str]]:
-        """The fragments between the certain cuts of a word."""
-        joined, pairs = self.joined, list(zip(symbols, symbols[1:], strict=False))
-        if joined.issuperset(pairs):
-            return [symbols]
-        at = [i for i, pair in enumerate(pairs, 1) if pair not in joined]
-        return [symbols[a:b] for a, b in zip([0, *at], [*at, len(symbols)], strict=True)]
-
-    def merge(self, parts: list[str]) -> list[int]:
-        """Merge the best-ranked pair of a fragment, leftmost first, until none is left."""
-        if len(parts) > LONG:
-            return self._merge_long(parts)
-        rank, parts = self.ranks.get, parts[:]
-        found = list(map(rank, zip(parts, parts[1:], strict=False), repeat(NEVER)))
-        while found:
-            best = min(found)
-            if best == NEVER:
+        letters = [_BYTE_LETTER[b] for b in range(256)]
+        names = {name: i for i, name in enumerate([*letters, *(c + END for c in letters)])}
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in loaded["model"]["merges"]]
+        for left, right in merges:
+            for name in (left, right, left + right):
+                names.setdefault(name, len(names))
+        self.size = len(names)
+        self.ids = np.array([vocab.get(name, -1) for name in names], dtype=np.int32)
+        self.merged = np.array([names[left + right] for left, right in merges], dtype=np.int32)
+        self.ranks = {names[left] * self.size + names[right]: rank for rank, (left, right) in reversed(list(enumerate(merges)))}
+        self.keys = np.array(sorted(self.ranks), dtype=np.int64)
+        self.key_ranks = np.array([self.ranks[k] for k in self.keys.tolist()], dtype=np.int32)
+        self.joined = np.zeros((512, 512), dtype=bool)
+        for token in vocab:
+            inside = [_LETTER_BYTE[c] for c in token.removesuffix(END) if c in _LETTER_BYTE]
+            if token.endswith(END) and inside:
+                inside[-1] += 256
+            self.joined[inside[:-1], inside[1:]] = True
+        tokens = {i: t for t, i in (vocab | self.special).items()}
+        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.young_bytes = 0
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
+
+    def fragments(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols of all words, where their fragments start, and each word's first fragment."""
+        encoded = [w.encode("utf-8") for w in words]
+        ends = np.cumsum([len(w) for w in encoded])
+        symbols = np.frombuffer(b"".join(encoded), dtype=np.uint8).astype(np.int32)
+        symbols[ends - 1] += 256
+        first = np.ones(len(symbols), dtype=bool)
+        first[1:] = ~self.joined[symbols[:-1], symbols[1:]]
+        first[ends[:-1]] = True
+        starts = np.flatnonzero(first)
+        return symbols, starts, np.searchsorted(starts, np.concatenate([[0], ends[:-1]]))
+
+    def merge(self, rows: np.ndarray) -> np.ndarray:
+        """Merge the best-ranked pair of each row, leftmost first, until none is left; rows are filled up with -1."""
+        out, live = np.full_like(rows, -1), np.arange(len(rows))
+        rank = self._rank(rows[:, :-1], rows[:, 1:])
+        while len(live):
+            if rank.shape[1] == 0:
+                out[live, :1] = rows
                 break
-            i = found.index(best)
-            parts[i] = merged = parts[i] + parts[i + 1]
-            del parts[i + 1], found[i]
-            if i:
-                found[i - 1] = rank((parts[i - 1], merged), NEVER)
-            if i < len(found):
-                found[i] = rank((merged, parts[i + 1]), NEVER)
-        vocab = self.vocab
-        return [vocab[p] for p in parts if p in vocab]
-
-    def _merge_long(self, fragment: list[str]) -> list[int]:
-        """The same with a heap, for fragments of any length."""
-        parts: list[str | None] = list(fragment)
-        n = len(parts)
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(live)), at]
+            done = best == NEVER
+            if done.any():
+                out[live[done], : rows.shape[1]] = rows[done]
+                live, rows, rank, at, best = live[~done], rows[~done], rank[~done], at[~done], best[~done]
+                if not len(live):
+                    break
+            n, width = np.arange(len(live)), rows.shape[1] - 1
+            shifted = np.arange(width)[None, :]
+            shifted = shifted + (shifted > at[:, None])
+            rows = np.take_along_axis(rows, shifted, axis=1)
+            rows[n, at] = self.merged[best]
+            shifted = np.arange(width - 1)[None, :]
+            rank = np.take_along_axis(rank, shifted + (shifted >= at[:, None]), axis=1)
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < width - 1)
+            rank[left, at[left] - 1] = self._rank_or_end(rows[left, at[left] - 1], rows[left, at[left]])
+            rank[right, at[right]] = self._rank_or_end(rows[right, at[right]], rows[right, at[right] + 1])
+        return out
+
+    def _rank_or_end(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.where((left < 0) | (right < 0), NEVER, self._rank(left, right))
+
+    def _merge_long(self, fragment: list[int]) -> list[int]:
+        """The same with a heap, for one fragment of any length."""
+        parts: list[int | None] = list(fragment)
+        n, size = len(parts), self.size
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, pair) for i, pair in enumerate(zip(fragment, fragment[1:], strict=False)) if (r := self.ranks.get(pair)) is not None]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(fragment, fragment[1:], strict=False)) if (r := self.ranks.get(a * size + b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != pair[0] or j >= n or parts[j] != pair[1]:
+            if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j] = pair[0] + pair[1], None
+            parts[i], parts[j] = int(self.merged[rank]), None
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := self.ranks.get((parts[a], parts[b]))) is not None:
-                    heapq.heappush(heap, (r, a, (parts[a], parts[b])))
-        return [self.vocab[p] for p in parts if p is not None and p in self.vocab]
+            for x, y in ((before[i], i), (i, after[i])):
+                if x >= 0 and y < n and (r := self.ranks.get(parts[x] * size + parts[y])) is not None:
+                    heapq.heappush(heap, (r, x, parts[x], parts[y]))
+        return [p for p in parts if p is not None]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as 32-bit numbers. Fragments of like length are merged together."""
+        symbols, starts, first = self.fragments(words)
+        lengths = np.diff(starts, append=len(symbols))
+        found = np.full(len(symbols), -1, dtype=np.int32)  # a fragment's ids stand where its symbols stood
+        alone = starts[lengths == 1]
+        found[alone] = self.ids[symbols[alone]]
+        low = 1
+        while low < LONG:
+            group = np.flatnonzero((lengths > low) & (lengths <= 2 * low))
+            low *= 2
+            if len(group):
+                inside = np.arange(low)[None, :] < lengths[group][:, None]
+                at = np.minimum(starts[group][:, None] + np.arange(low), len(symbols) - 1)
+                merged = self._merged(np.where(inside, symbols[at], -1), inside)
+                found[at[inside]] = merged[inside]
+        for f in np.flatnonzero(lengths > LONG):
+            made = self._merge_long(symbols[starts[f] : starts[f] + lengths[f]].tolist())
+            found[starts[f] : starts[f] + len(made)] = self.ids[made]
+        kept = found >= 0
+        ends = np.concatenate([starts[first], [len(symbols)]])
+        offsets = np.concatenate([[0], np.cumsum(kept)])[ends] * 4
+        data, offsets = found[kept].tobytes(), offsets.tolist()
+        return [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+
+    def _merged(self, rows: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        made = self.merge(rows)
+        return np.where((made >= 0) & inside, self.ids[np.maximum(made, 0)], -1)
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Have the ids of all ``pieces`` in the young generation."""
+        wanted = set(pieces)
+        missing = wanted.difference(self.young)
+        if not missing:
+            return
+        if self.young_bytes > CACHE_BYTES // 2:
+            self.old, self.young, self.young_bytes = self.young, {}, 0
+            missing = wanted
+        again = {w: self.old[w] for w in missing if w in self.old}
+        marks = {w: self.ids_of(self.special[w]) for w in self.special if w in missing}
+        new = list(missing.difference(again).difference(marks))
+        again |= marks | dict(zip(new, self.words(new) if new else (), strict=True))
+        self.young |= again
+        self.young_bytes += ENTRY_BYTES * len(again) + sum(map(sys.getsizeof, again)) + sum(map(len, again.values()))
 
-    def word(self, letters: str) -> bytes:
-        """Ids of one word, given in the letters that stand for its bytes, as 32-bit numbers."""
-        return array("i", [i for fragment in self.cut([*letters[:-1], letters[-1] + END]) for i in self.merge(fragment)]).tobytes()
+    @staticmethod
+    def ids_of(*ids: int) -> bytes:
+        return array("i", ids).tobytes()
+
+    def encode_pieces(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of texts given as pieces."""
+        self._learn(p for pieces in texts for p in pieces)
+        return [b"".join(map(self.young.__getitem__, pieces)) for pieces in texts]
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a text as 32-bit numbers; words that were met before cost one look-up."""
-        if not text:
-            return b""
+        """The ids of a text as 32-bit numbers."""
+        return b"".join(x for part in _parts(text) for x in self.encode_pieces([self.pieces(part)]) if part)
+
+    def pieces(self, text: str) -> list[str]:
+        """The words of a text, and its special tokens as they are."""
         if self.split_special and "<|" in text:
-            parts = (array("i", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in self.split_special.split(text) if p)
-            return b"".join(parts)
+            return [p for part in self.split_special.split(text) if part for p in ([part] if part in self.special else self._plain(part))]
         return self._plain(text)
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> list[str]:
         if _BEYOND_LATIN.search(text):
-            pieces = [p for chunk in _WHITE.split(text) if chunk for p in self._pieces(chunk)]
-        else:
-            pieces = _LATIN_PIECES.findall(text.lower())
-        return b"".join(map(self.words.__getitem__, pieces))
+            return [p for chunk in _WHITE.split(text) if chunk for p in self._pieces(chunk)]
+        return _LATIN_PIECES.findall(text.lower())
 
     def _pieces(self, chunk: str) -> list[str]:
         if not _BEYOND_LATIN.search(chunk):
@@ -157,8 +238,43 @@ class ForcedBoundaryBpe:
         found = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(chunk))
         return [bytes(map(_LETTER_BYTE.__getitem__, piece)).decode("utf-8") for piece, _ in found]
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([t for t in map(self.tokens.get, ids) if t is not None])
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The tokens of each list joined by spaces; ids that the vocabulary lacks are passed over, null lists are empty."""
+        known = pc.take(self.tokens, pc.if_else(pc.and_(pc.greater_equal(ids.flatten(), 0), pc.less(ids.flatten(), len(self.tokens))), ids.flatten(), None))
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(), dtype=np.int64)
+        if known.null_count:
+            valid = known.is_valid().to_numpy(zero_copy_only=False)
+            ends, known = np.concatenate([[0], np.cumsum(valid)])[ends], known.drop_null()
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), known), " ")
+
+
+def _parts(text: str | None) -> Iterator[str]:
+    """A text in parts of about SLICE_CHARS, cut before white space."""
+    at, n = 0, len(text or "")
+    while n - at > SLICE_CHARS:
+        white = _WHITE.search(text, at + SLICE_CHARS)
+        if not white:
+            break
+        yield text[at : white.start()]
+        at = white.start()
+    if n:
+        yield text[at:]
+
+
+def _encoded(model: ForcedBoundaryBpe, texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+    """(row, ids) of the parts of all texts, in order; rows without words are left out. Short texts are encoded together."""
+    rows: list[int] = []
+    held: list[list[str]] = []
+    chars = 0
+    for row, text in enumerate(texts):
+        for part in _parts(text.as_py()):
+            rows.append(row)
+            held.append(model.pieces(part))
+            chars += len(part)
+            if chars >= SLICE_CHARS:
+                yield from zip(rows, model.encode_pieces(held), strict=True)
+                rows, held, chars = [], [], 0
+    yield from zip(rows, model.encode_pieces(held), strict=True)
 
 
 def _model(spec: str) -> ForcedBoundaryBpe:
@@ -182,9 +298,11 @@ def encoder(spark: SparkSession, path: str):
     @F.arrow_udf("array<int>")
     def encode_texts(texts: pa.Array) -> pa.Array:
         model = _model(spec.value)
-        encoded = [model.encode(t) for t in texts.to_pylist()]
-        offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), dtype=np.int32)))
+        lengths, data = np.zeros(len(texts) + 1, dtype=np.int64), array("i")
+        for row, ids in _encoded(model, texts):
+            lengths[row + 1] += len(ids) // 4
+            data.frombytes(ids)
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.frombuffer(data, dtype=np.int32)))
 
     return encode_texts
 
@@ -195,9 +313,10 @@ def decoder(spark: SparkSession, path: str):
 
     @F.arrow_udf("string")
     def decode_ids(ids: pa.Array) -> pa.Array:
-        model, flat = _model(spec.value), ids.flatten().to_numpy(zero_copy_only=False).tolist()
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
-        return pa.array([model.decode(flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)], pa.string())
+        model, sizes = _model(spec.value), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // SLICE_IDS)) + 1).tolist(), len(ids)]
+        done = [model.decode(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return decode_ids
 
@@ -209,7 +328,10 @@ def counter(spark: SparkSession, path: str):
     @F.arrow_udf("bigint")
     def count_tokens(texts: pa.Array) -> pa.Array:
         model = _model(spec.value)
-        return pa.array([len(model.encode(t)) // 4 for t in texts.to_pylist()], pa.int64())
+        lengths = np.zeros(len(texts), dtype=np.int64)
+        for row, ids in _encoded(model, texts):
+            lengths[row] += len(ids) // 4
+        return pa.array(lengths)
 
     return count_tokens
 

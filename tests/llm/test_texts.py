@@ -1,6 +1,7 @@
 """BPE, token counts, PII, quality rules, licences and URLs against plain Python."""
 
 import collections
+import hashlib
 import math
 import random
 
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from slotstream.llm import bpe, license_scan, pii, quality_rules, queries, token_counts, url_filter
+from tests.compare import SF
 from tests.llm.helpers import documents, prose, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -39,15 +41,60 @@ def test_bpe_of_any_text(text):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.text(alphabet="abcdeqxzß'.!é", min_size=1, max_size=40))
+@given(st.text(alphabet="abcdeqxzß'.!é", min_size=1, max_size=90))
 def test_cuts_are_certain(word):
-    """No token of the library's result spans a cut, and long fragments merge like short ones."""
-    letters = "".join(map(bpe._BYTE_LETTER.__getitem__, word.encode()))
-    symbols = [*letters[:-1], letters[-1] + bpe.END]
-    parts = MODEL.cut(symbols)
-    assert [s for p in parts for s in p] == symbols
-    assert all((p[-1], q[0]) not in MODEL.joined for p, q in zip(parts, parts[1:], strict=False))
-    assert [i for p in parts for i in MODEL.merge(p)] == [i for p in parts for i in MODEL._merge_long(p)] == MODEL.merge(symbols)
+    """No token of the result spans a cut, and fragments merge alike alone, together and with a heap."""
+    symbols, starts, first = MODEL.fragments([word, "x", word])
+    assert first.tolist()[0] == 0 and len(first) == 3
+    whole = symbols[: len(word.encode())].tolist()
+    starts = starts[starts < len(whole)].tolist()
+    assert not any(MODEL.joined[whole[s - 1], whole[s]] for s in starts[1:])
+    parts = [whole[a:b] for a, b in zip(starts, [*starts[1:], len(whole)], strict=True)]
+    merged = [s for p in parts for s in MODEL._merge_long(p)]
+    assert merged == MODEL._merge_long(whole)
+    assert [np.frombuffer(x, dtype=np.int32).tolist() for x in MODEL.words([word, "x", word])][::2] == [MODEL.ids[merged].tolist()] * 2
+
+
+def test_bpe_with_little_memory(spark, monkeypatch):
+    """Texts in small slices, and a memory that forgets all the time, give the same ids."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 20)
+    model = bpe.ForcedBoundaryBpe(open(PATH, encoding="utf-8").read())
+    texts = [*TEXTS, " ".join(f"wörd{i % 37} ÉTÉ<|endoftext|>{i}" for i in range(300)), "y" * 5000 + " z" * 50, "中文 " * 40]
+    done = {}
+    for row, ids in bpe._encoded(model, bpe.pa.array(texts)):
+        done[row] = done.get(row, b"") + ids
+    for i, text in enumerate(texts):
+        assert np.frombuffer(done.get(i, b""), dtype=np.int32).tolist() == library_ids(text) == np.frombuffer(model.encode(text), dtype=np.int32).tolist()
+    assert model.young_bytes < 20_000 and len(model.young) < 100
+    lists = bpe.pa.array([[353, -1, 10**6], None, [], [354]], bpe.pa.list_(bpe.pa.int32()))
+    assert model.decode(lists).to_pylist() == [LIBRARY.decode([353], skip_special_tokens=False), "", "", LIBRARY.decode([354], skip_special_tokens=False)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def digest_row(i, text):
+    ids = library_ids(text)
+    return i, len(ids), sha(" ".join(map(str, ids))), sha(LIBRARY.decode(ids, skip_special_tokens=False))
+
+
+def test_bpe_digests(spark):
+    texts = [*TEXTS, "tail " * 3000]
+    assert sorted(map(tuple, bpe.digests(documents(spark, texts), PATH).collect())) == [digest_row(i, t) for i, t in enumerate(texts)]
+
+
+def test_queries_of_encoded_lengths(spark):
+    """op7 and op1 over the whole table against the library."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert sorted(map(tuple, queries.op7_bpe(spark, SF).collect())) == sorted(digest_row(r.doc_id, r.text) for r in docs)
+    lengths = [len(library_ids(r.text)) for r in docs]
+    rows = queries.op1_token_counts(spark, SF).collect()
+    assert sorted(r.n_tokens for r in rows) == sorted(set(lengths))
+    for r in rows:
+        over = [n for n in lengths if n >= r.n_tokens]
+        assert (r.n_docs, r.docs_from, r.tokens_from, r.total_docs, r.total_tokens, r.tokens_truncated) == (lengths.count(r.n_tokens), len(over), sum(over), len(lengths), sum(lengths), sum(min(n, r.n_tokens) for n in lengths))
 
 
 @pytest.mark.parametrize("block", [3, 1024])
