@@ -173,5 +173,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), alpha=0.5)
 
 
+OP10_SQL = f"""
+WITH RECURSIVE sizes AS (SELECT coalesce('=' || source, '') AS s, count(*) AS n FROM documents GROUP BY ALL),
+sources AS (SELECT s, w, n // w AS full_rounds, n % w AS rest FROM (SELECT *, greatest(1, CAST(round({mixing.FINEST} * pow(n / (SELECT min(n) FROM sizes), 0.5)) AS BIGINT)) AS w FROM sizes)),
+firsts AS (SELECT r, coalesce(lead(r) OVER (ORDER BY r), last_round) - r AS rounds, row_number() OVER (ORDER BY r) - 1 AS phase FROM (
+  SELECT DISTINCT r, last_round FROM (SELECT 0 AS r UNION ALL SELECT full_rounds FROM sources UNION ALL SELECT full_rounds + 1 FROM sources), (SELECT max(full_rounds + CAST(rest > 0 AS BIGINT)) AS last_round FROM sources) WHERE r < last_round)),
+active AS (SELECT phase, r, rounds, s, CASE WHEN r < full_rounds THEN w ELSE rest END AS c FROM firsts JOIN sources ON r < full_rounds OR (r = full_rounds AND rest > 0)),
+phases AS (SELECT phase, r, rounds, list(s ORDER BY s) AS names, list(c ORDER BY s) AS c, CAST(sum(c) AS BIGINT) AS slots FROM active GROUP BY ALL),
+placed AS (SELECT *, coalesce(CAST(sum(slots * rounds) OVER (ORDER BY phase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS first_slot FROM phases),
+edf(phase, t, names, c, slots, k, chosen) AS (
+  SELECT phase, CAST(-1 AS BIGINT), names, c, slots, [CAST(0 AS BIGINT) FOR x IN c], CAST(0 AS BIGINT) FROM phases
+  UNION ALL
+  SELECT phase, t, names, c, slots, list_transform(range(1, len(c) + 1), lambda j: k[j] + CAST(j = chosen AS BIGINT)), chosen FROM (
+    SELECT phase, t + 1 AS t, names, c, slots, k,
+      list_min([((k[j] + 1) * slots + c[j] - 1) // c[j] * 1000000 + j FOR j IN range(1, len(c) + 1) IF k[j] < c[j] AND k[j] * slots // c[j] <= t + 1]) % 1000000 AS chosen
+    FROM edf WHERE t + 1 < slots)),
+places AS (SELECT phase, t, names[chosen] AS s, row_number() OVER (PARTITION BY phase, chosen ORDER BY t) - 1 AS nth FROM edf WHERE t >= 0),
+numbered AS (SELECT doc_id, source, coalesce('=' || source, '') AS s, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS block FROM documents),
+dealt AS (SELECT d.*, block // w AS round, block % w AS nth FROM numbered d JOIN sources USING (s))
+SELECT doc_id, source, p.phase, block, first_slot + (round - r) * slots + t AS slot, first_slot + (round - r) * slots + t AS position
+FROM dealt d JOIN placed p ON round >= r AND round < r + rounds JOIN places x ON x.phase = p.phase AND x.s = d.s AND x.nth = d.nth
+"""
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
-ORACLE_SQL = {"op2_ngram_join": OP2_SQL, "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL}
+ORACLE_SQL = {"op2_ngram_join": OP2_SQL, "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL, "op10_mixing": OP10_SQL}

@@ -1,6 +1,8 @@
 """Mixing, top-k search and the pipeline."""
 
 import collections
+import hashlib
+import math
 import random
 
 import numpy as np
@@ -38,7 +40,52 @@ def test_mixing_of_odd_tables(spark):
     docs = documents(spark, [(None, "x"), (None, "x"), (1, "y")], [None])
     assert sorted(r.position for r in mixing.mix(docs).collect()) == [0, 1, 2]
     assert mixing.mix(docs.limit(0)).isEmpty() and mixing.mix(docs.limit(0)).columns == mixing.mix(docs).columns
-    assert mixing.phases([5, 3], [2, 1]) == [([2, 1], 2), ([1, 1], 1)]
+    three = mixing.mix(documents(spark, [(i, "x" * (20_000 * (i == 3))) for i in range(9)], ["a", "b", "c"]).withColumnRenamed("lang", "slot"), block_rows=2)
+    assert sorted(three.columns) == sorted(["doc_id", "text", "source", "n_chars", "phase", "block", "slot", "position"]) and three.count() == 9
+
+
+def plain_mix(rows, weights, block):
+    """Earliest deadline first, slot by slot: {(source, block): slot}."""
+    sizes = collections.Counter(s for _, s in rows)
+    name = lambda s: "" if s is None else f"={s}"
+    blocks = {s: -(-n // block) for s, n in sizes.items()}
+    chosen = {s: max(1, math.floor(mixing.FINEST * (n / min(sizes.values())) ** 0.5 + 0.5)) if weights is None else max(1, weights.get(s, 1)) for s, n in sizes.items()}
+    used, slot, out = dict.fromkeys(blocks, 0), 0, {}
+    while any(used[s] < n for s, n in blocks.items()):
+        share = {s: min(chosen[s], n - used[s]) for s, n in blocks.items() if used[s] < n}
+        slots, k = sum(share.values()), dict.fromkeys(share, 0)
+        for t in range(slots):
+            _, _, s = min((-(-(k[s] + 1) * slots // w), name(s), s) for s, w in share.items() if k[s] < w and k[s] * slots // w <= t)
+            out[s, used[s] + k[s]] = slot + t
+            k[s] += 1
+        for s, n in share.items():
+            used[s] += n
+        slot += slots
+    return out
+
+
+@pytest.mark.parametrize(("seed", "weights", "block"), [(1, None, 1), (2, {"a": 300, "b": 7, "c": 1}, 1), (3, {"a": 3}, 4), (4, None, 1)])
+def test_mixing_agrees_with_the_plain_schedule(spark, monkeypatch, seed, weights, block):
+    """Also where a source is four hundred times another, and with ranges of few rows."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rng = random.Random(seed)
+    rows = [(i, rng.choices(["a", "b", None, "c"], [400, 60, 9, 1 + (seed < 4) * 90])[0]) for i in range(700)] + [(None, "a")] * 40 + [(1, "b")] * 5
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), weights, block_rows=block).collect()
+    assert {(r.source, r.block): r.slot for r in got} == plain_mix(rows, weights, block)
+    assert len({r.position for r in got}) == len(got) == len(rows)
+    order = lambda r: (hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id)
+    for s in {s for _, s in rows}:
+        known = sorted((r for r in got if r.source == s and r.doc_id is not None), key=lambda r: r.position)
+        assert [r.doc_id for r in known] == [r.doc_id for r in sorted(known, key=order)]
+
+
+def test_mixing_of_many_sources(spark):
+    """More sources than a list of literals could carry; the smallest share keeps its target."""
+    rows = spark.range(1200).selectExpr("id AS doc_id", "CASE WHEN id < 420 THEN 'hot' ELSE concat('s', id % 200) END AS source")
+    got = mixing.mix(rows, {"hot": 50}).collect()
+    assert sorted(r.position for r in got) == list(range(1200))
+    first = [r.source for r in sorted(got, key=lambda r: r.slot) if r.phase == 0]
+    assert len(first) % 250 == 0 and all(abs(first[:n].count("hot") - n * 50 / 250) < 1 for n in range(1, len(first), 97))
 
 
 def brute_top(rows, k=10):
