@@ -7,9 +7,15 @@ negative components add the slices' complement. The top rows are then selected f
 the sum downward. What the dropped low bits could change is a known bound: rows within it of the k-th are the
 boundary rows, and their scores are computed exactly. So recall is 1.
 
+Query blocks and index blocks meet in a grid of groups, one task a cell, whose number follows the work; its shape
+keeps the copies few. A task holds the k best of each of its queries so far, and passes over blocks that cannot
+reach a query's k-th; so it sends k rows for a query, whatever the number of blocks.
+
 Components are whole numbers floor(1024 * x). Vectors that are null, empty or hold null or non-finite components
-take no part; vectors of another length than the query's are not compared with it. Repeated rows are rows of
-their own; only rows with the query's own id are left out. An empty table gives an empty result.
+take no part; vectors of another length than the query's are not compared with it. A component so large that a
+score could pass 64 bits is an error, and the job ends with it. Repeated rows are rows of their own; only rows with
+the query's own id are left out. Equal scores go to the smaller id. An empty table gives an empty result. Extra
+columns are not carried.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from slotstream.llm.common import materialize
 BLOCK_ROWS = 4096
 QUERY_ROWS = 64
 KEPT_BITS = 8
-MAX_GROUPS = 1024  # copies of the query blocks that are shuffled at most
+PAIRS_PER_TASK = 512  # of a query block and an index block
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -41,7 +47,10 @@ def _blocks(df: DataFrame, rows: int) -> DataFrame:
 
         for batch in batches:
             for i, v in zip(batch.column("vec_id"), batch.column("embedding"), strict=True):
-                x = np.floor(np.asarray(v.values.to_numpy(zero_copy_only=False), dtype=np.float64) * 1024).astype(np.int64)
+                whole = np.floor(np.asarray(v.values.to_numpy(zero_copy_only=False), dtype=np.float64) * 1024)
+                if len(whole) * np.abs(whole).max() ** 2 >= 2.0**62:
+                    raise ValueError(f"components of vector {i.as_py()} are too large: scores would not fit 64 bits")
+                x = whole.astype(np.int64)
                 held.setdefault(len(x), []).append((i.as_py(), x))
                 if len(held[len(x)]) == rows:
                     yield block(len(x))
@@ -125,6 +134,34 @@ class Slices:
         return above | equal
 
 
+def reachable(values: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """What no row of a block can exceed as score, for each query."""
+    return np.maximum(queries, 0) @ values.max(axis=0) + np.minimum(queries, 0) @ values.min(axis=0)
+
+
+class Best:
+    """The k best rows of each query of a block, ties to the smaller vec_id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.ids, self.scores = k, [np.empty(0, dtype=np.int64)] * queries, [np.empty(0, dtype=np.int64)] * queries
+
+    def open(self, bounds: np.ndarray) -> np.ndarray:
+        """The queries that a block with these bounds may still change."""
+        return np.flatnonzero([len(s) < self.k or b >= s[-1] for s, b in zip(self.scores, bounds.tolist(), strict=True)])
+
+    def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids[q], ids]), np.concatenate([self.scores[q], scores])
+        best = np.lexsort((ids, -scores))[: self.k]
+        self.ids[q], self.scores[q] = ids[best], scores[best]
+
+
+def _grid(pairs: int, index: int, queries: int) -> tuple[int, int]:
+    """Groups of index and of query blocks: a cell has about PAIRS_PER_TASK pairs, and copies are few on both sides."""
+    cells = max(1, -(-pairs // PAIRS_PER_TASK))
+    rows = min(max(1, index), max(1, round((cells * index / max(1, queries)) ** 0.5)))
+    return rows, min(max(1, queries), -(-cells // rows))
+
+
 def top_rows(slices: Slices, values: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
     """(query index, vec_id, score) of each query's k best rows of a block, ties to the smaller vec_id."""
     own = np.array([np.count_nonzero(ids == q) for q in query_ids])
@@ -146,25 +183,38 @@ def search(df: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id",
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     vectors = vectors.where("vec_id is not null and size(embedding) > 0").where(finite)
     index = materialize(_blocks(vectors, BLOCK_ROWS), "index")
-    asked = materialize(_blocks(vectors.where(F.col("vec_id") % every == 0).coalesce(8), QUERY_ROWS), "queries")
-    groups = max(1, min(MAX_GROUPS, index.count()))
-    left = index.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
-    right = asked.select("dim", F.xxhash64("ids").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    pairs = right.join(left, ["g", "dim"])  # every query block meets every block of the index once
+    wanted = materialize(vectors.where(F.col("vec_id") % every == 0), "wanted")
+    n_queries = -(-wanted.count() // QUERY_ROWS)
+    asked = materialize(_blocks(wanted.repartition(max(1, n_queries // 16), "vec_id"), QUERY_ROWS), "queries")
+    n_index = index.count()
+    rows, columns = _grid(n_index * n_queries, n_index, n_queries)
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.select("dim", "ids", "vectors", part("ids", rows).alias("g"), every_of(columns).alias("h"))
+    right = asked.select("dim", F.xxhash64("ids").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), part("ids", columns).alias("h"), every_of(rows).alias("g"))
+    pairs = right.join(left.hint("shuffle_hash"), ["g", "h", "dim"])  # every query block meets every block of the index once
 
     def run(batches):
         cached: tuple[bytes, Slices] | None = None
+        best: dict[tuple[int, int], tuple[np.ndarray, Best]] = {}
         for batch in batches:
-            out = []
             for dim, q_block, q_ids, q_vectors, ids, vectors in zip(*[batch.column(c) for c in ("dim", "q_block", "q_ids", "q_vectors", "ids", "vectors")], strict=True):
                 data, d = vectors.as_py(), dim.as_py()
                 values, asked_ids = np.frombuffer(data, dtype=np.int64).reshape(-1, d), np.asarray(q_ids.values)
+                queries = np.frombuffer(q_vectors.as_py(), dtype=np.int64).reshape(-1, d)
+                known = best.setdefault((q_block.as_py(), d), (asked_ids, Best(len(asked_ids), k)))[1]
+                at = known.open(reachable(values, queries))
+                if not len(at):
+                    continue
                 if cached is None or cached[0] != data:
                     cached = (data, Slices(values))
-                for q, found, scores in top_rows(cached[1], values, np.asarray(ids.values), np.frombuffer(q_vectors.as_py(), dtype=np.int64).reshape(-1, d), asked_ids, k):
-                    out.append((np.full(len(found), q_block.as_py()), np.full(len(found), q), np.full(len(found), asked_ids[q]), found, scores))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["q_block", "q", "query_id", "vec_id", "score"])
+                for q, found, scores in top_rows(cached[1], values, np.asarray(ids.values), queries[at], asked_ids[at], k):
+                    known.add(at[q], found, scores)
+        for (q_block, _), (asked_ids, known) in best.items():
+            n = [len(x) for x in known.ids]
+            if sum(n):
+                q = np.repeat(np.arange(len(n)), n)
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (np.full(len(q), q_block), q, asked_ids[q], np.concatenate(known.ids), np.concatenate(known.scores))], names=["q_block", "q", "query_id", "vec_id", "score"])
 
     local = pairs.mapInArrow(run, "q_block long, q long, query_id long, vec_id long, score long")
     ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("q_block", "q", "query_id").orderBy(F.col("score").desc(), "vec_id")))

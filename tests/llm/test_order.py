@@ -110,6 +110,20 @@ def test_top_k(spark, monkeypatch, kept):
     assert topk_search.search(df.limit(0)).isEmpty()
 
 
+def test_top_k_in_a_grid_of_many_cells(spark, monkeypatch):
+    """Small blocks and cells: running best rows, blocks passed over, and more cells than any fixed number of groups."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * (1 + 5 * (i % 97 == 0))]) for i in range(2500)] + [(7, None)]
+    for name, value in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 4), ("PAIRS_PER_TASK", 2)):
+        monkeypatch.setattr(topk_search, name, value)
+    assert topk_search._grid(157 * 7, 157, 7) == (111, 5) and topk_search._grid(0, 0, 0) == (1, 1)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(2)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk_search.search(df).collect()) == brute_top(rows)
+    huge = spark.createDataFrame([(0, [1e16, 1.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        topk_search.search(huge).collect()
+
+
 def test_slices_keep_every_top_row():
     rng = np.random.default_rng(1)
     values, ids = rng.integers(-2000, 2000, (700, 6)), np.arange(700)
