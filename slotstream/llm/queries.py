@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.llm import bpe, license_scan, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, topk_search, url_filter
-from slotstream.llm.common import materialize
+from slotstream.llm.common import bounded, materialize
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -44,15 +44,16 @@ GROUP BY d.doc_id, n.n
 
 #: The rules of the url list: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Hosts whose pages make up the list of canonical urls.
-LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts by the rules, else by the list of canonical urls seen on the listed hosts."""
+    """Verdicts by the rules, else by a list: the canonical urls of pages whose title another page has too."""
     pages = _table(spark, sf_dir, "pages")
-    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
-    listed = pages.where(host.rlike(LISTED_HOSTS)).select(url_filter.canonical(host, path).alias("canonical"))
+    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
+    key = url_filter.canonical(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")))
+    titled = materialize(pages.select(title.alias("title"), key.alias("canonical")).where("title <> ''"), "titles")
+    shared = titled.groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("title")
+    listed = titled.join(bounded(materialize(shared, "shared")), "title", "left_semi").select("canonical")
     return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES), listed)
 
 
@@ -69,7 +70,9 @@ judged AS (
   FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   GROUP BY host, path),
 keyed AS (SELECT u.*, regexp_replace(host, '^www\\.', '') || ' ' || regexp_replace(path, '/+$', '') AS canonical FROM u),
-listed AS (SELECT DISTINCT canonical FROM keyed WHERE regexp_matches(host, '(^|\\.)(spam-farm|cheap-pills)\\.'))
+titled AS (SELECT canonical, count(*) OVER (PARTITION BY title) AS n FROM (
+  SELECT k.canonical, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM keyed k JOIN pages USING (page_id)) WHERE title <> ''),
+listed AS (SELECT DISTINCT canonical FROM titled WHERE n > 1)
 SELECT k.page_id, k.host, k.path, j.rule,
        coalesce(j.ruled, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM keyed k LEFT JOIN judged j USING (host, path) LEFT JOIN listed l USING (canonical)

@@ -30,7 +30,7 @@ from slotstream.llm.common import materialize
 BLOCK_ROWS = 4096
 QUERY_ROWS = 64
 KEPT_BITS = 8
-PAIRS_PER_TASK = 512  # of a query block and an index block
+PAIRS_PER_TASK = 64  # of a query block and an index block
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 

@@ -331,11 +331,15 @@ def judge_plain(url, listed):
     return host, path, None, "block" if host and key in listed else "allow"
 
 
-@pytest.mark.parametrize("blocks", [1, 1 << 17])
-def test_urls(spark, monkeypatch, blocks):
-    monkeypatch.setattr(url_filter, "MAX_BLOCKS", blocks)  # one block for everything: many false positives, same result
+@pytest.mark.parametrize("limit", [0, 1 << 17])
+@pytest.mark.parametrize("bits", [0, 16])
+def test_urls(spark, monkeypatch, bits, limit):
+    """No bits for a key make one block for everything, so many false positives; beyond the limit blocks are joined. The result is the same."""
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", bits)
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", limit)
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS * 2)], "page_id bigint, url string, verdict string")
-    listed = spark.createDataFrame([("spam-farm.example.org /en/7",), ("spam-farm.example.org /en/7",), (None,)], "canonical string")
+    many = [(f"h{i}.org /{i}",) for i in range(300)]
+    listed = spark.createDataFrame([("spam-farm.example.org /en/7",), ("spam-farm.example.org /en/7",), (None,), *many], "canonical string")
     out = url_filter.judge(pages, url_filter.rule_table(spark, queries.URL_RULES), listed).collect()
     assert len(out) == 2 * len(URLS)
     for r in out:
@@ -343,3 +347,22 @@ def test_urls(spark, monkeypatch, blocks):
     assert url_filter.judge(pages.limit(0), url_filter.rule_table(spark, queries.URL_RULES), listed).isEmpty()
     nothing = url_filter.judge(pages, url_filter.rule_table(spark, queries.URL_RULES).limit(0), listed.limit(0))
     assert {r.verdict for r in nothing.collect()} == {"allow"}
+
+
+def test_rules_of_equal_length(spark):
+    """Of "b.net" + "/x" and "net" + "/x/y" (as long), the longer host decides."""
+    pages = spark.createDataFrame([(1, "http://a.b.net/x/y")], "page_id bigint, url string")
+    rules = [("allow", "b.net", "/x"), ("block", "net", "/x/y")]
+    assert [(r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.rule_table(spark, rules)).collect()] == [("b.net/x", "allow")]
+
+
+def test_url_filter_passes_false_positives_to_the_join(spark, monkeypatch):
+    """A filter of few bits passes unlisted keys too, and never loses a listed one; the query's list gives both verdicts."""
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 4)
+    keys = spark.range(3000).selectExpr("concat('k', id) AS k")
+    bloom = url_filter.BlockedBloom(keys.where("k < 'k2'"), "k")
+    passed = {r.k for r in bloom.possible(keys, "k").collect()}
+    listed = {f"k{i}" for i in range(3000) if f"k{i}" < "k2"}
+    assert listed < passed and len(passed - listed) < 1500
+    verdicts = {r.verdict for r in queries.op3_url_filters(spark, SF).where("rule IS NULL").collect()}
+    assert verdicts == {"allow", "block"}
