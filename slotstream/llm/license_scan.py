@@ -1,16 +1,19 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-The units compared are the lines of a file and, for short files, the whole text. A template's vector covers its
-own terms; document frequencies of these terms are counted over all lines of all files, and any other term of a
-unit weighs as one that was never seen. A file has the licence of its best unit if the cosine reaches the
-threshold. Files whose match makes up enough of the text are licence files and speak for their directory; a file
-without a licence of its own takes that of the nearest ancestor directory that has one.
-
-Terms in which a template's weight is too small to reach the threshold alone cannot decide; texts with none of
-the others are passed over, which loses no match (Cauchy-Schwarz).
-
-Null and empty texts match nothing; a null path is a file of no directory and inherits nothing. If several licence
-files share a directory, the highest score decides, then the smallest path. Extra columns are not carried.
+The units compared are runs of consecutive lines of a file, at most REACH times as long as the longest template, and
+single lines of any length; a notice wrapped over several lines scores the same wherever it stands and whatever
+follows. A template's vector covers its own terms; document frequencies of these terms are counted over all lines of
+all files, and any other term of a unit weighs as one that was never seen. A file has the licence of its best unit if
+the cosine, rounded to twelve digits, reaches the threshold (ties: the greater name). Files whose matching units make up enough of the text, or
+hold the title of a licence, are licence files and speak for their directory; a file without a licence of its own
+takes that of the nearest ancestor directory that has one.
+
+Terms in which a template's weight is too small to reach the threshold alone cannot decide; units with none of the
+others are passed over, which loses no match (Cauchy-Schwarz).
+
+Null and empty texts match nothing; a null path is a file of no directory and inherits nothing. Repeated files are
+judged each by itself. If several licence files share a directory, the highest score decides, then the smallest path.
+A text is held as its terms while it is judged, whatever its length. Extra columns pass through ``scan``.
 """
 
 from __future__ import annotations
@@ -25,18 +28,33 @@ from pyspark.sql import functions as F
 
 #: Notices and opening sentences of public licences.
 TEMPLATES = [
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Titles that head the full texts of licences.
+TITLES = [
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+]
+#: Terms of a run of lines, at most, as a multiple of the longest template.
+REACH = 2
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
-SHORT_FILE = 400  # words up to which the whole text is a unit too
 
 
 def terms(text: str) -> list[str]:
@@ -44,9 +62,10 @@ def terms(text: str) -> list[str]:
 
 
 class Matcher:
-    """Template vectors under given document frequencies."""
+    """Template vectors under given document frequencies; ``titles`` are templates too."""
 
-    def __init__(self, templates: list[tuple[str, str]], units: int, df: dict[str, int], threshold: float):
+    def __init__(self, templates: list[tuple[str, str]], units: int, df: dict[str, int], threshold: float, titles: list[tuple[str, str]] = ()):
+        self.n_notices, templates = len(templates), [*templates, *titles]
         self.threshold, self.unseen = threshold, math.log(1 + units) + 1
         self.counts = [(name, Counter(terms(text))) for name, text in templates]
         self.idf = {t: math.log((1 + units) / (1 + df.get(t, 0))) + 1 for _, c in self.counts for t in c}
@@ -54,7 +73,12 @@ class Matcher:
         for name, c in self.counts:
             vector = {t: n * self.idf[t] for t, n in c.items()}
             self.vectors.append((name, vector, math.sqrt(sum(w * w for w in vector.values()))))
-        self.decisive = self._decisive()
+        self.decisive = frozenset(self._decisive())
+        self.reach = REACH * max((sum(c.values()) for _, c in self.counts), default=0)
+        self.of: dict[str, list[tuple[int, float]]] = {}
+        for i, (_, vector, norm) in enumerate(self.vectors):
+            for t, w in vector.items():
+                self.of.setdefault(t, []).append((i, w * self.idf[t] / norm))
 
     def _decisive(self) -> list[str]:
         weak: set[str] = set()
@@ -64,28 +88,50 @@ class Matcher:
                 weak = trial
         return sorted(set(self.idf) - weak)
 
-    def best(self, unit: str) -> tuple[float, str, int]:
-        """Cosine and name of the nearest template, and the unit's number of terms."""
-        words = terms(unit)
-        counted = Counter(words)
-        norm = math.sqrt(sum((n * self.idf.get(t, self.unseen)) ** 2 for t, n in counted.items()))
-        score, name = 0.0, ""
-        for label, vector, size in self.vectors if norm else ():
-            dot = sum(n * self.idf[t] * vector[t] for t, n in counted.items() if t in vector)
-            score, name = max((score, name), (dot / (norm * size), label))
-        return score, name, len(words)
+    def runs(self, lines: list[list[str]]):
+        """(first, last, scores by template) of the runs of lines that begin and end with a template's term and hold a decisive one."""
+        touched = [any(t in self.idf for t in line) for line in lines]
+        ahead, distance = [False] * len(lines), self.reach + 1
+        for i in range(len(lines) - 1, -1, -1):  # whether a decisive term is within reach
+            distance = 0 if any(t in self.decisive for t in lines[i]) else distance + len(lines[i])
+            ahead[i] = distance <= self.reach
+        for first in range(len(lines)):
+            if not (touched[first] and ahead[first]):
+                continue
+            counted: dict[str, int] = {}
+            dots, square, n, decisive = [0.0] * len(self.vectors), 0.0, 0, False
+            for last in range(first, len(lines)):
+                n += len(lines[last])
+                if last > first and n > self.reach:
+                    break
+                for t in lines[last]:
+                    k, w = counted.get(t, 0), self.idf.get(t, self.unseen)
+                    counted[t] = k + 1
+                    square += (2 * k + 1) * w * w
+                    decisive = decisive or t in self.decisive
+                    for i, x in self.of.get(t, ()):
+                        dots[i] += x
+                if decisive and touched[last]:
+                    norm = math.sqrt(square)
+                    yield first, last, [round(d / norm, 12) for d in dots]
 
     def scan(self, text: str | None) -> tuple[str | None, float | None, float | None]:
-        """Licence, cosine and share of the file's terms in its best unit; nulls without a match."""
+        """Licence, cosine and share of the file's terms in matching units; nulls without a match. A title stands for the whole file."""
         low = (text or "").lower()
         if not any(t in low for t in self.decisive):
             return None, None, None
-        total = len(terms(low))
-        units = [line for line in low.split("\n") if any(t in line for t in self.decisive)]
-        if total <= SHORT_FILE:
-            units.append(low)
-        score, name, n = max((self.best(u) for u in units), default=(0.0, "", 0))
-        return (name, score, n / total) if score >= self.threshold else (None, None, None)
+        lines = [terms(line) for line in low.split("\n")]
+        best, covered, titled = (0.0, ""), set(), False
+        for first, last, scores in self.runs(lines):
+            top = max((score, self.vectors[i][0]) for i, score in enumerate(scores))
+            if top[0] >= self.threshold:
+                best = max(best, top)
+                covered.update(range(first, last + 1))
+                titled = titled or max(scores[self.n_notices :], default=0.0) >= self.threshold
+        if not covered:
+            return None, None, None
+        share = sum(len(lines[i]) for i in covered) / sum(map(len, lines))
+        return best[1], best[0], 1.0 if titled else share
 
 
 def line_frequencies(files: DataFrame, templates: list[tuple[str, str]], text: str = "text") -> tuple[int, dict[str, int]]:
@@ -106,12 +152,12 @@ def line_frequencies(files: DataFrame, templates: list[tuple[str, str]], text: s
     return df.pop("", 0), df
 
 
-def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.6, text: str = "text") -> DataFrame:
+def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.6, text: str = "text", titles: list[tuple[str, str]] | None = None) -> DataFrame:
     """``files`` with own_license, score and share of each file's own text; existing columns of these names are replaced."""
     files = files.drop("own_license", "score", "share", "_found")
-    templates = TEMPLATES if templates is None else templates
-    units, df = line_frequencies(files, templates, text)
-    matcher = Matcher(templates, units, df, threshold)
+    templates, titles = TEMPLATES if templates is None else templates, TITLES if titles is None else titles
+    units, df = line_frequencies(files, [*templates, *titles], text)
+    matcher = Matcher(templates, units, df, threshold, titles)
 
     @F.arrow_udf("own_license string, score double, share double")
     def run(texts: pa.Array) -> pa.Array:
@@ -124,7 +170,8 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, thres
 def inherit(scanned: DataFrame, file_share: float = 0.1) -> DataFrame:
     """path, own_license, score, share, license, origin (own, inherited or null) and from_dir. ``scanned``: path and the columns of ``scan``.
 
-    Ancestors are listed once per directory, not per file; the joins are on paths.
+    ``scanned`` is read several times, so it should be a written table. Ancestors are listed once per directory, not
+    per file; the joins are on paths.
     """
     directory = F.when(F.contains("path", F.lit("/")), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
     files = scanned.withColumn("dir", directory)

@@ -83,7 +83,7 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own or inherited licence of every document, filed as source/thousands/hundreds/doc_id.txt."""
     place = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100), F.concat("doc_id", F.lit(".txt")))
     scanned = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text")).drop("text")
-    return license_scan.inherit(scanned).withColumn("score", F.round("score", 9)).drop("share")
+    return license_scan.inherit(materialize(scanned, "scanned")).withColumn("score", F.round("score", 9)).drop("share")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

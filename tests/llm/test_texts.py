@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from slotstream.llm import bpe, license_scan, pii, quality_rules, queries, token_counts, url_filter
+from slotstream.llm import bpe, common, license_scan, pii, quality_rules, queries, token_counts, url_filter
 from tests.compare import SF
 from tests.llm.helpers import documents, prose, words
 
@@ -296,15 +296,78 @@ def test_license_scans(spark):
     assert license_scan.inherit(license_scan.scan(df.limit(0)).drop("dir")).isEmpty()
 
 
-def test_passing_over_weak_terms_loses_no_license():
+def plain_scan(text, templates, titles, units, df, threshold=0.6):
+    """TF-IDF cosine of every run of lines to every template, with nothing passed over."""
+    known = [(name, collections.Counter(license_scan.terms(x))) for name, x in [*templates, *titles]]
+    vocabulary = {t for _, c in known for t in c}
+    idf = lambda t: math.log((1 + units) / (1 + df.get(t, 0))) + 1 if t in vocabulary else math.log(1 + units) + 1
+    cosine = lambda a, b: sum(a[t] * b[t] * idf(t) ** 2 for t in a if t in b) / math.sqrt(sum((n * idf(t)) ** 2 for t, n in a.items()) * sum((n * idf(t)) ** 2 for t, n in b.items()))
+    lines = [license_scan.terms(x) for x in (text or "").lower().split("\n")]
+    reach = license_scan.REACH * max(sum(c.values()) for _, c in known)
+    found, covered, titled = [], set(), False
+    for a in range(len(lines)):
+        for b in range(a, len(lines)):
+            unit = [t for line in lines[a : b + 1] for t in line]
+            if (b == a or len(unit) <= reach) and all(any(t in vocabulary for t in lines[i]) for i in (a, b)):
+                scores = [(round(cosine(collections.Counter(unit), c), 12), name) for name, c in known]
+                if max(scores)[0] >= threshold:
+                    found.append(max(scores))
+                    covered |= set(range(a, b + 1))
+                    titled = titled or max(s for s, _ in scores[len(templates) :]) >= threshold
+    if not found:
+        return None, None, None
+    return max(found)[1], max(found)[0], 1.0 if titled else sum(len(lines[i]) for i in covered) / sum(map(len, lines))
+
+
+def close(a, b):
+    return a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-9)
+
+
+def test_license_matcher_agrees_with_plain_cosines():
     rng = random.Random(1)
-    vocabulary = sorted({t for _, x in license_scan.TEMPLATES for t in license_scan.terms(x)}) + [f"z{i}" for i in range(20)]
-    matcher = license_scan.Matcher(license_scan.TEMPLATES, 1000, {"the": 900, "of": 800, "this": 500, "is": 700, "and": 850}, 0.6)
-    assert set(matcher.idf) - set(matcher.decisive)
-    for _ in range(3000):
-        unit = " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 9)))
-        if matcher.best(unit)[0] >= 0.6:
-            assert any(t in unit for t in matcher.decisive)
+    texts = [x for _, x in [*license_scan.TEMPLATES, *license_scan.TITLES]]
+    vocabulary = sorted({t for x in texts for t in license_scan.terms(x)}) + [f"z{i}" for i in range(20)]
+    df = {"the": 900, "of": 800, "this": 500, "is": 700, "and": 850, "to": 600}
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, 1000, df, 0.6, license_scan.TITLES)
+    assert set(matcher.idf) - matcher.decisive
+    matched = 0
+    for _ in range(250):
+        words_ = [w for _ in range(rng.randrange(1, 4)) for w in (rng.choice(texts).split() if rng.random() < 0.6 else rng.choices(vocabulary, k=rng.randrange(30)))]
+        text = "".join(w + rng.choice([" ", " ", " ", "\n", "\n\n"]) for w in words_)
+        want = plain_scan(text, license_scan.TEMPLATES, license_scan.TITLES, 1000, df)
+        assert close(matcher.scan(text), want) if want[0] else matcher.scan(text) == want, text
+        matched += want[0] is not None
+    assert matched > 100
+
+
+def test_license_notices_do_not_depend_on_what_follows(spark):
+    """A notice wrapped over short lines scores the same alone and before code of any length; a title makes a licence file."""
+    notice = "# This program is free software: you can\n# redistribute it and/or modify it under\n# the terms of the GNU General Public\n# License\n"
+    code = "\n".join(f"x{i} = call(y{i}, z{i % 7})" for i in range(3000))
+    files = [("a/1", notice), ("a/2", notice + code), ("a/3", code), ("b/LICENSE", "Apache License\nVersion 2.0, January 2004\n" + code), ("b/c/d", "nothing"), ("e/f", "word " * 200_000)]
+    rows = {r.path: r for r in license_scan.inherit(common.materialize(license_scan.scan(spark.createDataFrame(files, "path string, text string")).drop("text"), "scanned")).collect()}
+    assert rows["a/1"].own_license == rows["a/2"].own_license == "GPL-3.0" and rows["a/1"].score == rows["a/2"].score
+    assert rows["a/3"].origin == "inherited" and rows["b/c/d"].license == "Apache-2.0" and rows["e/f"].license is None
+
+
+def test_license_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    vocabulary = {t for _, x in [*license_scan.TEMPLATES, *license_scan.TITLES] for t in license_scan.terms(x)}
+    lines = [set(license_scan.terms(x)) & vocabulary for r in docs for x in (r.text or "").lower().split("\n")]
+    df = collections.Counter(t for line in lines for t in line)
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, len(lines), df, 0.6, license_scan.TITLES)
+    own = {r.doc_id: matcher.scan(r.text) for r in docs}
+    sources = {r.doc_id: r.source for r in docs}
+    place = lambda i: [sources[i], str(i // 1000), str(i // 100)]
+    speak = {}
+    for i, (name, score, share) in own.items():
+        if name and share >= 0.1:
+            d = "/".join(place(i))
+            speak[d] = min(speak.get(d, (0, "~", "")), (-score, f"{d}/{i}.txt", name))
+    for r in queries.op4_license_scans(spark, SF).collect():
+        ways = ["/".join(place(r.doc_id)[:n]) for n in (3, 2, 1)]
+        near = next((speak[d][2] for d in ways if d in speak), None)
+        assert (r.own_license, r.license) == (own[r.doc_id][0], own[r.doc_id][0] or near)
 
 
 URLS = [
