@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotstream.functions.project import COMMITMENTS, transaction_keys
+from slotstream.functions.project import COMMITMENTS, base58_bytes, transaction_keys
 
 #: Keys from which a list belongs in a table (``in_table``) rather than in the plan.
 MAX_LIST = 1000
@@ -38,14 +38,15 @@ def in_table(df: DataFrame, column: str, keys: DataFrame, key: str = "key") -> D
 
 @dataclass(frozen=True)
 class Memcmp:
-    """Bytes expected at an offset of the data, given as bytes or base64 text."""
+    """Bytes expected at an offset of the data, given as bytes, base64 or base58 text."""
 
     offset: int
     data: bytes = b""
     base64: str | None = None
+    base58: str | None = None
 
     def predicate(self, data: Column) -> Column:
-        wanted = base64.b64decode(self.base64) if self.base64 is not None else self.data
+        wanted = base64.b64decode(self.base64) if self.base64 is not None else self.data if self.base58 is None else base58_bytes(self.base58)
         return F.substring(data, self.offset + 1, len(wanted)) == F.lit(wanted)
 
 
@@ -88,14 +89,20 @@ def all_owners() -> Column:
 def changed_owners() -> Column:
     """Owners whose token balance changed in amount at an account index, or whose token account was closed.
 
-    The balances of a transaction are compared within its row, without a shuffle. A missing balance counts as 0.
+    The balances of a transaction are compared within its row, without a shuffle. A missing balance counts as 0: what
+    was there before and is not there alike afterwards has changed or was closed, what is new has changed unless it is 0.
     """
     pre, post = F.col("pre_token_balances"), F.col("post_token_balances")
-    indexes = F.array_distinct(F.transform(F.concat(pre, post), lambda b: b["account_index"]))
-    at = lambda side, i: F.get(F.filter(side, lambda b: b["account_index"] == i), F.lit(0))
-    amount = lambda side, i: F.coalesce(at(side, i)["amount"].cast("decimal(20,0)"), F.lit(0))
-    closed = lambda i: at(pre, i).isNotNull() & at(post, i).isNull()
-    changed = F.filter(indexes, lambda i: (amount(pre, i) != amount(post, i)) | closed(i))
+    amounts = lambda side: F.transform(side, lambda b: F.struct(b["account_index"].alias("i"), F.coalesce(b["amount"].cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)")).alias("n")))
+    new = F.filter(F.array_except(amounts(post), amounts(pre)), lambda b: b["n"] != 0)
+    gone = F.array_except(amounts(pre), amounts(post))
+    # a variable, so that the changes are found once a row
+    return F.get(F.transform(F.array(F.transform(F.concat(gone, new), lambda b: b["i"])), _owners_at), F.lit(0))
+
+
+def _owners_at(changed: Column) -> Column:
+    """Owners of the balances, before or after, at the given account indexes."""
+    pre, post = F.col("pre_token_balances"), F.col("post_token_balances")
     return F.array_distinct(F.transform(F.filter(F.concat(pre, post), lambda b: F.array_contains(changed, b["account_index"])), lambda b: b["owner"]))
 
 
@@ -126,12 +133,19 @@ class TransactionFilter:
         if self.signature is not None:
             out.append(F.col("signature") == self.signature)
         values = lambda x: F.array(*map(F.lit, _list(x)))
-        if self.account_include:
-            out.append(F.arrays_overlap(self.keys(), values(self.account_include)))
-        if self.account_exclude:
-            out.append(~F.arrays_overlap(self.keys(), values(self.account_exclude)))
-        if self.account_required:
-            out.append(F.size(F.array_except(values(self.account_required), self.keys())) == 0)
+
+        def fits(keys: Column) -> Column:
+            parts = []
+            if self.account_include:
+                parts.append(F.arrays_overlap(keys, values(self.account_include)))
+            if self.account_exclude:
+                parts.append(~F.arrays_overlap(keys, values(self.account_exclude)))
+            if self.account_required:
+                parts.append(F.size(F.array_except(values(self.account_required), keys)) == 0)
+            return _all(parts)
+
+        if self.account_include or self.account_exclude or self.account_required:
+            out.append(F.get(F.transform(F.array(self.keys()), fits), F.lit(0)))  # the keys are built once a row
         return _all(out)
 
 

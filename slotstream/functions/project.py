@@ -129,6 +129,14 @@ def transaction_status(transactions: DataFrame) -> DataFrame:
 _ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"  # fixed value: base58
 
 
+def base58_bytes(text: str) -> bytes:
+    """The bytes of a base58 text; ValueError for other characters. For constants of a plan, not for columns."""
+    n = 0
+    for c in text:
+        n = n * 58 + _ALPHABET.index(c)
+    return b"\0" * (len(text) - len(text.lstrip("1"))) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+
+
 @F.arrow_udf(StringType())
 def base58(keys: pa.Array) -> pa.Array:
     """Base58 text of binary keys."""
@@ -136,11 +144,11 @@ def base58(keys: pa.Array) -> pa.Array:
     def text(data: bytes | None) -> str | None:
         if data is None:
             return None
-        n, out = int.from_bytes(data, "big"), ""
+        n, out = int.from_bytes(data, "big"), []
         while n:
             n, digit = divmod(n, 58)
-            out = _ALPHABET[digit] + out
-        return "1" * (len(data) - len(data.lstrip(b"\0"))) + out
+            out.append(_ALPHABET[digit])
+        return "1" * (len(data) - len(data.lstrip(b"\0"))) + "".join(reversed(out))
 
     return pa.array([text(k.as_py()) for k in keys], pa.string())
 

@@ -29,11 +29,15 @@ def slot_sequential(arrivals: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def block_stream(arrivals: DataFrame) -> DataFrame:
-    """slot, end_arrival and the ordered updates of each ended slot; block metadata is part of a block, statuses are not."""
+    """slot, end_arrival and the ordered updates of each ended slot, with all their columns; block metadata is part of a block, statuses are not.
+
+    A block is one array; blocks too large for that are rows in ``block_rows``.
+    """
     ends = arrivals.where("event = 'ended'").groupBy("slot").agg(F.min("arrival").alias("end_arrival"))
     rows = arrivals.where("event = 'data' AND (kind IS NULL OR kind <> 'slot_status')")
-    blocks = rows.groupBy("slot").agg(F.sort_array(F.collect_list(F.struct("arrival", "kind"))).alias("updates"))
-    return ends.join(blocks, "slot", "left").withColumn("updates", F.coalesce("updates", F.array().cast("array<struct<arrival:bigint,kind:string>>")))
+    payload = [c for c in arrivals.columns if c not in ("slot", "event", "arrival")]
+    blocks = rows.groupBy("slot").agg(F.array_sort(F.collect_list(F.struct("arrival", *payload)), lambda a, b: F.when(a["arrival"] < b["arrival"], -1).when(a["arrival"] > b["arrival"], 1).otherwise(0)).alias("updates"))
+    return ends.join(blocks, "slot", "left").withColumn("updates", F.coalesce("updates", F.array().cast(blocks.schema["updates"].dataType)))
 
 
 def block_rows(arrivals: DataFrame) -> DataFrame:

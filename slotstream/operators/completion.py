@@ -52,8 +52,10 @@ def slot_end_order(updates: DataFrame, meta: DataFrame, complete: DataFrame) ->
 
 
 def release_meta(meta: DataFrame, complete: DataFrame) -> DataFrame:
-    """Block metadata of complete slots, once per slot."""
-    return meta.dropDuplicates(["slot"]).join(complete, "slot")
+    """Block metadata of complete slots, once per slot; of several rows the least one, column by column, stays."""
+    rest = [c for c in meta.columns if c != "slot"]
+    once = meta.groupBy("slot").agg(F.min(F.struct(*rest)).alias("_m")).select("slot", *[F.col("_m")[c].alias(c) for c in rest])
+    return once.join(complete, "slot")
 
 
 def missing_slots(history: DataFrame, updates: DataFrame) -> DataFrame:

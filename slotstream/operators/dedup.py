@@ -10,16 +10,16 @@ from slotstream.functions.filters import at_least
 KEYED = ("account", "transaction", "transaction_status", "entry")
 
 
-def update_key() -> Column:
+def update_key(signature: str = "txn_signature") -> Column:
     """What identifies an update in its shard: account by (pubkey, signature), transaction and status by index, entry by index."""
     group = F.when(F.col("kind").isin("transaction", "transaction_status"), "transaction").otherwise(F.col("kind"))
     account = F.col("kind") == "account"
-    return F.struct(group.alias("group"), F.when(account, F.col("pubkey")).otherwise(F.col("idx")).alias("first"), F.when(account, F.col("idx")).alias("second"))
+    return F.struct(group.alias("group"), F.when(account, F.col("pubkey")).otherwise(F.col("idx")).alias("first"), F.when(account, F.col(signature)).alias("second"))
 
 
-def dedup_updates(updates: DataFrame) -> DataFrame:
+def dedup_updates(updates: DataFrame, signature: str = "txn_signature") -> DataFrame:
     """First arrival of each key in its (slot, shard); kinds without a key are left out."""
-    first = Window.partitionBy("slot", "shard_idx", update_key()).orderBy("arrival")
+    first = Window.partitionBy("slot", "shard_idx", update_key(signature)).orderBy("arrival")
     return updates.where(F.col("kind").isin(*KEYED)).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 

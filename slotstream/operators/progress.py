@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def first_gaps(session: DataFrame) -> DataFrame:
-    """consumer, gap: the first offset that a group has not processed (null: none). Offsets order a group's session."""
-    return session.groupBy("consumer").agg(F.min(F.when(~F.col("processed"), F.col("log_offset"))).alias("gap"))
+    """consumer, gap: the first offset that a group has not processed (null: none). Offsets order a group's session.
+
+    An event of which it is not known whether it was processed (null) was not.
+    """
+    return session.groupBy("consumer").agg(F.min(F.when(~F.coalesce("processed", F.lit(False)), F.col("log_offset"))).alias("gap"))
 
 
 def committable_offsets(session: DataFrame, committed: DataFrame | None = None) -> DataFrame:
@@ -27,7 +30,7 @@ def committable_offsets(session: DataFrame, committed: DataFrame | None = None)
 
 def blocked_acks(session: DataFrame) -> DataFrame:
     """Processed events that wait behind a gap, per group."""
-    waiting = F.col("processed") & (F.col("log_offset") > F.col("gap"))
+    waiting = F.coalesce("processed", F.lit(False)) & (F.col("log_offset") > F.col("gap"))
     return session.join(first_gaps(session), "consumer").groupBy("consumer").agg(F.count_if(waiting).alias("blocked"))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TRANSACTIONS = ("transaction", "transaction_status")
-SLOT_BUCKETS = (320, 340, 360, 380, 400, 420, 440, 460, 480, 500, 1000)  # milliseconds
+# fixed values: bounds of the duration histograms, in milliseconds
+SLOT_BUCKETS = (320, 340, 360, 380, 400, 420, 440, 460, 480, 500, 1000)
 SHARD_BUCKETS = (20, 50, 100, 200, 400, 1000, 2000, 4000)
 
 
@@ -42,9 +43,9 @@ def block_integrity(stats: DataFrame) -> DataFrame:
     return stats.select("slot", tx.alias("tx_ok"), entries.alias("entries_ok"), (tx & entries).alias("intact"))
 
 
-def chain_tip(history: DataFrame, shards: int) -> DataFrame:
+def chain_tip(history: DataFrame, shard: str = "blockchain_shard_id") -> DataFrame:
     """Largest offset per history shard as a map, and the tip, which is the largest of all."""
-    per_shard = history.groupBy(F.pmod("log_offset", F.lit(shards)).cast("int").alias("shard")).agg(F.max("log_offset").alias("offset"))
+    per_shard = history.groupBy(F.col(shard).alias("shard")).agg(F.max("log_offset").alias("offset"))
     return per_shard.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("shard", "offset")))).alias("offsets"), F.max("offset").alias("tip"))
 
 
@@ -71,6 +72,17 @@ def session_counters(session: DataFrame, history: DataFrame) -> DataFrame:
     return a.crossJoin(F.broadcast(b))  # one row each
 
 
+def commit_counters(applied: DataFrame, session: DataFrame, page: int = 100) -> DataFrame:
+    """One row: commits written, commits skipped because nothing was new, polls of ``page`` events, and failed attempts.
+
+    ``applied``: consumer, written. An event that its group did not process counts as a failed attempt.
+    """
+    commits = applied.agg(F.count_if("written").alias("commits"), F.count_if(~F.col("written")).alias("skipped_commits"))
+    per_group = session.groupBy("consumer").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce("processed", F.lit(False))).alias("failed"))
+    polls = per_group.agg(F.coalesce(F.sum(F.ceil(F.col("n") / page)), F.lit(0)).alias("polls"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_attempts"))
+    return commits.crossJoin(F.broadcast(polls))  # one row each
+
+
 def duration_histogram(durations: DataFrame, column: str, buckets: tuple[int, ...]) -> DataFrame:
     """Cumulative counts of durations in milliseconds up to each bound; the last bound is infinite (null).
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotstream import schemas
 from slotstream.functions import filters as fl
 from slotstream.functions import project
 from slotstream.operators import adapters, completion, dedup, groups, progress, stats
@@ -120,6 +121,16 @@ def updates_json(spark, d):
     return history.select(sinks.as_json(history, ["log_offset", "slot", "commitment"]).alias("json"))
 
 
+@query("SELECT log_offset, slot, commitment, num_shards, CAST(log_offset % 4 AS INTEGER) AS blockchain_shard_id, dead_error, slot - 1 AS parent_slot FROM history WHERE slot > 0")
+def declared_scan(spark, d):
+    """The log written and read in its declared schema; columns and filter reach the scan."""
+    path = f"{stream_queries.shared_folder(spark)}/history"
+    log = td.sharded_history(spark, d).withColumn("parent_slot", F.expr("CASE WHEN slot > 0 THEN slot - 1 END"))
+    tables.conform(log, schemas.HISTORY).write.parquet(path)
+    read = tables.read_table(spark, path, schemas.HISTORY)
+    return read.where("slot > 0").select("log_offset", "slot", "commitment", "num_shards", "blockchain_shard_id", "dead_error", "parent_slot")
+
+
 # ------------------------------------------------------------------ B projections
 def _envelope(spark, d):
     """Updates as one struct per kind."""
@@ -188,7 +199,13 @@ def tx_success(spark, d):
     return td.transactions(spark, d).select("slot", "signature", "kind", project.transaction_success().alias("success"))
 
 
-@query()
+def _base58(x: str) -> str:
+    """SQL of the base58 text of a number's eight bytes: a 1 for each leading zero byte, then the digits."""
+    digits = " || ".join(f"substr('{project._ALPHABET}', ({x} // {58**k}) % 58 + 1, 1)" for k in range(10, -1, -1))
+    return f"repeat('1', 8 - CASE WHEN {x} = 0 THEN 0 ELSE (length(hex({x})) + 1) // 2 END) || ltrim({digits}, '1')"
+
+
+@query(f"SELECT slot, idx, {_base58('pubkey')} AS pubkey, {_base58('owner')} AS owner FROM updates")
 def normalize_keys(spark, d):
     keys = td.updates(spark, d).select("slot", "idx", F.expr("unhex(lpad(hex(pubkey), 16, '0'))").alias("pubkey"), F.expr("unhex(lpad(hex(owner), 16, '0'))").alias("owner"))
     return project.normalize_keys(keys, ["pubkey", "owner"]).select("slot", "idx", "pubkey", "owner")
@@ -217,6 +234,7 @@ def _accounts(name: str, condition: str, f: fl.AccountFilter) -> None:
 _accounts("acct_pubkey", "pubkey IN (1, 2, 3, 50)", fl.AccountFilter(pubkeys=(1, 2, 3, 50)))
 _accounts("acct_owner", "owner IN (1, 2, 3)", fl.AccountFilter(owners=(1, 2, 3)))
 _accounts("acct_memcmp", "starts_with(data, 'acct-3') AND substr(data, 5, 1) = '-'", fl.AccountFilter(memcmp=(fl.Memcmp(0, b"acct-3"), fl.Memcmp(4, base64="LQ=="))))
+_accounts("acct_memcmp_base58", "starts_with(data, 'acct-2')", fl.AccountFilter(memcmp=(fl.Memcmp(0, base58="qVoDagY9"),)))  # acct-2
 _accounts("acct_datasize", "strlen(data) = 20", fl.AccountFilter(datasize=20))
 _accounts("acct_token_state", "strlen(data) >= 165", fl.AccountFilter(token_account_state=True))
 _accounts("acct_lamports", "lamports > 10000 AND lamports < 40000 AND lamports <> 20000", fl.AccountFilter(lamports=(("gt", 10000), ("lt", 40000), ("ne", 20000))))
@@ -333,7 +351,7 @@ _KEY = "CASE WHEN kind IN ('transaction', 'transaction_status') THEN 'transactio
 
 @query(f"SELECT slot, shard_idx, kind, idx, pubkey, arrival FROM (SELECT *, row_number() OVER (PARTITION BY slot, shard_idx, {_KEY} ORDER BY arrival) AS n FROM updates) WHERE n = 1")
 def dedup_updates(spark, d):
-    return dedup.dedup_updates(td.updates(spark, d, True)).select("slot", "shard_idx", "kind", "idx", "pubkey", "arrival")
+    return dedup.dedup_updates(td.updates(spark, d, True), "idx").select("slot", "shard_idx", "kind", "idx", "pubkey", "arrival")
 
 
 @query("SELECT slot, shard_idx, kind, arrival FROM updates JOIN finish USING (slot, shard_idx) WHERE arrival > finish_arrival")
@@ -484,7 +502,7 @@ def block_stats_distinct(spark, d):
 
 @query("SELECT map_from_entries(list((shard, o) ORDER BY shard)) AS offsets, max(o) AS tip FROM (SELECT CAST(log_offset % 4 AS INTEGER) AS shard, max(log_offset) AS o FROM history GROUP BY 1)")
 def chain_tip(spark, d):
-    return stats.chain_tip(td.history(spark, d), 4)
+    return stats.chain_tip(td.sharded_history(spark, d))
 
 
 @query("SELECT min(slot) AS min_slot, max(slot) AS max_slot FROM history")
@@ -504,7 +522,7 @@ def slot_elapsed(spark, d):
 
 @query("SELECT name, greatest(0, tip - committed_offset) AS lag FROM grp, (SELECT max(log_offset) AS tip FROM history)")
 def offset_lag(spark, d):
-    return stats.offset_lag(td.consumer_groups(spark, d), stats.chain_tip(td.history(spark, d), 1))
+    return stats.offset_lag(td.consumer_groups(spark, d), stats.chain_tip(td.sharded_history(spark, d)))
 
 
 @query("SELECT * FROM (SELECT count(*) AS events, count(*) FILTER (processed) AS processed, count(*) FILTER (NOT processed) AS skipped FROM session), (SELECT count(DISTINCT slot) AS slots, count(*) FILTER (commitment = 0) AS processed_statuses, count(*) FILTER (commitment = 1) AS confirmed_statuses, count(*) FILTER (commitment = 2) AS finalized_statuses FROM history)")
@@ -512,6 +530,11 @@ def session_counters(spark, d):
     return stats.session_counters(td.session(spark, d), td.history(spark, d))
 
 
+@query(f"SELECT * FROM (SELECT count(*) FILTER (written) AS commits, count(*) FILTER (NOT written) AS skipped_commits FROM (SELECT coalesce(committable > committed, false) AS written FROM committable JOIN ({_START}) USING (consumer))), (SELECT CAST(sum((n + 99) // 100) AS BIGINT) AS polls, CAST(sum(failed) AS BIGINT) AS failed_attempts FROM (SELECT count(*) AS n, count(*) FILTER (NOT processed) AS failed FROM session GROUP BY consumer))")
+def commit_counters(spark, d):
+    return stats.commit_counters(commit_apply(spark, d), td.session(spark, d))
+
+
 _BOUNDS = ", ".join(f"({b})" for b in stats.SLOT_BUCKETS)
 
 
@@ -521,6 +544,15 @@ def duration_hist(spark, d):
     return stats.duration_histogram(durations, "ms", stats.SLOT_BUCKETS)
 
 
+_SHARD_BOUNDS = ", ".join(f"({b})" for b in stats.SHARD_BUCKETS)
+
+
+@query(f"SELECT le, count(*) FILTER (le IS NULL OR ms <= le) AS count FROM (VALUES {_SHARD_BOUNDS}, (NULL)) b(le), (SELECT sum(lamports) / 100 AS ms FROM updates GROUP BY slot, shard_idx) GROUP BY le")
+def shard_duration_hist(spark, d):
+    durations = td.updates(spark, d).groupBy("slot", "shard_idx").agg((F.sum("lamports") / 100).alias("ms"))
+    return stats.duration_histogram(durations, "ms", stats.SHARD_BUCKETS)
+
+
 @query("SELECT *, started - ended AS in_flight FROM (SELECT count(*) AS started FROM shards), (SELECT count(*) AS ended FROM complete)")
 def inflight(spark, d):
     return stats.in_flight(td.slot_shards(spark, d), _complete(spark, d))
@@ -567,6 +599,23 @@ def group_initial_offset(spark, d):
     return groups.initial_offset(td.history(spark, d), 200)
 
 
+@query("SELECT max(log_offset) AS initial_offset FROM history")
+def group_initial_latest(spark, d):
+    return groups.initial_offset(td.history(spark, d))
+
+
+@query("SELECT max(name) AS name, true AS refused FROM grp")
+def group_duplicate(spark, d):
+    """Creating a group under a name that is taken is refused."""
+    table = td.consumer_groups(spark, d)
+    taken = table.agg(F.max("name").alias("name"))
+    try:
+        groups.create(table, td.history(spark, d), taken.first()[0])
+    except ValueError:
+        return taken.withColumn("refused", F.lit(True))
+    return taken.withColumn("refused", F.lit(False))
+
+
 @query("SELECT * FROM grp WHERE name = (SELECT min(name) FROM grp)")
 def group_info(spark, d):
     table = td.consumer_groups(spark, d)

@@ -7,8 +7,13 @@ from pyspark.sql import types as T
 U64 = T.DecimalType(20, 0)
 
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "binary": T.BinaryType(), "boolean": T.BooleanType(), "double": T.DoubleType(), "timestamp": T.TimestampType(), "decimal(20,0)": U64, "array<int>": T.ArrayType(T.IntegerType())}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema from `name type` pairs; reading DDL would need a session at import."""
+    pairs = [pair.rsplit(" ", 1) for pair in spec.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 HISTORY = _struct("log_offset bigint, blockchain_id binary, block_uid binary, num_shards int, slot bigint, parent_slot bigint, commitment int, blockchain_shard_id int, dead_error string, created_at timestamp")

@@ -14,6 +14,12 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in a declared schema: its columns by name, cast, and nulls for what it lacks."""
+    known = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def poll(history: DataFrame, start: int | None = None, limit: int = POLL_LIMIT) -> DataFrame:
     """The next events of the log from an offset on, in order."""
     rows = history if start is None else history.where(F.col("log_offset") >= start)

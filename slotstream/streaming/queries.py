@@ -14,9 +14,11 @@ from slotstream.sources import testdata as td
 from slotstream.streaming import jobs
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder below the shared one, or a local one where none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, or, on one machine, a local one where none is set."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="spark-")
 
 
@@ -35,7 +37,7 @@ def history_rows(events: DataFrame) -> DataFrame:
 
 def _finish(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
     spark = stream.sparkSession
-    out = _folder(spark)
+    out = shared_folder(spark)
     writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
     (writer.foreachBatch(each) if each else writer.format("parquet").option("path", f"{out}/data")).start().awaitTermination()
     return None if each else spark.read.schema(stream.schema).parquet(f"{out}/data")
@@ -46,47 +48,107 @@ def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _finish(jobs.dedup_statuses(history_rows(_stream(spark, sf_dir)), "10000 days")).select("slot", "commitment")
+    return _finish(jobs.dedup_statuses(history_rows(_stream(spark, sf_dir)), "31 days")).select("slot", "commitment")
 
 
 def stream_block_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last state of every tick; ticks are hours here."""
-    out = f"{_folder(spark)}/rates"
+    out = f"{shared_folder(spark)}/rates"
     rates = jobs.block_rates(history_rows(_stream(spark, sf_dir)), "1 hour", "0 seconds")
     _finish(rates, "update", sinks.idempotent_parquet(out))
     return spark.read.parquet(out).groupBy("tick").agg(F.max_by("blocks", "batch_id").alias("blocks"))
 
 
 def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _folder(spark)
+    out = shared_folder(spark)
     session = _stream(spark, sf_dir).selectExpr("user_id AS consumer", td.HISTORY_COLUMNS[0], td.HISTORY_COLUMNS[1], "event_type <> 'error' AS processed")
     _finish(session, each=jobs.commit_batches(out))
     return spark.read.parquet(f"{out}/commits").groupBy("consumer").agg(F.max("committable").alias("committable"))
 
 
 def stream_slot_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the log is a status, and the finish of the shard that its offset falls on."""
+    """Every row of the log is a status, and the finish of the shard that its offset falls on.
+
+    No time to live here: it runs by the clock, and a run over what is there would wait for it. A lasting job sets it.
+    """
     jobs.use_rocksdb(spark)
     history = history_rows(_stream(spark, sf_dir))
     events = history.select("slot", F.explode(F.array(F.lit("status"), F.lit("finish"))).alias("event"), "log_offset", "commitment", (F.col("log_offset") % 4).cast("int").alias("shard_idx"), "num_shards")
     return _finish(jobs.track_slots(events))
 
 
+def _growing(spark: SparkSession, sf_dir: str, early: str) -> tuple[str, list[DataFrame]]:
+    """An empty folder for the log, and the history cut in two: the rows that fit ``early``, and the others."""
+    history = history_rows(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return f"{shared_folder(spark)}/log", [history.where(early), history.where(f"NOT ({early})")]
+
+
+def _runs(spark: SparkSession, log: str, parts: list[DataFrame], run: Callable[[DataFrame, int], None]) -> None:
+    """Append a part to the log, start the job, let it stop, and the same again with the next part."""
+    for i, part in enumerate(parts):
+        part.write.mode("append").parquet(log)
+        run(tables.stream_table(spark, log, part.schema), i)
+
+
+def stream_commit_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries of a consumer that is stopped and started again, by commit mode."""
+    middle = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("min(event_id) + (max(event_id) - min(event_id)) DIV 2").first()[0]
+    log, parts = _growing(spark, sf_dir, f"log_offset <= {middle}")
+    out = shared_folder(spark)
+    _runs(spark, log, parts, lambda stream, i: [jobs.consume(stream, f"{out}/{mode}", mode, i) for mode in jobs.COMMIT_MODES])
+    counts = [spark.read.parquet(f"{out}/{mode}/delivered").groupBy("log_offset").agg(F.count(F.lit(1)).alias("deliveries")).select(F.lit(mode).alias("mode"), "log_offset", "deliveries") for mode in jobs.COMMIT_MODES]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def stream_filter_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter changes between two parts of the log: from the cut on, only confirmed or later statuses pass."""
+    cut = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(td.HISTORY_COLUMNS[1]).selectExpr("max(slot) DIV 2").first()[0]
+    log, parts = _growing(spark, sf_dir, f"slot < {cut}")
+    out = shared_folder(spark)
+    versions = [[("first", 0, None, 0)], [("first", 0, cut, 0), ("second", cut, None, 1)]]
+
+    def run(stream: DataFrame, i: int) -> None:
+        spark.createDataFrame(versions[i], "version string, effective_from bigint, effective_to bigint, minimum int").write.mode("overwrite").parquet(f"{out}/versions")
+        job = stream.drop("created_at").writeStream.trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
+        job.foreachBatch(jobs.filter_batches(f"{out}/versions", f"{out}/tagged")).start().awaitTermination()
+
+    _runs(spark, log, parts, run)
+    return spark.read.parquet(f"{out}/tagged").select("log_offset", "slot", "version")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by hour where the earlier half of the log comes last: it is behind the watermark and is dropped."""
+    ends = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("CAST(ts AS TIMESTAMP) AS t").selectExpr("unix_timestamp(min(t))", "unix_timestamp(max(t))").first()
+    middle = (ends[0] + ends[1]) // 2 // 3600 * 3600
+    log, parts = _growing(spark, sf_dir, f"unix_timestamp(created_at) >= {middle}")
+    out = shared_folder(spark)
+
+    def run(stream: DataFrame, i: int) -> None:
+        job = jobs.block_rates(stream, "1 hour", "0 seconds").writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
+        job.foreachBatch(sinks.idempotent_parquet(f"{out}/rates")).start().awaitTermination()
+
+    _runs(spark, log, parts, run)
+    return spark.read.parquet(f"{out}/rates").groupBy("tick").agg(F.max_by("blocks", "batch_id").alias("blocks"))
+
+
 def multicast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One read of the stream for two consumers: all rows, and dead slots."""
-    out = _folder(spark)
+    out = shared_folder(spark)
     dead = lambda batch, i: sinks.idempotent_parquet(f"{out}/dead")(batch.where("dead_error IS NOT NULL"), i)
     _finish(history_rows(_stream(spark, sf_dir)), each=sinks.fan_out([sinks.idempotent_parquet(f"{out}/all"), dead]))
     counts = [spark.read.parquet(f"{out}/{name}").groupBy().agg(F.count(F.lit(1)).alias("events")).select(F.lit(name).alias("consumer"), "events") for name in ("all", "dead")]
     return counts[0].unionByName(counts[1])
 
 
-QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_slot_tracker, multicast)}
+QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_slot_tracker, stream_commit_modes, stream_filter_change, stream_late_rows, multicast)}
 SQL = {
     "history_stream": "SELECT log_offset, slot, commitment, dead_error, num_shards FROM history",
     "stream_dedup_status": "SELECT DISTINCT slot, commitment FROM history",
     "stream_block_rate": "SELECT CAST(floor(epoch(created_at) / 3600) AS BIGINT) * 3600 AS tick, count(*) AS blocks FROM history GROUP BY 1",
     "stream_commit": "SELECT consumer, committable FROM committable WHERE committable IS NOT NULL",
     "stream_slot_tracker": "SELECT slot, commitment, min(log_offset) AS log_offset FROM history WHERE slot IN (SELECT slot FROM history GROUP BY slot HAVING count(DISTINCT log_offset % 4) = 4) GROUP BY slot, commitment",
+    "stream_commit_modes": "SELECT m.mode, log_offset, CASE WHEN log_offset <= middle AND m.mode = 'none' OR log_offset = middle AND m.mode = 'manual' THEN 2 ELSE 1 END AS deliveries FROM history, (SELECT min(log_offset) + (max(log_offset) - min(log_offset)) // 2 AS middle FROM history), (VALUES ('auto'), ('manual'), ('none')) m(mode)",
+    "stream_filter_change": "SELECT log_offset, slot, CASE WHEN slot < cut THEN 'first' ELSE 'second' END AS version FROM history, (SELECT max(slot) // 2 AS cut FROM history) WHERE slot < cut OR commitment >= 1",
+    "stream_late_rows": "SELECT CAST(floor(epoch(created_at) / 3600) AS BIGINT) * 3600 AS tick, count(*) AS blocks FROM history WHERE epoch(created_at) >= (SELECT (CAST(floor(epoch(min(created_at))) AS BIGINT) + CAST(floor(epoch(max(created_at))) AS BIGINT)) // 2 // 3600 * 3600 FROM history) GROUP BY 1",
     "multicast": "SELECT 'all' AS consumer, count(*) AS events FROM history UNION ALL SELECT 'dead', count(*) FROM history WHERE dead_error IS NOT NULL",
 }

@@ -2,6 +2,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 ROOT = Path(__file__).resolve().parent.parent
 
 
@@ -12,12 +14,14 @@ def test_flagship(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_entry_without_the_optional_folders():
-    code = """
+@pytest.mark.parametrize("gone", [("slotstream.llm",), ("slotstream.llm", "corpus_pipeline")])
+def test_entry_without_the_optional_folders(gone):
+    """Also where the module of the pipeline is still there."""
+    code = f"gone = {gone!r}" + """
 import sys
 class Gone:
     def find_spec(self, name, path=None, target=None):
-        if name in ('slotstream.llm', 'corpus_pipeline'):
+        if name in gone:
             raise ModuleNotFoundError(name, name=name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as e

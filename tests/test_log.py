@@ -49,7 +49,7 @@ UPDATE = "slot bigint, shard_idx int, kind string, idx bigint, pubkey bigint, ar
 
 def test_dedup_updates(spark):
     rows = [(42, 0, "entry", 7, None, 1), (42, 0, "entry", 7, None, 2), (42, 1, "entry", 7, None, 3), (42, 0, "transaction", 7, None, 4), (42, 0, "transaction_status", 7, None, 5), (42, 0, "slot_status", 1, None, 6), (42, 0, "account", 1, 5, 7), (42, 0, "account", 2, 5, 8)]
-    assert sorted(r.arrival for r in dedup.dedup_updates(spark.createDataFrame(rows, UPDATE)).collect()) == [1, 3, 4, 7, 8]
+    assert sorted(r.arrival for r in dedup.dedup_updates(signature="idx", updates=spark.createDataFrame(rows, UPDATE)).collect()) == [1, 3, 4, 7, 8]
 
 
 HISTORY = "log_offset bigint, slot bigint, commitment int, num_shards int"
@@ -171,3 +171,48 @@ def test_histogram_and_rates(spark):
 def test_retention(spark):
     slots = spark.createDataFrame([(s,) for s in (1, 2, 2, 3)], "slot bigint")
     assert sorted(r.slot for r in completion.retained_slots(slots, 2).collect()) == [2, 3]
+
+
+def test_events_of_unknown_result_are_gaps(spark):
+    session = spark.createDataFrame([("a", 1, True), ("a", 2, None), ("a", 3, True), ("b", 5, True)], "consumer string, log_offset bigint, processed boolean")
+    assert sorted(map(tuple, progress.committable_offsets(session).collect())) == [("a", 1), ("b", 5)]
+    assert {r.consumer: r.blocked for r in progress.blocked_acks(session).collect()} == {"a": 1, "b": 0}
+
+
+def test_blocks_carry_all_columns(spark):
+    rows = [(2, 7, "data", "entry", b"x", {"a": 1}), (1, 7, "data", "account", None, None), (3, 7, "ended", None, None, None)]
+    (block,) = adapters.block_stream(spark.createDataFrame(rows, "arrival bigint, slot bigint, event string, kind string, payload binary, extra map<string,int>")).collect()
+    assert (block.slot, block.end_arrival, [(u.arrival, u.kind, u.payload and bytes(u.payload), u.extra) for u in block.updates]) == (7, 3, [(1, "account", None, None), (2, "entry", b"x", {"a": 1})])
+
+
+def test_account_updates_differ_by_signature(spark):
+    rows = [(1, 0, "account", 5, 9, b"s", 1), (1, 0, "account", 6, 9, b"s", 2), (1, 0, "account", 5, 9, b"t", 3), (1, 0, "entry", 5, None, None, 4), (1, 0, "entry", 5, 3, b"u", 5)]
+    df = spark.createDataFrame(rows, "slot bigint, shard_idx int, kind string, idx int, pubkey bigint, txn_signature binary, arrival int")
+    assert sorted(r.arrival for r in dedup.dedup_updates(df).collect()) == [1, 3, 4]
+
+
+def test_changed_owners(spark):
+    """Repeated indexes aside: changed, closed, new, new with nothing in it, closed with nothing in it, and unchanged."""
+    balance = "array<struct<account_index:int,owner:string,amount:string>>"
+    pre = [(0, "same", "5"), (1, "more", "5"), (2, "closed", "1"), (5, "closed empty", "0")]
+    post = [(0, "same", "5"), (1, "more", "6"), (3, "new", "2"), (4, "new empty", "0")]
+    df = spark.createDataFrame([(pre, post), ([], [])], f"pre_token_balances {balance}, post_token_balances {balance}")
+    assert [sorted(r[0]) for r in df.select(fl.changed_owners()).collect()] == [["closed", "closed empty", "more", "new"], []]
+
+
+def test_base58_constants(spark):
+    import pytest
+
+    for data in (b"", b"\0\0\1", b"hello", b"acct-2", bytes(range(40))):
+        (text,) = spark.createDataFrame([(data,)], "k binary").select(project.base58("k")).first()
+        assert project.base58_bytes(text) == data
+    with pytest.raises(ValueError):
+        project.base58_bytes("0OIl")
+
+
+def test_declared_schemas(spark):
+    from slotstream import schemas
+    from slotstream.sources import tables
+
+    got = tables.conform(spark.createDataFrame([(1, 7, "x")], "slot int, lamports bigint, other string"), schemas.ACCOUNT)
+    assert got.schema.simpleString() == schemas.ACCOUNT.simpleString() and (got.first().slot, got.first().lamports, got.first().owner) == (1, 7, None)

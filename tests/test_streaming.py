@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from slotstream.operators import dedup, progress, stats
+from slotstream.operators import adapters, dedup, progress, stats
 from slotstream.sources import sinks, tables
 from slotstream.sources import testdata as td
 from slotstream.streaming import jobs
@@ -81,11 +81,16 @@ def test_commits(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.select("consumer", "committable").collect()))
 
 
-def test_fan_out_and_callback(spark, log):
-    batch, stream = log
+def test_fan_out_and_callback(spark):
+    """Each block is handed over once, whole, though its rows come in several batches."""
+    arrivals = td.arrivals(spark, SF)
     path, seen = tempfile.mkdtemp(prefix="spark-"), []
-    run(stream(), foreachBatch=sinks.fan_out([sinks.idempotent_parquet(f"{path}/a"), sinks.on_block(lambda df: seen.append(df.count()))]))
-    assert sum(seen) == batch.count() == spark.read.parquet(f"{path}/a").count()
+    arrivals.orderBy("arrival").coalesce(1).write.option("maxRecordsPerFile", 300).parquet(f"{path}/in")
+    collect = sinks.on_block(lambda blocks: seen.extend((r.slot, r.end_arrival, [(u.arrival, u.kind) for u in r.updates]) for r in blocks.collect()), f"{path}/open")
+    run(tables.stream_table(spark, f"{path}/in", arrivals.schema, 1), foreachBatch=sinks.fan_out([sinks.idempotent_parquet(f"{path}/a"), collect]))
+    assert spark.read.parquet(f"{path}/a").count() == arrivals.count()
+    wanted = [(r.slot, r.end_arrival, [(u.arrival, u.kind) for u in r.updates]) for r in adapters.block_stream(arrivals).collect()]
+    assert len(seen) > 10 and sorted(seen) == sorted(wanted)
 
 
 def test_text_sinks(spark):
