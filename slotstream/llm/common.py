@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 #: The six separators of the word rule `[^\x20\x09-\x0D]+`.
 SEPARATORS = " \t\n\x0b\x0c\r"
 
-#: Rows up to which a side of fixed-width keys may be broadcast (16 MB of longs); beyond it, joins shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes up to which a side may be broadcast; beyond either, joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 _WRITTEN: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir, or, on one machine, a new local one where it is unset."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -58,8 +60,15 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted size is within ``rows``, otherwise unchanged (shuffle join)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df`` with a broadcast hint if it is counted to be within ``rows`` and BROADCAST_BYTES, otherwise unchanged (shuffle join)."""
+    width = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width += F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            width += F.octet_length(F.to_json(F.struct(name)))
+    n, size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 
 # ---------------------------------------------------------------- hashing

@@ -20,7 +20,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:  # towards smaller neighbours
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # written first, so that the join reads both sides from plain shuffles, in which a hub's edges can be split
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
     linked = both.join(least, "u")
     if large:
         pairs = linked.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))

@@ -2,12 +2,13 @@
 
 DataFrame functions only. Each document is reduced, in its own row and once, to base counts, a histogram of
 character classes and a histogram of common words. The references are the sums of these histograms over all
-documents of a language that are long enough. A document is kept if its base counts pass and, for both
-histograms, the Jensen-Shannon distance (base 2, square root of the divergence) to the nearest language reference
-is within the limit. Histograms below a minimum length are not judged; it may be lower than the references'.
+documents of a language that pass the base rules and are long enough. A document is kept if its base counts pass and,
+for both histograms, the Jensen-Shannon distance (base 2, square root of the divergence) to the reference of its own
+language is within the limit. Histograms below a minimum length are not judged; it may be lower than the references'.
 
-Null texts have no words. Documents of other or no language add to no reference but are judged like the rest;
-without any reference the histograms pass. ``judge`` carries the key alone, ``keep_good`` all columns.
+Null texts have no words. Documents of other or no language add to no reference, and their histograms pass, as there
+is nothing to compare them with. Repeated rows are judged alike, each by itself; a distance equal to its limit passes.
+A text is judged whole, within its row, so a row of the JVM holds the words of the longest text. ``judge`` carries the key alone, ``keep_good`` all columns.
 """
 
 from __future__ import annotations
@@ -104,12 +105,16 @@ def _sorted_windows() -> Column:
     return F.when(n >= 4, F.sort_array(window)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def references(counts: DataFrame, limits: Limits = Limits()) -> dict[str, tuple[list[float], list[float]]]:
     """Class and word shares per language, over all its documents that reach the minimum lengths. ``counts``: ``features``.
 
     The driver gets one number per language and bin, at most (languages) x (bins) of them.
     """
-    counts = counts.where(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") >= limits.min_words) & (F.col("n_chars") >= limits.min_chars))
+    counts = counts.where(~_base_failed() & F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") >= limits.min_words) & (F.col("n_chars") >= limits.min_chars))
     binned = counts.select("lang", F.posexplode(F.concat("classes", "common"))).where("col > 0").groupBy("lang", "pos").agg(F.sum("col").alias("n"))
     split = len(CLASSES) + 2
     sums: dict[str, list[int]] = {}
@@ -134,11 +139,11 @@ def verdicts(counts: DataFrame, limits: Limits = Limits()) -> DataFrame:
     refs = references(counts, limits)
     out = counts.withColumns(
         {
-            "class_distance": _nearest("classes", F.col("n_chars"), [r[0] for r in refs.values()]),
-            "word_distance": _nearest("common", F.col("n_words"), [r[1] for r in refs.values()]),
+            "class_distance": _to_own("classes", F.col("n_chars"), {name: r[0] for name, r in refs.items()}),
+            "word_distance": _to_own("common", F.col("n_words"), {name: r[1] for name, r in refs.items()}),
         }
     )
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = _base_failed()
     judged_words = limits.min_words if limits.judged_words is None else limits.judged_words
     far = ((F.col("n_chars") >= limits.min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > limits.class_distance)) | ((F.col("n_words") >= judged_words) & (F.coalesce("word_distance", F.lit(0.0)) > limits.word_distance))
     return out.withColumns({"base_failed": failed, "kept": ~failed & ~far}).drop("lang", "n_chars", "classes", "common")
@@ -149,9 +154,12 @@ def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: st
     return verdicts(materialize(features(df, text, lang, key), "features"), limits)
 
 
-def _nearest(counts: str, total: Column, shares: list[list[float]]) -> Column:
-    found = [js_distance(F.col(counts), total, s) for s in shares]
-    return F.least(*found) if len(found) > 1 else (found[0] if found else F.lit(None).cast("double"))
+def _to_own(counts: str, total: Column, shares: dict[str, list[float]]) -> Column:
+    """The distance to the reference of the row's own language; null where that has none."""
+    found = F.lit(None).cast("double")
+    for name, reference in shares.items():
+        found = F.when(F.col("lang") == name, js_distance(F.col(counts), total, reference)).otherwise(found)
+    return found
 
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:

@@ -109,10 +109,10 @@ common AS (SELECT d.doc_id, 'w' AS kind, b.bin, coalesce(h.n, 0) AS n FROM d CRO
   UNION ALL SELECT d.doc_id, 'w', -1, len(w) - coalesce((SELECT sum(n) FROM hits h WHERE h.doc_id = d.doc_id), 0) FROM d),
 counts AS (SELECT * FROM classes UNION ALL SELECT * FROM common),
 shares AS (SELECT doc_id, kind, bin, n, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM counts QUALIFY sum(n) OVER (PARTITION BY doc_id, kind) > 0),
-refs AS (SELECT lang, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM counts JOIN d USING (doc_id)
-  WHERE lang IN ('de', 'en', 'es', 'fr') AND len(w) >= {_LIMITS.min_words} AND length(t) >= {_LIMITS.min_chars} GROUP BY lang, kind, bin),
-js AS (SELECT doc_id, kind, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS x
-  FROM shares JOIN refs USING (kind, bin) GROUP BY doc_id, kind, lang),
+refs AS (SELECT lang, kind, bin, sum(counts.n) / sum(sum(counts.n)) OVER (PARTITION BY lang, kind) AS q FROM counts JOIN d USING (doc_id) LEFT JOIN r USING (doc_id)
+  WHERE len(w) >= 50 AND 100 * coalesce(r.n, 0) <= 50 * len(w) AND lang IN ('de', 'en', 'es', 'fr') AND len(w) >= {_LIMITS.min_words} AND length(t) >= {_LIMITS.min_chars} GROUP BY lang, kind, bin),
+js AS (SELECT shares.doc_id, kind, refs.lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS x
+  FROM shares JOIN refs USING (kind, bin) JOIN d ON d.doc_id = shares.doc_id AND d.lang = refs.lang GROUP BY shares.doc_id, kind, refs.lang),
 near AS (SELECT doc_id, min(x) FILTER (kind = 'c') AS class_distance, min(x) FILTER (kind = 'w') AS word_distance FROM js GROUP BY doc_id),
 base AS (SELECT d.doc_id, len(w) AS n_words, length(t) - c.c[1] AS word_chars, c.c[5] AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, length(t) AS n_chars,
   near.class_distance, near.word_distance, len(w) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(w) AS base_failed

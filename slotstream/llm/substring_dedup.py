@@ -7,6 +7,8 @@ Below the wanted length a window is judged by its anchor: the smallest hash amon
 it. Equal windows have equal anchors, so none is lost, and the shuffle of a level carries about two anchors
 for every wanted window's length of text. The wanted length itself decides with 128-bit hashes.
 
+By default windows of 13, then 25, then 50 words are searched.
+
 Copies of a whole text are told by a digest first: their windows all start in the copy with the smallest doc_id,
 so they take no part in the search.
 
@@ -82,8 +84,13 @@ def _emit(rows, names: list[str]):
 
 
 def _repeated(windows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that occur in more than one document, with the smallest of these."""
-    return windows.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").drop("last_doc")
+    """The keys that occur in more than one document, with the smallest of these.
+
+    They are written before they are joined: the join then reads both sides from plain shuffles, in which the many
+    windows of one key can be split over tasks.
+    """
+    found = windows.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    return materialize(found.where("first_doc < last_doc").drop("last_doc"), "repeated")
 
 
 def _with(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -91,7 +98,7 @@ def _with(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(bounded(found.select(*KEY)), KEY, "left_semi").join(found, KEY)
 
 
-def repeated_windows(docs: DataFrame, words: int = 50, base: int = 25) -> DataFrame:
+def repeated_windows(docs: DataFrame, words: int = 50, base: int = 12) -> DataFrame:
     """doc_id, row_key, starts: where windows of ``words`` words start that an earlier document has too.
 
     ``docs``: doc_id, row_key, text.
@@ -140,7 +147,7 @@ def whole_copies(docs: DataFrame) -> DataFrame:
     return keyed.join(firsts, "digest").where("doc_id > first_doc").select(*KEY).distinct()
 
 
-def remove_repeats(df: DataFrame, words: int = 50, base: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, words: int = 50, base: int = 12, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text without the repeated passages (words joined by one space), n_words and n_removed of every row."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("row_key"), F.col(text).alias("text"))
     copies = materialize(whole_copies(docs), "copies")

@@ -247,7 +247,7 @@ def test_quality_rules(spark):
         n = [sum(c in " \t\n\x0b\x0c\r" for c in t), *[sum(f(c) for c in t) for f in (lambda c: "A" <= c <= "Z", lambda c: "0" <= c <= "9", lambda c: c in ".,;:!?'\"()-", lambda c: c in "#*$%&|<>", lambda c: c > "\x7f")]]
         return [*n, len(t) - sum(n)]
 
-    long = [t for t in texts if len(words(t)) >= 200 and len(t) >= 200]
+    long = [t for t in texts if len(words(t)) >= 200 and len(t) >= 200 and 2 * base_counts(t)[4] <= len(words(t))]
     total = [sum(x) for x in zip(*map(classes, long), strict=True)]
     for i, t in enumerate(texts):
         if t:
@@ -255,6 +255,10 @@ def test_quality_rules(spark):
     kept = quality_rules.keep_good(docs.withColumnRenamed("n_chars", "kept"))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in rows.items() if r.kept) and kept.columns[-1] == "kept"
     assert quality_rules.judge(docs.limit(0)).isEmpty() and quality_rules.keep_good(docs.limit(0)).isEmpty()
+    russian = "Обычный текст о погоде и людях " * 3 + " ".join(f"слово{i}" for i in range(300))
+    other = spark.createDataFrame([(99, russian, "ru", "a", 1)], docs.schema)
+    (row,) = quality_rules.judge(docs.unionByName(other)).where("doc_id = 99").collect()
+    assert row.kept and row.class_distance is None  # a language without a reference
     assert quality_rules.judge(docs.withColumnRenamed("lang", "x").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).where("kept").count() >= 12
 
 
