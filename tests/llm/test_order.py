@@ -194,3 +194,23 @@ def test_pipeline_returns_the_mixed_order_of_many_files(spark):
     assert sorted(r.position for r in got) == list(range(300))
     assert [r.doc_id for r in sorted(got, key=lambda r: r.position)] == order
     assert [r.doc_id for r in written.select("doc_id").collect()] != order  # what a scan returns
+
+
+def test_pipeline_stages_of_odd_tables(spark):
+    """Nulls in any column, empty tables, repeated rows, very long texts and clashing names: every stage has a defined result."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    good = " ".join(rng.choice(["the", "of", "and", "to", "in", "is"]) if rng.random() < 0.4 else w for w in (f"v{rng.randrange(500)}" for _ in range(120)))
+    rows = [(1, good), (1, good), (None, good), (2, None), (3, ""), (4, "y" * 200_000), (5, "Mrs. Anna Weber wrote to anna@mail.example. " + good)]
+    docs = documents(spark, rows, [None, "a"]).selectExpr("*", "'kept' AS class_id", "'kept' AS _order", "1 AS kept")
+    wanted = {"quality_rules": 4, "ngram_join": 7, "pii": 7, "mixing": 7, "bpe": 7}
+    for name, stage in corpus_pipeline.STAGES:
+        source = corpus_pipeline.materialize(docs, "odd") if name == "bpe" else docs
+        out = stage(spark, source, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        got = out.collect()
+        assert len(got) == wanted[name], (name, len(got))
+        assert all((r.class_id, r._order, r.kept) == ("kept", "kept", 1) for r in got)
+        empty = corpus_pipeline.materialize(docs.limit(0), "none") if name == "bpe" else docs.limit(0)
+        assert stage(spark, empty, SF).isEmpty(), name
