@@ -8,14 +8,17 @@ are one shingle, no words an empty set that is linked with nothing. Two document
 2. All shingles are counted exactly. A shingle of one document alone cannot be shared, so the unshared ones come
    first in every order used here, and only shared shingles are kept (as 48 bits). A document whose unshared
    shingles fill its prefix of n - ceil(percent * n / 100) + 1 can have no partner and leaves.
+   A shingle of many documents in one stretch of the input is passed on as a count; its documents stay spread over
+   all tasks and meet the total afterwards, so no task holds all documents of a common shingle.
 3. Order 1 is (number of documents, hash), order 2 the ascending and order 3 the descending hash. Linked
    documents share a shingle of their prefixes under every one of them. Candidates share one under order 1 (the
    index); intersecting with orders 2 and 3 comes before the exact overlap.
 4. In each list of the index documents stand in order of the mean count of their shingles, so that what most others
-   were copied from comes first. Every document is first compared with the one before it and with the first of the
-   list. The links found join near copies into components. Then all pairs of a list that are in different
-   components are candidates, unless lengths or positions rule them out; so a large group of near copies costs
-   a number of pairs in proportion to its size, and no link between components is missed.
+   were copied from comes first; long lists are dealt at random into parts of bounded length. Every document is
+   first compared with the one before it in its part and with the first of the whole list. The links found join
+   near copies into components. Then all pairs of a list that are in different components are candidates, unless
+   lengths or positions rule them out; so a large group of near copies costs a number of pairs in proportion to
+   its size, and no link between components is missed.
 
 Null texts are empty. Rows without doc_id have no component; rows that share a doc_id are one node. Extra
 columns of the input are not carried.
@@ -33,6 +36,8 @@ from slotstream.llm.components import connected_components
 
 TOKENS_PER_PARTITION = 1_000_000  # of the exact count; sets the number of partitions from the corpus
 TOKENS_PER_ROW_GROUP = 500_000
+COMMON = 32  # documents of one row group; shingles of so many are counted apart from their documents
+LIST_PART = 1000  # documents that one window over a list orders, on average
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -63,31 +68,65 @@ def _features(df: DataFrame, size: int) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
 
 
+_48_BITS = np.uint64((1 << 48) - 1)
+
+
+def _runs(sorted_values: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of every run of equal values."""
+    edges = [0, *(np.flatnonzero(np.diff(sorted_values)) + 1).tolist(), len(sorted_values)]
+    return [(a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+
+
+def _binary(values) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
 def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
     """doc_id, tokens (shingles that more than one document has) and dfs (how many have each).
 
     The shuffle carries 6 bytes a shingle and each doc_id once per partition: bytes of many documents make a row.
     """
 
+    def halves(tokens):
+        return (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), (tokens >> np.uint64(32)).astype(np.uint16).tobytes()
+
+    def whole(low, high):
+        return np.frombuffer(low, dtype=np.uint32) | (np.frombuffer(high, dtype=np.uint16).astype(np.uint64) << np.uint64(32))
+
     def deal(batches):
+        """Rows of documents' shingles for a receiving partition, rows of one common shingle, and counts of those."""
         ids, sets, n = [], [], 0
 
         def rows():
-            lengths = [len(s) for s in sets]
-            tokens, docs_at = np.concatenate(sets), np.repeat(np.arange(len(ids)), lengths)
+            tokens = np.concatenate(sets) & _48_BITS
+            docs_at = np.repeat(np.arange(len(ids)), [len(s) for s in sets])
+            known = np.array(ids, dtype=np.int64)
+            values, inverse, times = np.unique(tokens, return_inverse=True, return_counts=True)
+            hot = np.flatnonzero(times >= COMMON)
+            common = (times >= COMMON)[inverse]
+            out = []
+            places = np.flatnonzero(common)
+            places = places[np.argsort(inverse[places], kind="stable")]
+            for a, b in _runs(inverse[places]):
+                token = tokens[places[a] : places[a] + 1]
+                spread = int(mix(token ^ known[:1].view(np.uint64))[0] % np.uint64(partitions))
+                out.append(("common", spread, known[docs_at[places[a:b]]].tobytes(), b"", *halves(token)))
+            home = (values[hot] % np.uint64(partitions)).astype(np.int32)
+            hot = hot[np.argsort(home, kind="stable")]
+            home = np.sort(home)
+            for a, b in _runs(home):
+                out.append(("count", int(home[a]), b"", times[hot[a:b]].astype(np.uint32).tobytes(), *halves(values[hot[a:b]])))
+            tokens, docs_at = tokens[~common], docs_at[~common]
             bucket = (tokens % np.uint64(partitions)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             tokens, docs_at, bucket = tokens[order], docs_at[order], bucket[order]
-            known = np.array(ids, dtype=np.int64)
-            edges = np.flatnonzero(np.diff(bucket)) + 1
-            out = []
-            for a, b in zip([0, *edges], [*edges, len(bucket)], strict=True):
+            for a, b in _runs(bucket):
                 part = docs_at[a:b]
                 first = np.flatnonzero(np.diff(part, prepend=-1))
                 counts = np.diff(first, append=len(part)).astype(np.uint32)
-                out.append((int(bucket[a]), known[part[first]].tobytes(), counts.tobytes(), (tokens[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((tokens[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()))
+                out.append(("own", int(bucket[a]), known[part[first]].tobytes(), counts.tobytes(), *halves(tokens[a:b])))
             columns = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "ids", "counts", "low", "high"])
+            return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1], pa.int32()), *[_binary(c) for c in columns[2:]]], names=["kind", "bucket", "ids", "counts", "low", "high"])
 
         for batch in batches:
             for i, x in zip(batch.column("doc_id"), batch.column("text"), strict=True):
@@ -102,33 +141,63 @@ def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
         if n:
             yield rows()
 
+    def batch_of(kind, bucket, token, df, ids, tokens, dfs):
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(bucket, pa.int32()), pa.array(token, pa.int64()), pa.array(df, pa.int64()), _binary(ids), _binary(tokens), _binary(dfs)], names=["kind", "bucket", "token", "df", "ids", "tokens", "dfs"])
+
     def count(batches):
-        ids, tokens = [], []
+        """Shared shingles with their numbers of documents, totals of common ones; rows of common ones pass through."""
+        ids, tokens, sums, summed = [], [], [], []
         for batch in batches:
-            for i, c, low, high in zip(*[batch.column(k) for k in ("ids", "counts", "low", "high")], strict=True):
-                ids.append(np.repeat(np.frombuffer(i.as_py(), dtype=np.int64), np.frombuffer(c.as_py(), dtype=np.uint32)))
-                tokens.append(np.frombuffer(low.as_py(), dtype=np.uint32) | (np.frombuffer(high.as_py(), dtype=np.uint16).astype(np.uint64) << np.uint64(32)))
-        if not ids:
+            passed = []
+            for kind, i, c, low, high in zip(*[batch.column(k) for k in ("kind", "ids", "counts", "low", "high")], strict=True):
+                values = whole(low.as_py(), high.as_py())
+                if kind.as_py() == "common":
+                    passed.append((int(values[0]), i.as_py()))
+                elif kind.as_py() == "count":
+                    summed.append(values)
+                    sums.append(np.frombuffer(c.as_py(), dtype=np.uint32).astype(np.int64))
+                else:
+                    ids.append(np.repeat(np.frombuffer(i.as_py(), dtype=np.int64), np.frombuffer(c.as_py(), dtype=np.uint32)))
+                    tokens.append(values)
+            if passed:
+                none, empty = [None] * len(passed), [b""] * len(passed)
+                yield batch_of(["common"] * len(passed), none, [t for t, _ in passed], none, [i for _, i in passed], empty, empty)
+        if not ids and not sums:
             return
-        ids, tokens = np.concatenate(ids), np.concatenate(tokens)
+        own = sum(len(x) for x in ids)
+        tokens = np.concatenate([*tokens, *summed])
+        weights = np.concatenate([np.ones(own, dtype=np.int64), *sums])
+        ids = np.concatenate([*ids, np.zeros(len(tokens) - own, dtype=np.int64)])
         order = np.argsort(tokens, kind="stable")
-        tokens = tokens[order]
+        tokens, weights = tokens[order], weights[order]
         first = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
-        dfs = np.diff(first, append=len(tokens))
-        keep = np.repeat(dfs > 1, dfs)
-        ids, tokens, dfs = ids[order[keep]], tokens[keep], np.repeat(dfs, dfs)[keep]
-        if len(ids) == 0:
-            return
-        yield packed(ids, tokens, dfs.astype(np.uint32))
+        lengths = np.diff(first, append=len(tokens))
+        dfs = np.add.reduceat(weights, first)
+        counted = order >= own
+        totals = np.flatnonzero(np.logical_or.reduceat(counted, first))
+        if len(totals):
+            none, empty = [None] * len(totals), [b""] * len(totals)
+            yield batch_of(["total"] * len(totals), none, tokens[first[totals]].view(np.int64), dfs[totals], empty, empty, empty)
+        keep = np.repeat(dfs > 1, lengths) & ~counted
+        if keep.any():
+            yield packed(ids[order[keep]], tokens[keep].view(np.int64), np.repeat(dfs, lengths)[keep])
 
     def packed(ids, tokens, dfs):
         """The same bytes again, dealt by document: a row per receiving partition, not one per document."""
         bucket = (mix(ids.view(np.uint64)) % np.uint64(partitions)).astype(np.int32)
         order = np.lexsort((ids, bucket))
-        ids, tokens, dfs, bucket = ids[order], tokens[order], dfs[order], bucket[order]
-        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)]
-        spans = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
-        return pa.RecordBatch.from_arrays([pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), *[pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (ids, tokens, dfs)]], names=["bucket", "ids", "tokens", "dfs"])
+        ids, tokens, dfs, bucket = ids[order], tokens[order], dfs[order].astype(np.uint32), bucket[order]
+        spans = _runs(bucket)
+        none = [None] * len(spans)
+        return batch_of(["own"] * len(spans), [int(bucket[a]) for a, _ in spans], none, none, *[[x[a:b].tobytes() for a, b in spans] for x in (ids, tokens, dfs)])
+
+    def rejoin(batches):
+        for batch in batches:
+            ids = [np.frombuffer(x.as_py(), dtype=np.int64) for x in batch.column("ids")]
+            lengths = [len(x) for x in ids]
+            if sum(lengths):
+                token, df = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "df"))
+                yield packed(np.concatenate(ids), np.repeat(token, lengths), np.repeat(df, lengths))
 
     def gather(batches):
         parts = [[np.frombuffer(x.as_py(), dtype=t) for x in batch.column(c)] for batch in batches for c, t in (("ids", np.int64), ("tokens", np.int64), ("dfs", np.uint32))]
@@ -143,8 +212,12 @@ def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), pa.array(x[cut[0] : cut[-1]])) for x in (tokens, dfs)]
             yield pa.RecordBatch.from_arrays([pa.array(ids[cut[:-1]]), *lists], names=["doc_id", "tokens", "dfs"])
 
-    dealt = docs.mapInArrow(deal, "bucket int, ids binary, counts binary, low binary, high binary").repartition(partitions, "bucket")
-    back = dealt.mapInArrow(count, "bucket int, ids binary, tokens binary, dfs binary").repartition(partitions, "bucket")
+    dealt = docs.mapInArrow(deal, "kind string, bucket int, ids binary, counts binary, low binary, high binary").repartition(partitions, "bucket")
+    columns = "kind string, bucket int, token long, df long, ids binary, tokens binary, dfs binary"
+    counted = materialize(dealt.mapInArrow(count, columns), "counted")
+    totals = counted.where("kind = 'total'").select("token", "df")
+    common = counted.where("kind = 'common'").select("token", "ids").join(bounded(totals), "token").mapInArrow(rejoin, columns)
+    back = counted.where("kind = 'own'").unionByName(common).select("bucket", "ids", "tokens", "dfs").repartition(partitions, "bucket")
     return back.mapInArrow(gather, "doc_id long, tokens array<long>, dfs array<int>")
 
 
@@ -186,10 +259,12 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     # places count from the first shared shingle; the unshared ones before it are added
     unshared = (F.col("n") - F.size("tokens")).alias("unshared")
     postings = sets.select("doc_id", "n", "central", unshared, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("unshared")).drop("unshared")
-    by_place = Window.partitionBy("token").orderBy(F.col("central").desc(), "doc_id")
-    entry = F.struct("doc_id", "n")
-    listed = postings.withColumns({"before": F.lag(entry).over(by_place), "after": F.lead(F.lit(1)).over(by_place), "head": F.first(entry).over(by_place.rowsBetween(Window.unboundedPreceding, 0))})
-    lists = materialize(listed.where("before is not null or after is not null").drop("after", "central"), "lists")
+    # the first of a list by a partial aggregation, the one before within a part of it
+    heads = postings.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct((-F.col("central")).alias("rank"), "doc_id", "n")).alias("head")).where("length > 1")
+    heads = materialize(heads.select("token", F.ceil(F.col("length") / LIST_PART).alias("parts"), F.struct("head.doc_id", "head.n").alias("head")), "heads")
+    listed = postings.join(bounded(heads), "token").withColumn("part", F.expr("pmod(xxhash64(doc_id), parts)"))
+    by_place = Window.partitionBy("token", "part").orderBy(F.col("central").desc(), "doc_id")
+    lists = materialize(listed.withColumn("before", F.lag(F.struct("doc_id", "n")).over(by_place)).drop("central", "parts", "part"), "lists")
     near = lists.select("doc_id", "n", F.explode(F.array("before", "head")).alias("other")).where(F.col("other").isNotNull() & (F.col("other.doc_id") != F.col("doc_id")) & _fit(F.col("n"), F.col("other.n"), percent))
     first = materialize(near.select(F.greatest("doc_id", "other.doc_id").alias("a"), F.least("doc_id", "other.doc_id").alias("b")).distinct(), "pairs")
     links = materialize(_verified(first, sets, percent), "links")

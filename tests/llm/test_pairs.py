@@ -57,6 +57,15 @@ def test_near_duplicates(spark, seed):
     assert got == brute_components(docs)
 
 
+def test_near_duplicates_with_common_shingles_and_long_lists(spark, monkeypatch):
+    """Counting common shingles apart from their documents and dealing lists into parts change no result."""
+    monkeypatch.setattr(ngram_join, "COMMON", 2)
+    monkeypatch.setattr(ngram_join, "LIST_PART", 4)
+    docs = near_copy_corpus(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(spark, docs).coalesce(2)).collect()}
+    assert got == brute_components(docs)
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert ngram_join.near_duplicates(documents(spark, [(1, "x")]).limit(0)).isEmpty()
     same = "one two three four five six seven"
