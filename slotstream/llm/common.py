@@ -67,7 +67,7 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
             width += F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith(("array", "map", "struct")):
             width += F.octet_length(F.to_json(F.struct(name)))
-    n, size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 

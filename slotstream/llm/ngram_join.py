@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotstream.llm.common import bounded, materialize, mix, window_hashes, word_hashes
+from slotstream.llm.common import bounded, forget, materialize, mix, window_hashes, word_hashes
 from slotstream.llm.components import connected_components
 
 TOKENS_PER_PARTITION = 1_000_000  # of the exact count; sets the number of partitions from the corpus
@@ -81,8 +81,8 @@ def _binary(values) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
-def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
-    """doc_id, tokens (shingles that more than one document has) and dfs (how many have each).
+def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, tokens (shingles that more than one document has) and dfs (how many have each); and the scratch table behind them.
 
     The shuffle carries 6 bytes a shingle and each doc_id once per partition: bytes of many documents make a row.
     """
@@ -218,7 +218,7 @@ def _shared_tokens(docs: DataFrame, size: int, partitions: int) -> DataFrame:
     totals = counted.where("kind = 'total'").select("token", "df")
     common = counted.where("kind = 'common'").select("token", "ids").join(bounded(totals), "token").mapInArrow(rejoin, columns)
     back = counted.where("kind = 'own'").unionByName(common).select("bucket", "ids", "tokens", "dfs").repartition(partitions, "bucket")
-    return back.mapInArrow(gather, "doc_id long, tokens array<long>, dfs array<int>")
+    return back.mapInArrow(gather, "doc_id long, tokens array<long>, dfs array<int>"), counted
 
 
 def _fit(na: Column, nb: Column, percent: int) -> Column:
@@ -248,7 +248,7 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     total = reps.agg(F.sum("n")).first()[0] or 0
     partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TOKENS_PER_PARTITION))
     single = docs.where("doc_id is not null").join(bounded(copied), "doc_id", "left_anti")
-    shared = _shared_tokens(single, size, partitions)
+    shared, counted = _shared_tokens(single, size, partitions)
     lengths = reps.groupBy(F.col("class_id").alias("doc_id")).agg(F.max("n").alias("n"))
     # the prefix holds the unshared shingles and then the first q shared ones
     q = F.size("tokens") + _prefix_length(F.col("n"), percent) - F.col("n")
@@ -256,6 +256,7 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     pairs = F.sort_array(F.arrays_zip(F.col("dfs"), F.col("tokens")))
     central = (F.aggregate("dfs", F.lit(0).cast("long"), lambda a, x: a + x) / F.col("n")).alias("central")
     sets = materialize(sets.select("doc_id", "n", "q", central, F.array_sort("tokens").alias("tokens"), F.transform(F.slice(pairs, F.lit(1), F.col("q")), lambda x: x["tokens"]).alias("prefix")), "sets")
+    forget(counted)
     # places count from the first shared shingle; the unshared ones before it are added
     unshared = (F.col("n") - F.size("tokens")).alias("unshared")
     postings = sets.select("doc_id", "n", "central", unshared, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("unshared")).drop("unshared")
