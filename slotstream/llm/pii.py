@@ -12,6 +12,8 @@ joined with their attempts.
 
 A name is the capitalised words after a title, with particles and initials; each part has a surrogate by itself, so
 full and short mentions agree, and the parts are replaced without a title too in the texts that hold the name.
+Bank account numbers (IBAN) count if their check digits are right, and get right ones; IPv6 addresses keep their
+groups of zeros and their spelling; social security numbers (123-45-6789) stay in the ranges that are given out.
 
 Null texts stay null, empty ones empty. Other columns pass through, whatever their names.
 """
@@ -19,6 +21,7 @@ Null texts stay null, empty ones empty. Other columns pass through, whatever the
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -37,6 +40,9 @@ _PATTERN = re.compile(
     r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
     r"|(?<![0-9A-Za-z])(?P<hex>[0-9a-fA-F]{32,128})(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])(?P<iban>(?-i:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?))(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z:.])(?=[0-9a-f:]*[0-9])(?P<ipv6>(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?=[a-f]{0,3}[0-9])[0-9a-f]{3,4}(?::[0-9a-f]{1,4}){0,5}::[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,5})(?![0-9A-Za-z:])"
+    r"|(?<![\w-])(?P<ssn>(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![\w-])"
     r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)"
     r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4})(?!\d)"
     r"|(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)"
@@ -97,11 +103,33 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _iban_rest(iban: str) -> int:
+    """The remainder by 97 of the number that an IBAN stands for; 1 if its check digits are right."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _checked(kind: str, mention: str) -> int:
+    """The length of the entity that a mention begins with; 0 if it is none."""
+    if kind == "iban":  # words in capitals may follow
+        ends = [len(mention), *[m.start() for m in re.finditer(" ", mention)][::-1]]
+        return next((end for end in ends if 15 <= end - mention.count(" ", 0, end) <= 34 and _iban_rest(mention[:end].replace(" ", "")) == 1), 0)
+    if kind == "ipv6":
+        try:
+            ipaddress.IPv6Address(mention)
+        except ValueError:
+            return 0
+    return len(mention)
+
+
 def canonical(kind: str, mention: str) -> str:
     """The form in which mentions of one entity agree."""
     if kind in ("email", "hex"):
         return mention.lower()
-    if kind in ("phone", "card"):
+    if kind == "iban":
+        return mention.replace(" ", "")
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(mention).exploded
+    if kind in ("phone", "card", "ssn"):
         digits = "".join(str(int(c)) for c in mention if c.isdecimal())
         # numbers without a country code are those of +1
         return digits[1:] if kind == "phone" and mention[0] == "+" and digits[0] == "1" and len(digits) == 11 else digits
@@ -142,6 +170,15 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         if _luhn(canon) == 0:
             out = out[:-1] + str((10 - _luhn(out[:-1] + "0")) % 10)
         return out
+    if kind == "ssn":
+        area = 1 + draw.below(664)
+        return f"{area + (area > 665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}{more}"
+    if kind == "iban":
+        rest = _like(draw, canon[4:]) + more
+        return f"{canon[:2]}{98 - _iban_rest(canon[:2] + '00' + rest):02d}{rest}"
+    if kind == "ipv6":
+        groups = [x.lstrip("0") if attempt <= SAME_LENGTH else x for x in canon.split(":")]
+        return ":".join("".join("0123456789abcdef"[draw.below(16) if k else 1 + draw.below(15)] for k in range(len(x))).zfill(4) for x in groups)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4)) if attempt < 64 else f"10.{attempt}.{draw.below(1 << 30)}"
     if kind in ("f", "m"):
@@ -152,7 +189,13 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
 
 def _render(kind: str, mention: str, canon: str) -> str:
     """The canonical surrogate in the manner of the mention."""
-    if kind in ("phone", "card"):
+    if kind == "iban":
+        left = iter(canon)
+        return "".join(c if c == " " else next(left) for c in mention) + "".join(left)
+    if kind == "ipv6":
+        out = _spelled(mention, canon)
+        return out.upper() if mention.isupper() else out
+    if kind in ("phone", "card", "ssn"):
         code = "1" if kind == "phone" and len(canonical(kind, mention)) < sum(c.isdecimal() for c in mention) else ""
         digits = iter(code + canon)
         out = "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in mention)
@@ -164,6 +207,16 @@ def _render(kind: str, mention: str, canon: str) -> str:
     return canon
 
 
+def _spelled(mention: str, canon: str) -> str:
+    """An IPv6 address with the groups that a mention spells out, as long as these; in full if others are not zero."""
+    new, (head, gap, tail) = canon.split(":"), mention.partition("::")
+    first, last = head.split(":"), tail.split(":") if gap else []
+    if any(int(x, 16) for x in new[len(first) : 8 - len(last)]):
+        return canon
+    short = lambda old, x: x.lstrip("0").zfill(len(old))
+    return ":".join(map(short, first, new)) + gap + ":".join(map(short, last, new[8 - len(last) :]))
+
+
 def _pieces(text: str):
     """(start, piece) of the parts of a text between line breaks that no entity passes."""
     start, at, still_open = 0, 0, False
@@ -219,6 +272,12 @@ def _entities(piece: str):
         else:
             kind = m.lastgroup if m.lastgroup != "sep" else "card"
             start, end = m.span(kind)
+            if kind in ("iban", "ipv6"):
+                end = start + _checked(kind, piece[start:end])
+                at = end if end > start else start + 1
+                if end == start:
+                    m = _PATTERN.search(piece, at)
+                    continue
             yield "hex" if kind == "secret" and re.fullmatch("[0-9a-fA-F]{32,128}", piece[start:end]) else kind, start, end
         m = _EMAIL_REST.match(piece, at) or _PATTERN.search(piece, at)
 

@@ -190,6 +190,21 @@ def test_pii_whole_names(text, names):
     assert outside(text, pii.mentions(text)) == outside(new, pii.mentions(new))
 
 
+def test_pii_accounts_addresses_and_numbers_with_checks():
+    text = "Pay DE89 3704 0044 0532 0130 00 AND GB82WEST12345698765432, from 2001:DB8::1 or 2001:0db8:0:0:0:0:0:1, 078-05-1120. No: 12:30:45, std::dead::beef, 666-12-1234, XX00 3704 0044 0532"
+    found = [(kind, text[a:b]) for kind, a, b in pii.mentions(text)]
+    assert found == [("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432"), ("ipv6", "2001:DB8::1"), ("ipv6", "2001:0db8:0:0:0:0:0:1"), ("ssn", "078-05-1120")]
+    new, n = pii.replace(text, b"key", {})
+    assert n == 5 and new.endswith(text[text.index(". No:") :]) and not any(mention in new for _, mention in found)
+    kinds, mentions = zip(*[(kind, new[a:b]) for kind, a, b in pii.mentions(new) if kind != "ipv6"], strict=True)
+    assert kinds == ("iban", "iban", "ssn") and [len(m) for m in mentions] == [len(m) for k, m in found if k != "ipv6"]
+    short, long = new[new.index("from ") + 5 :].split(",")[0].split(" or ")
+    assert pii.canonical("ipv6", short) == pii.canonical("ipv6", long) and short.isupper() and len(short) == len("2001:DB8::1")
+    for kind, canon in (("iban", "GB82WEST12345698765432"), ("ipv6", pii.canonical("ipv6", "fe80::1")), ("ssn", "078051120")):
+        assert len({pii.surrogate(b"key", kind, canon, attempt) for attempt in range(40)}) > 20
+        assert all(pii.canonical(kind, pii._render(kind, canon, drawn)) == drawn for drawn in (pii.surrogate(b"key", kind, canon, k) for k in range(7)))
+
+
 def test_pii_phone_with_and_without_country_code():
     new, n = pii.replace("+1 (017) 555-7713 or (017) 555-7713 or +44 (017) 555-7713", b"k", {})
     a, b, c = new.split(" or ")
