@@ -225,6 +225,12 @@ def _fit(na: Column, nb: Column, percent: int) -> Column:
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
+def _reachable(percent: int) -> Column:
+    """Whether entries x and y of one list may still be linked, by lengths and by what can be shared from their places on."""
+    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    return _fit(F.col("x_n"), F.col("y_n"), percent) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked: orders 2 and 3 first, then the exact overlap. ``sets``: doc_id, n, q, tokens in ascending order."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("q").alias("qa"), F.col("tokens").alias("ta"))
@@ -236,17 +242,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(low & high).where(100 * shared >= percent * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
-def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest doc_id with an equal set) and component_id of every row."""
+def _classes(df: DataFrame, size: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents, their features (doc_id, n, d1, d2) and the classes of equal sets (d1, d2, class_id, copies, n)."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = materialize(_features(docs, size), "features")
     named = features.where("doc_id is not null and n > 0")
-    reps = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "classes")
+    reps = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    return docs, features, materialize(reps, "classes")
+
+
+def _index(docs: DataFrame, features: DataFrame, reps: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of one document of each class: its set (doc_id, n, q, central, tokens, prefix), its entries in the lists of order 1 and the lists' lengths and firsts."""
     # of copies, only the one with the smallest doc_id is indexed
+    named = features.where("doc_id is not null and n > 0")
     copied = named.join(reps.where("copies > 1").select("d1", "d2", "class_id"), ["d1", "d2"]).where("doc_id <> class_id").select("doc_id")
     copied = materialize(copied.join(reps.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti").distinct(), "copies")
     total = reps.agg(F.sum("n")).first()[0] or 0
-    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TOKENS_PER_PARTITION))
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TOKENS_PER_PARTITION))
     single = docs.where("doc_id is not null").join(bounded(copied), "doc_id", "left_anti")
     shared, counted = _shared_tokens(single, size, partitions)
     lengths = reps.groupBy(F.col("class_id").alias("doc_id")).agg(F.max("n").alias("n"))
@@ -263,7 +275,19 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     # the first of a list by a partial aggregation, the one before within a part of it
     heads = postings.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct((-F.col("central")).alias("rank"), "doc_id", "n")).alias("head")).where("length > 1")
     heads = materialize(heads.select("token", F.ceil(F.col("length") / LIST_PART).alias("parts"), F.struct("head.doc_id", "head.n").alias("head")), "heads")
-    listed = postings.join(bounded(heads), "token").withColumn("part", F.expr("pmod(xxhash64(doc_id), parts)"))
+    return sets, postings, heads
+
+
+def _part(parts: str = "parts") -> Column:
+    """The part of a long list that a document is dealt to."""
+    return F.expr(f"pmod(xxhash64(doc_id), {parts})")
+
+
+def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest doc_id with an equal set) and component_id of every row."""
+    docs, features, reps = _classes(df, size, doc_id, text)
+    sets, postings, heads = _index(docs, features, reps, size, percent)
+    listed = postings.join(bounded(heads), "token").withColumn("part", _part())
     by_place = Window.partitionBy("token", "part").orderBy(F.col("central").desc(), "doc_id")
     lists = materialize(listed.withColumn("before", F.lag(F.struct("doc_id", "n")).over(by_place)).drop("central", "parts", "part"), "lists")
     near = lists.select("doc_id", "n", F.explode(F.array("before", "head")).alias("other")).where(F.col("other").isNotNull() & (F.col("other.doc_id") != F.col("doc_id")) & _fit(F.col("n"), F.col("other.n"), percent))
@@ -275,8 +299,7 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     mixed = apart.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     apart = materialize(apart.join(mixed, "token"), "apart")
     x, y = apart.select(*[F.col(c).alias(f"x_{c}") for c in apart.columns]), apart.select(*[F.col(c).alias(f"y_{c}") for c in apart.columns])
-    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))  # no more can be shared from here on
-    crossing = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_doc_id") > F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component")) & _fit(F.col("x_n"), F.col("y_n"), percent) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n"))))
+    crossing = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_doc_id") > F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component")) & _reachable(percent))
     second = crossing.select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = materialize(_verified(materialize(second, "pairs"), sets, percent), "links")
     found = materialize(connected_components(links.unionByName(more)), "labels")
@@ -284,3 +307,42 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str
     out = out.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.coalesce("component", "class_id")).alias("component_id"))
+
+
+def links(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, as pairs a > b of class ids; and the membership (doc_id, class_id, n_shingles) of every row.
+
+    Unlike ``near_duplicates`` it verifies the pairs within components too, so its work follows the number of
+    candidate pairs, which a group of m near copies (not of exact ones) raises to m * m / 2. Long lists are met in
+    pairs of parts of about LIST_PART documents, so no task has a whole list to itself.
+    Rows without doc_id have no class and no link; empty texts are their own class and have none. Rows that repeat a
+    doc_id and its text count once; of a doc_id with different texts the links are not defined.
+    """
+    docs, features, reps = _classes(df, size, doc_id, text)
+    sets, postings, heads = _index(docs, features, reps, size, percent)
+    listed = postings.join(bounded(heads.select("token", "parts")), "token").withColumn("part", _part())
+    listed = materialize(listed.select("token", "doc_id", "n", "at", "part", "parts"), "lists")
+    # a document of part p meets part k under the key (greater, smaller) of the two
+    met = listed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = met.select("token", F.greatest("part", "other").alias("hi"), F.least("part", "other").alias("lo"), "doc_id", "n", "at", "part")
+    x, y = met.select(*[F.col(c).alias(f"x_{c}") for c in met.columns]), met.select(*[F.col(c).alias(f"y_{c}") for c in met.columns])
+    same = (F.col("x_token") == F.col("y_token")) & (F.col("x_hi") == F.col("y_hi")) & (F.col("x_lo") == F.col("y_lo"))
+    once = (F.col("x_doc_id") > F.col("y_doc_id")) & ((F.col("x_part") != F.col("y_part")) | (F.col("x_hi") == F.col("x_lo")))
+    pairs = x.join(y, same & once & _reachable(percent)).select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct()
+    found = _verified(materialize(pairs, "pairs"), sets, percent)
+    members = features.join(reps.drop("n", "copies"), ["d1", "d2"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
+    return found, members.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"), F.col("n").alias("n_shingles"))
+
+
+def link_counts(df: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, class_id and n_links of every row: how many other doc_ids it is linked with, copies included.
+
+    Counts are added up by class, so copies are not expanded into pairs; work and odd cases are those of ``links``.
+    """
+    found, members = links(df, size, percent, doc_id, text)
+    found, members = materialize(found, "links"), materialize(members, "members")
+    sizes = members.where("doc_id is not null and n_shingles > 0").select("doc_id", "class_id").distinct().groupBy("class_id").agg(F.count(F.lit(1)).alias("members"))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes.withColumnRenamed("class_id", "b"), "b").groupBy(F.col("a").alias("class_id")).agg(F.sum("members").alias("others"))
+    counts = materialize(sizes.join(others, "class_id", "left").select("class_id", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "counts")
+    return members.join(bounded(counts), "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))

@@ -50,6 +50,34 @@ def near_copy_corpus(seed):
     return docs + [(5001, None), (5002, ""), (5003, " \t "), (5004, "a\x1cb é"), (5005, "A\x1cb é"), (5006, "a b c d"), (5007, "A B C D")]
 
 
+def brute_links(docs):
+    """Number of other doc_ids linked with each, and the links between different sets."""
+    sets = {i: shingles(t) for i, t in docs}
+    linked = {(i, j) for i in sets for j in sets if i != j and sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets if sets[i]}
+    counts = {i: sum(x == i for x, _ in linked) for i in sets}
+    return counts, {(first[i], first[j]) for i, j in linked if sets[i] != sets[j] and first[i] > first[j]}
+
+
+@pytest.mark.parametrize("part", [3, 1000])
+def test_links(spark, monkeypatch, part):
+    """Every link between different texts is found, within components too, and the copies are counted."""
+    monkeypatch.setattr(ngram_join, "LIST_PART", part)
+    docs = near_copy_corpus(4)
+    counts, pairs = brute_links(docs)
+    found, _ = ngram_join.links(documents(spark, docs))
+    got = [(r.a, r.b) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs
+    assert {r.doc_id: r.n_links for r in ngram_join.link_counts(documents(spark, docs)).collect()} == counts
+
+
+def test_links_of_odd_tables(spark):
+    assert ngram_join.link_counts(documents(spark, [(1, "x")]).limit(0)).isEmpty()
+    rows = [(None, "a b c"), (None, None), (4, "a b c"), (4, "a b c"), (7, "A b c"), (8, ""), (9, None)]
+    got = sorted(((r.doc_id or -1, r.n_links) for r in ngram_join.link_counts(documents(spark, rows)).collect() if r.doc_id))
+    assert got == [(4, 1), (4, 1), (7, 1), (8, 0), (9, 0)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_duplicates(spark, seed):
     docs = near_copy_corpus(seed)
