@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.llm import bpe, license_scan, mixing, ngram_join, pii, quality_rules, substring_dedup, token_counts, topk_search, url_filter
+from slotstream.llm import bpe, license_scan, mixing, ngram_join, phrases, pii, quality_rules, simhash, substring_dedup, token_counts, topk_search, url_filter, variants
 from slotstream.llm.common import bounded, materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -199,5 +199,60 @@ FROM dealt d JOIN placed p ON round >= r AND round < r + rounds JOIN places x ON
 """
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing}
-ORACLE_SQL = {"op2_ngram_join": OP2_SQL, "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL, "op10_mixing": OP10_SQL}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters or more with their frequent forms and roots."""
+    return variants.group(_table(spark, sf_dir, "documents").select("doc_id", "text"), least_length=7, least_count=2, ratio=10, one_in=31)
+
+
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP11_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, [CAST(0 AS BIGINT) FOR x IN range(8)]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+runs AS (SELECT doc_id, run, count(*) AS k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM (
+  SELECT doc_id, {_FOLD.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}'))")} AS run FROM documents) GROUP BY doc_id, run),
+summed AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, [CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT) FOR i IN range(length(x) // 2)]),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+words AS (SELECT w, CAST(sum(k) AS BIGINT) AS n FROM (
+  SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS w FROM summed) WHERE length(w) >= 7 GROUP BY w HAVING sum(k) >= 2),
+cut AS (SELECT w, i, left(w, i) || substr(w, i + 2) AS c FROM (SELECT w, unnest(range(length(w))) AS i FROM words)),
+near AS (SELECT a.w, b.w AS v FROM cut a JOIN cut b ON a.c = b.c AND a.i = b.i AND a.w <> b.w
+  UNION SELECT a.w, b.w FROM cut a JOIN words b ON a.c = b.w UNION SELECT b.w, a.w FROM cut a JOIN words b ON a.c = b.w),
+best AS (SELECT w, count(*) AS n_near, arg_max(v, n) FILTER (first) AS form, max(n) AS form_n FROM (
+  SELECT near.w, v, n, row_number() OVER (PARTITION BY near.w ORDER BY n DESC, v) = 1 AS first FROM near JOIN words ON words.w = v) GROUP BY w),
+forms AS (SELECT words.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM words LEFT JOIN best USING (w)),
+ways(w, root) AS (SELECT w, w FROM forms UNION ALL SELECT ways.w, form FROM ways JOIN forms ON forms.w = ways.root WHERE form IS NOT NULL),
+ends AS (SELECT ways.w, root FROM ways JOIN forms ON forms.w = ways.root WHERE form IS NULL)
+SELECT w AS word, form, root, n, n_near, form_n FROM forms JOIN ends USING (w)
+"""
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles, and components of those that differ in 4 bits at most."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=4, size=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_id")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of each language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("lang", "text"), least=10, percent=50, top=2000)
+
+
+OP13_SQL = f"""
+WITH pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f AS (SELECT lang, p, len(p) AS k, count(*) AS f FROM (
+  SELECT lang, list_slice(w, i, i + size - 1) AS p FROM places, (VALUES (1), (2), (3)) s(size) WHERE i + size - 1 <= len(w)) GROUP BY lang, p),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT c.lang, c.p, c.k, c.f AS a, j, l.f AS l, r.f AS r, CAST(1000000 * CAST(c.f AS HUGEINT) * c.f // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, j) JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, j + 1, c.k)),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+longer AS (SELECT lang, q, max(f) AS f FROM (SELECT lang, list_slice(p, 1, 2) AS q, f FROM c WHERE k = 3 UNION ALL SELECT lang, list_slice(p, 2, 3), f FROM c WHERE k = 3) GROUP BY lang, q),
+kept AS (SELECT x.lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM lowest x LEFT JOIN longer y ON y.lang = x.lang AND y.q = x.p WHERE y.f IS NULL OR 100 * y.f < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join, "op3_url_filters": op3_url_filters, "op4_license_scans": op4_license_scans, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_bpe": op7_bpe, "op8_topk": op8_topk, "op9_pii": op9_pii, "op10_mixing": op10_mixing, "op11_spelling_variants": op11_spelling_variants, "op12_simhash_dedup": op12_simhash_dedup, "op13_collocations": op13_collocations}
+ORACLE_SQL = {"op2_ngram_join": OP2_SQL, "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_topk": OP8_SQL, "op10_mixing": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op13_collocations": OP13_SQL}
