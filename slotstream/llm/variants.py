@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from slotstream.llm.common import materialize
 
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
+#: Letters up to which words are compared in the join already.
+SHORT = 64
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -120,8 +122,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     pivots = keyed.select(F.col("word").alias("x"), F.explode("pivots").alias("key"))
     prefixes = keyed.select(F.col("word").alias("y"), F.explode("prefix").alias("key"))
     verified = F.pandas_udf(lambda x, y: pd.Series([one_edit(a, b) for a, b in zip(x, y, strict=True)], dtype=bool), "boolean")
-    met = pivots.join(prefixes, "key").where("x <> y").where(verified("x", "y"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # most of what meets is told apart in the join; its edit distance takes time in proportion to the square of long words
+    met = pivots.join(prefixes, "key").where("x <> y").where((F.char_length("x") > SHORT) | (F.levenshtein(F.col("x"), F.col("y"), 1) == 1))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().where(verified("a", "b"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
