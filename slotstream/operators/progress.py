@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 def first_gaps(session: DataFrame) -> DataFrame:
     """consumer, gap: the first offset that a group has not processed (null: none). Offsets order a group's session.
 
+    Every event has one row; ``settled`` makes it so where acknowledgements are rows of their own.
+
     An event of which it is not known whether it was processed (null) was not.
     """
     return session.groupBy("consumer").agg(F.min(F.when(~F.coalesce("processed", F.lit(False)), F.col("log_offset"))).alias("gap"))
 
 
+def settled(session: DataFrame) -> DataFrame:
+    """A session whose rows repeat offsets, as one row for each event: processed if any of its rows says so."""
+    return session.groupBy("consumer", "log_offset").agg(F.coalesce(F.bool_or("processed"), F.lit(False)).alias("processed"))
+
+
 def committable_offsets(session: DataFrame, committed: DataFrame | None = None) -> DataFrame:
     """consumer, committable: the last offset before the first gap, or what was committed before (column committed).
 

@@ -37,6 +37,27 @@ def block_stats_distinct(transactions: DataFrame, accounts: DataFrame, entries:
     return counted.na.fill(0, ["good_tx", "failed_tx", "account_updates", "entries"]).select("slot", "good_tx", "failed_tx", "entries", "account_updates", "executed_transaction_count", "entries_count")
 
 
+def block_stats_between(updates: DataFrame, spans: DataFrame, meta: DataFrame) -> DataFrame:
+    """Counts of distinct signatures and (account, signature) pairs, and of entries, while a block was open.
+
+    ``updates``: slot, kind, arrival, signature, err, pubkey, txn_signature. ``spans``: slot, opened_at (first shred or
+    created bank; null: never opened), closed_at (block metadata). Rows before a block opens or once its metadata is there do
+    not count; blocks that were never opened or have no metadata have no row.
+    """
+    tx = F.col("kind").isin(*TRANSACTIONS)
+    account = (F.col("kind") == "account") & F.col("txn_signature").isNotNull()
+    blocks = spans.where("opened_at IS NOT NULL AND closed_at IS NOT NULL AND opened_at < closed_at").join(meta.select("slot", "executed_transaction_count", "entries_count"), "slot")
+    inside = updates.join(blocks.select("slot", "opened_at", "closed_at"), "slot").where("arrival >= opened_at AND arrival < closed_at")
+    counts = inside.groupBy("slot").agg(
+        F.countDistinct(F.when(tx & F.col("err").isNull(), F.col("signature"))).alias("good_tx"),
+        F.countDistinct(F.when(tx & F.col("err").isNotNull(), F.col("signature"))).alias("failed_tx"),
+        F.count_if(F.col("kind") == "entry").alias("entries"),
+        F.countDistinct(F.when(account, F.struct("pubkey", "txn_signature"))).alias("account_updates"),
+    )
+    counted = blocks.join(counts, "slot", "left").na.fill(0, ["good_tx", "failed_tx", "entries", "account_updates"])
+    return counted.select("slot", "good_tx", "failed_tx", "entries", "account_updates", "executed_transaction_count", "entries_count")
+
+
 def block_integrity(stats: DataFrame) -> DataFrame:
     """Whether the counts of a block are those of its metadata."""
     tx, entries = F.col("total_tx") == F.col("expected_tx"), F.col("entries") == F.col("expected_entries")

@@ -11,7 +11,7 @@ from slotstream import schemas
 from slotstream.functions import filters as fl
 from slotstream.functions import project
 from slotstream.operators import adapters, completion, dedup, groups, progress, stats
-from slotstream.sources import sinks, tables
+from slotstream.sources import sinks, tables, versions
 from slotstream.sources import testdata as td
 from slotstream.streaming import queries as stream_queries
 
@@ -89,6 +89,15 @@ def load_slots(spark, d):
     return tables.load_slots(td.updates(spark, d), dedup.slot_worklist(td.history(spark, d), "confirmed")).select("slot", "idx", "kind", "pubkey")
 
 
+@query("SELECT slot, idx, kind, pubkey FROM updates WHERE slot IN (SELECT slot FROM history WHERE commitment >= 1)")
+def load_slot_ranges(spark, d):
+    """The payload laid out by slot range, then read for a work-list: the scan is pruned to the ranges of its slots."""
+    path = f"{stream_queries.shared_folder(spark)}/payload"
+    payload = td.updates(spark, d).select("slot", "idx", "kind", "pubkey")
+    tables.write_slot_ranges(payload, path, 1000)
+    return tables.load_slot_ranges(spark, path, payload.schema, dedup.slot_worklist(td.history(spark, d), "confirmed"), 1000)
+
+
 _ACCOUNT_LINE = "'account,' || slot || ',pk=' || pubkey || ',owner=' || owner || ',tx=' || coalesce(txn_signature, 'None')"
 _STATUS = "CASE commitment WHEN 0 THEN 'processed' WHEN 1 THEN 'confirmed' WHEN 2 THEN 'finalized' END"
 _SLOT_LINE = f"'slot=' || slot || ', parent=' || coalesce(CAST(CASE WHEN slot > 0 THEN slot - 1 END AS VARCHAR), 'None') || ', status=' || {_STATUS}"
@@ -443,6 +452,14 @@ def committable_offset(spark, d):
     return progress.committable_offsets(td.session(spark, d), _start(spark, d))
 
 
+@query("SELECT consumer, max(log_offset) AS committable FROM (SELECT s.*, min(log_offset) FILTER (NOT done) OVER (PARTITION BY consumer) AS gap FROM (SELECT *, processed OR log_offset % 3 = 0 AS done FROM session) s) WHERE gap IS NULL OR log_offset < gap GROUP BY consumer UNION ALL SELECT consumer, NULL FROM session GROUP BY consumer HAVING arg_min(processed OR log_offset % 3 = 0, log_offset) = false")
+def committable_late(spark, d):
+    """Commit offsets where acknowledgements of gaps are rows of their own."""
+    columns = ["consumer", "log_offset", "processed"]
+    rows = td.session(spark, d).select(columns).unionByName(td.late_acknowledgements(spark, d).select(columns))
+    return progress.committable_offsets(progress.settled(rows))
+
+
 @query("SELECT consumer, count(*) FILTER (processed AND log_offset > gap) AS blocked FROM session JOIN gaps USING (consumer) GROUP BY consumer")
 def blocked_acks(spark, d):
     return progress.blocked_acks(td.session(spark, d))
@@ -500,6 +517,16 @@ def block_stats_distinct(spark, d):
     return stats.block_stats_distinct(td.transactions(spark, d), td.accounts(spark, d), td.updates(spark, d).where("kind = 'entry'"), meta.where("status IN ('F', 'P')"), meta)
 
 
+@query("""SELECT * FROM (WITH spans AS (SELECT slot, CASE WHEN slot % 7 > 0 THEN 1 + slot % 2 END AS opened_at, max(arrival) + 1 - slot % 3 AS closed_at FROM updates GROUP BY slot),
+  inside AS (SELECT *, slot || '-' || idx || '-' || pubkey AS signature FROM updates JOIN spans USING (slot) WHERE arrival >= opened_at AND arrival < closed_at)
+  SELECT m.slot, count(DISTINCT signature) FILTER (kind IN ('transaction', 'transaction_status') AND NOT failed) AS good_tx, count(DISTINCT signature) FILTER (kind IN ('transaction', 'transaction_status') AND failed) AS failed_tx,
+    count(*) FILTER (kind = 'entry') AS entries, count(DISTINCT (pubkey, i.slot)) FILTER (kind = 'account' AND idx = 5) AS account_updates, m.executed_transaction_count, m.entries_count
+  FROM meta m JOIN spans s ON s.slot = m.slot AND s.opened_at < s.closed_at LEFT JOIN inside i ON i.slot = m.slot GROUP BY m.slot, m.executed_transaction_count, m.entries_count)""")
+def block_stats_opened(spark, d):
+    """Only what arrived between the opening of a block and its metadata counts."""
+    return stats.block_stats_between(td.block_updates(spark, d), td.block_spans(spark, d), td.block_meta(spark, d))
+
+
 @query("SELECT map_from_entries(list((shard, o) ORDER BY shard)) AS offsets, max(o) AS tip FROM (SELECT CAST(log_offset % 4 AS INTEGER) AS shard, max(log_offset) AS o FROM history GROUP BY 1)")
 def chain_tip(spark, d):
     return stats.chain_tip(td.sharded_history(spark, d))
@@ -638,6 +665,16 @@ def group_delete(spark, d):
     return groups.delete(table, table.where("committed_offset < 1000"))
 
 
+@query("SELECT * FROM grp WHERE committed_offset >= 1000")
+def group_delete_version(spark, d):
+    """Groups as a versioned table: deletion is a new version, and readers take the newest finished one."""
+    path = f"{stream_queries.shared_folder(spark)}/groups"
+    versions.write(td.consumer_groups(spark, d), path)
+    table = versions.read(spark, path, td.consumer_groups(spark, d).schema)
+    versions.write(groups.delete(table, table.where("committed_offset < 1000")), path)
+    return versions.read(spark, path, table.schema)
+
+
 # ------------------------------------------------------------------ M streams
 QUERIES.update(stream_queries.QUERIES)
 ORACLE_SQL.update({name: _sql(sql) for name, sql in stream_queries.SQL.items()})

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, StructType
 
 from slotstream.functions import project
-from slotstream.operators.adapters import block_stream
 
 
 def update_lines(accounts: DataFrame, transactions: DataFrame, statuses: DataFrame, meta: DataFrame) -> DataFrame:
@@ -73,20 +72,15 @@ def idempotent_parquet(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def on_block(callback: Callable[[DataFrame], None], path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that gives each batch's finished blocks to a callback, as one table of blocks.
+def on_block(callback: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that gives each batch's finished blocks, as ``stateful.stream_blocks`` emits them, to a callback.
 
-    The batches hold arrivals. Rows of slots that have not ended wait in ``path``, a table per batch, so a block may
-    reach over any number of batches and is handed over once; a repeated batch starts from the same waiting rows.
+    A block is handed over once it has ended, whole, whatever the number of batches that its rows came in; batches in
+    which no block ended are left out.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if batch_id:
-            rows = spark.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id - 1}").unionByName(batch)
-        ended = rows.where("event = 'ended'").select("slot").distinct()
-        rows.join(ended, "slot", "left_anti").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        callback(block_stream(rows))
+    def write(blocks: DataFrame, batch_id: int) -> None:
+        if not blocks.isEmpty():
+            callback(blocks)
 
     return write

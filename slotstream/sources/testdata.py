@@ -90,6 +90,32 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def block_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All updates with their arrival, signatures and errors."""
+    return updates(spark, sf_dir, True).selectExpr(
+        "slot", "kind", "arrival", "pubkey", "CASE WHEN kind IN ('transaction', 'transaction_status') THEN concat(slot, '-', idx, '-', pubkey) END AS signature",
+        "CASE WHEN failed THEN 'InstructionError' END AS err", "CASE WHEN idx = 5 THEN concat(slot, '-', 3, '-', pubkey) END AS txn_signature",
+    )
+
+
+def block_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When blocks opened and when their metadata came, in arrivals of the slot: some late, some before the last row, some not at all."""
+    return updates(spark, sf_dir, True).groupBy("slot").agg(F.max("arrival").alias("last")).selectExpr("slot", "CASE WHEN slot % 7 > 0 THEN 1 + slot % 2 END AS opened_at", "last + 1 - slot % 3 AS closed_at")
+
+
+def shard_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates and the finishes of their shards as one log; a finish has the time of its shard's last row."""
+    rows = updates(spark, sf_dir, True).selectExpr("slot", "shard_idx", "'data' AS event", "kind", "CAST(arrival AS BIGINT) AS arrival", "CAST(created_at AS TIMESTAMP) AS created_at")
+    times = rows.groupBy("slot", "shard_idx").agg(F.max("created_at").alias("created_at"))
+    ends = shard_finish(spark, sf_dir).join(times, ["slot", "shard_idx"]).selectExpr("slot", "shard_idx", "'finish' AS event", "CAST(NULL AS STRING) AS kind", "CAST(finish_arrival AS BIGINT) AS arrival", "created_at")
+    return rows.unionByName(ends)
+
+
+def late_acknowledgements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second row for a third of the events that were not processed: they are, later."""
+    return session(spark, sf_dir).where("NOT processed AND log_offset % 3 = 0").withColumn("processed", F.lit(True))
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runtime events in order of arrival: data of slots, statuses, block metadata, and one end per slot but the last ones."""
     rows = history(spark, sf_dir).selectExpr("log_offset * 2 AS arrival", "slot", "'data' AS event", "CASE commitment WHEN 2 THEN 'slot_status' WHEN 1 THEN 'block_meta' ELSE 'entry' END AS kind")

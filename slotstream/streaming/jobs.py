@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from slotstream.functions.filters import with_versions
-from slotstream.operators import progress
+from slotstream.sources import versions
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -86,25 +86,17 @@ def track_slots(events: DataFrame, minimum: int = 0, ttl_ms: int | None = None)
     return events.groupBy("slot").transformWithStateInPandas(SlotTracker(minimum, ttl_ms), "slot bigint, commitment int, log_offset bigint", "append", mode)
 
 
-def commit_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps each group's progress and writes new commit offsets.
+def retention_batches(path: str, keep: int = 10_000) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that keeps the newest ``keep`` slots seen so far, whatever the clock says.
 
-    Progress is one row per group: its first gap, and the last offset processed before that. Batches come in the order
-    of the log, so a batch needs that row and its own rows only, not the history. Commits are written to
-    ``path``/commits by batch, and only where they advance; a repeated batch replaces itself.
+    State is a versioned table of ``keep`` rows at most; a batch adds its own distinct slots and cuts with a top-n. A
+    repeated batch starts from the version before it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, state = batch.sparkSession, f"{path}/progress"
-        before = spark.read.parquet(f"{state}/batch_id={batch_id - 1}") if batch_id else batch.limit(0).selectExpr("consumer", "log_offset AS old_gap", "log_offset AS old")
-        rows = batch.select("consumer", "log_offset", "processed")
-        gaps = progress.first_gaps(rows).join(before, "consumer", "full_outer").select("consumer", F.least("gap", "old_gap").alias("gap"), "old")
-        last = rows.join(gaps, "consumer").where(F.col("gap").isNull() | (F.col("log_offset") < F.col("gap"))).groupBy("consumer").agg(F.max("log_offset").alias("last"))
-        known = gaps.join(last, "consumer", "left").select("consumer", F.col("gap").alias("old_gap"), F.greatest("old", "last").alias("old"))
-        known.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
-        now = spark.read.schema(known.schema).parquet(f"{state}/batch_id={batch_id}").select("consumer", F.col("old").alias("committable")).where("committable IS NOT NULL")
-        newer = now.join(before.select("consumer", "old"), "consumer", "left").where("old IS NULL OR committable > old").drop("old")
-        newer.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+        slots = batch.select("slot").where("slot IS NOT NULL").distinct()
+        known = versions.read(batch.sparkSession, path, slots.schema, before=batch_id)
+        versions.write(known.unionByName(slots).distinct().orderBy(F.col("slot").desc()).limit(keep), path, version=batch_id)
 
     return write
 
@@ -113,6 +105,14 @@ def commit_batches(path: str) -> Callable[[DataFrame, int], None]:
 COMMIT_MODES = ("auto", "manual", "none")
 
 
+def last_commit(spark: SparkSession, commits: str) -> int | None:
+    """The largest offset that was committed in a folder; None if there was no commit yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(commits)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema("committed bigint").option("recursiveFileLookup", "true").parquet(commits).agg(F.max("committed")).first()[0]
+
+
 def consume(history: DataFrame, path: str, mode: str, run: int) -> None:
     """One run of a consumer over all that is there, from where its earlier runs in ``path`` left off under ``mode``.
 
@@ -128,8 +128,7 @@ def consume(history: DataFrame, path: str, mode: str, run: int) -> None:
         if mode == "manual":
             batch.agg(F.max("log_offset").alias("committed")).where("committed IS NOT NULL").write.mode("overwrite").parquet(f"{commits}/part={run}-{batch_id}")
 
-    if mode == "manual" and run:
-        committed = spark.read.parquet(commits).agg(F.max("committed")).first()[0]
+    if mode == "manual" and (committed := last_commit(spark, commits)) is not None:
         history = history.where(F.col("log_offset") >= committed)
     checkpoint = f"{path}/checkpoint" if mode == "auto" else f"{path}/checkpoint-{run}"
     history.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start().awaitTermination()

@@ -9,9 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.sources import sinks, tables
+from slotstream.sources import sinks, tables, versions
 from slotstream.sources import testdata as td
-from slotstream.streaming import jobs
+from slotstream.streaming import jobs, stateful
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,11 +59,70 @@ def stream_block_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("tick").agg(F.max_by("blocks", "batch_id").alias("blocks"))
 
 
-def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _in_parts(spark: SparkSession, parts: list[DataFrame], job: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
+    """What a stateful job makes of a log that grows part by part, stopped and started again in between."""
+    jobs.use_rocksdb(spark)
     out = shared_folder(spark)
+    schemas = []
+
+    def run(stream: DataFrame, i: int) -> None:
+        made = job(stream)
+        schemas.append(made.schema)
+        writer = made.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
+        (writer.foreachBatch(each) if each else writer.format("parquet").option("path", f"{out}/data")).start().awaitTermination()
+
+    _runs(spark, f"{out}/log", parts, run)
+    return spark.read.schema(schemas[0]).parquet(f"{out}/data") if each is None else spark.createDataFrame([], schemas[0])
+
+
+def _thirds(table: DataFrame, order: str) -> list[DataFrame]:
+    """A log cut in three by ``order``."""
+    low, high = table.selectExpr(f"min({order})", f"max({order})").first()
+    cuts = [low + (high - low) * k // 3 for k in (1, 2)] if low is not None else [0, 0]
+    return [table.where(F.col(order) <= cuts[0]), table.where((F.col(order) > cuts[0]) & (F.col(order) <= cuts[1])), table.where(F.col(order) > cuts[1])]
+
+
+def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs.use_rocksdb(spark)
     session = _stream(spark, sf_dir).selectExpr("user_id AS consumer", td.HISTORY_COLUMNS[0], td.HISTORY_COLUMNS[1], "event_type <> 'error' AS processed")
-    _finish(session, each=jobs.commit_batches(out))
-    return spark.read.parquet(f"{out}/commits").groupBy("consumer").agg(F.max("committable").alias("committable"))
+    return _finish(stateful.track_commits(session)).groupBy("consumer").agg(F.max("committable").alias("committable"))
+
+
+def stream_commit_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit offsets where a third of the gaps are acknowledged in a later run, out of order: each joins the stretch behind it."""
+    columns = ["consumer", "log_offset", "processed"]
+    parts = [td.session(spark, sf_dir).select(columns), td.late_acknowledgements(spark, sf_dir).select(columns)]
+    return _in_parts(spark, parts, stateful.track_commits).groupBy("consumer").agg(F.max("committable").alias("committable"))
+
+
+def stream_late_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates that came after their shard had finished; what is late comes in a second run. Ship dates span years, so the watermark is far behind."""
+    log = td.shard_events(spark, sf_dir)
+    finish = td.shard_finish(spark, sf_dir)
+    late = (F.col("event") == "data") & (F.col("arrival") > F.coalesce("finish_arrival", F.col("arrival")))
+    marked = log.join(finish, ["slot", "shard_idx"], "left").withColumn("later", late).drop("finish_arrival")
+    parts = [marked.where("NOT later").drop("later"), marked.where("later").drop("later")]
+    found = _in_parts(spark, parts, lambda rows: stateful.mark_late(rows, delay="10000 days", keep_ms=10**12))
+    return found.where("late").select("slot", F.col("shard_idx").cast("int").alias("shard_idx"), "kind", "arrival")
+
+
+def stream_slot_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot-sequential order of one lane, while the log grows."""
+    return _in_parts(spark, _thirds(td.arrivals(spark, sf_dir).withColumn("lane", F.lit(0)), "arrival"), lambda rows: stateful.order_slots(rows, "lane"))
+
+
+def stream_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as they end, while the log grows."""
+    blocks = _in_parts(spark, _thirds(td.arrivals(spark, sf_dir), "arrival"), stateful.stream_blocks)
+    return blocks.select("slot", "end_arrival", F.size("updates").cast("long").alias("updates"), F.get("updates", F.lit(0))["arrival"].alias("first_arrival"))
+
+
+def stream_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 500 slots of the log, kept batch by batch."""
+    out = f"{shared_folder(spark)}/slots"
+    parts = _thirds(td.history(spark, sf_dir).select("log_offset", "slot"), "log_offset")
+    _in_parts(spark, parts, lambda rows: rows.select("slot"), jobs.retention_batches(out, 500))
+    return versions.read(spark, out, parts[0].select("slot").schema)
 
 
 def stream_slot_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,12 +199,23 @@ def multicast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_slot_tracker, stream_commit_modes, stream_filter_change, stream_late_rows, multicast)}
+QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_commit_late, stream_late_after_finish, stream_slot_sequential, stream_blocks, stream_retention, stream_slot_tracker, stream_commit_modes, stream_filter_change, stream_late_rows, multicast)}
 SQL = {
     "history_stream": "SELECT log_offset, slot, commitment, dead_error, num_shards FROM history",
     "stream_dedup_status": "SELECT DISTINCT slot, commitment FROM history",
     "stream_block_rate": "SELECT CAST(floor(epoch(created_at) / 3600) AS BIGINT) * 3600 AS tick, count(*) AS blocks FROM history GROUP BY 1",
     "stream_commit": "SELECT consumer, committable FROM committable WHERE committable IS NOT NULL",
+    "stream_commit_late": "SELECT consumer, max(log_offset) AS committable FROM (SELECT s.*, min(log_offset) FILTER (NOT done) OVER (PARTITION BY consumer) AS gap FROM (SELECT *, processed OR log_offset % 3 = 0 AS done FROM session) s) WHERE gap IS NULL OR log_offset < gap GROUP BY consumer",
+    "stream_late_after_finish": "SELECT slot, CAST(shard_idx AS INTEGER) AS shard_idx, kind, arrival FROM updates JOIN finish USING (slot, shard_idx) WHERE arrival > finish_arrival",
+    "stream_slot_sequential": """SELECT a.arrival, a.slot, a.event, a.kind, greatest(a.arrival, coalesce(s.open, a.arrival)) AS emit, s.first_seen
+  FROM arrivals a JOIN (
+    SELECT slot, first_seen, row_number() OVER (ORDER BY first_seen) AS n, CASE WHEN bool_and("end" IS NOT NULL) OVER w THEN max("end") OVER w END AS open
+    FROM (SELECT slot, min(arrival) AS first_seen, min(arrival) FILTER (event = 'ended') AS "end" FROM arrivals WHERE event = 'ended' OR kind NOT IN ('slot_status', 'block_meta') GROUP BY slot)
+    WINDOW w AS (ORDER BY first_seen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) s USING (slot)
+  WHERE (a.event = 'ended' OR a.kind NOT IN ('slot_status', 'block_meta')) AND (s.n = 1 OR s.open IS NOT NULL)
+  UNION ALL SELECT arrival, slot, event, kind, arrival, 0 FROM arrivals WHERE event = 'data' AND kind IN ('slot_status', 'block_meta')""",
+    "stream_blocks": "SELECT e.slot, e.arrival AS end_arrival, count(d.arrival) AS updates, min(d.arrival) AS first_arrival FROM arrivals e LEFT JOIN arrivals d ON d.slot = e.slot AND d.event = 'data' AND d.kind <> 'slot_status' WHERE e.event = 'ended' GROUP BY e.slot, e.arrival",
+    "stream_retention": "SELECT slot FROM history GROUP BY slot ORDER BY slot DESC LIMIT 500",
     "stream_slot_tracker": "SELECT slot, commitment, min(log_offset) AS log_offset FROM history WHERE slot IN (SELECT slot FROM history GROUP BY slot HAVING count(DISTINCT log_offset % 4) = 4) GROUP BY slot, commitment",
     "stream_commit_modes": "SELECT m.mode, log_offset, CASE WHEN log_offset <= middle AND m.mode = 'none' OR log_offset = middle AND m.mode = 'manual' THEN 2 ELSE 1 END AS deliveries FROM history, (SELECT min(log_offset) + (max(log_offset) - min(log_offset)) // 2 AS middle FROM history), (VALUES ('auto'), ('manual'), ('none')) m(mode)",
     "stream_filter_change": "SELECT log_offset, slot, CASE WHEN slot < cut THEN 'first' ELSE 'second' END AS version FROM history, (SELECT max(slot) // 2 AS cut FROM history) WHERE slot < cut OR commitment >= 1",

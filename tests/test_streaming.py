@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from slotstream.operators import adapters, dedup, progress, stats
 from slotstream.sources import sinks, tables
 from slotstream.sources import testdata as td
-from slotstream.streaming import jobs
+from slotstream.streaming import jobs, stateful
 from tests.compare import SF
 
 
@@ -74,9 +74,9 @@ def test_commits(spark):
     session = td.session(spark, SF)
     path = tempfile.mkdtemp(prefix="spark-")
     session.orderBy("log_offset").coalesce(1).write.option("maxRecordsPerFile", 400).parquet(f"{path}/in")
-    out = f"{path}/out"
-    run(tables.stream_table(spark, f"{path}/in", session.schema, 1), foreachBatch=jobs.commit_batches(out))
-    got = spark.read.parquet(f"{out}/commits").groupBy("consumer").agg(F.max("committable").alias("c"))
+    jobs.use_rocksdb(spark)
+    commits = run(stateful.track_commits(tables.stream_table(spark, f"{path}/in", session.schema, 1)))
+    got = spark.read.parquet(commits).groupBy("consumer").agg(F.max("committable").alias("c"))
     wanted = progress.committable_offsets(session).where("committable IS NOT NULL")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.select("consumer", "committable").collect()))
 
@@ -86,9 +86,11 @@ def test_fan_out_and_callback(spark):
     arrivals = td.arrivals(spark, SF)
     path, seen = tempfile.mkdtemp(prefix="spark-"), []
     arrivals.orderBy("arrival").coalesce(1).write.option("maxRecordsPerFile", 300).parquet(f"{path}/in")
-    collect = sinks.on_block(lambda blocks: seen.extend((r.slot, r.end_arrival, [(u.arrival, u.kind) for u in r.updates]) for r in blocks.collect()), f"{path}/open")
-    run(tables.stream_table(spark, f"{path}/in", arrivals.schema, 1), foreachBatch=sinks.fan_out([sinks.idempotent_parquet(f"{path}/a"), collect]))
-    assert spark.read.parquet(f"{path}/a").count() == arrivals.count()
+    collect = sinks.on_block(lambda blocks: seen.extend((r.slot, r.end_arrival, [(u.arrival, u.kind) for u in r.updates]) for r in blocks.collect()))
+    jobs.use_rocksdb(spark)
+    blocks = stateful.stream_blocks(tables.stream_table(spark, f"{path}/in", arrivals.schema, 4))
+    run(blocks, foreachBatch=sinks.fan_out([sinks.idempotent_parquet(f"{path}/a"), collect]))
+    assert spark.read.parquet(f"{path}/a").count() == len(seen)
     wanted = [(r.slot, r.end_arrival, [(u.arrival, u.kind) for u in r.updates]) for r in adapters.block_stream(arrivals).collect()]
     assert len(seen) > 10 and sorted(seen) == sorted(wanted)
 
