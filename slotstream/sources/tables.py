@@ -38,17 +38,18 @@ def load_slots(updates: DataFrame, worklist: DataFrame) -> DataFrame:
 
 def write_slot_ranges(updates: DataFrame, path: str, width: int) -> None:
     """The payload in one folder for each range of ``width`` slots; a range is written by as many tasks as its rows need."""
-    ranged = updates.withColumn("slot_range", F.floor(F.col("slot") / width))
+    ranged = updates.withColumn("slot_range", F.expr(f"slot DIV {width}"))
     ranged.hint("rebalance", "slot_range").write.mode("overwrite").partitionBy("slot_range").parquet(path)
 
 
 def load_slot_ranges(spark: SparkSession, path: str, schema: StructType, worklist: DataFrame, width: int) -> DataFrame:
     """The payload of the slots in a work-list, from a table that ``write_slot_ranges`` wrote with the same width.
 
-    The ranges are a join key beside the slot, so the scan is pruned at run time to the folders that the list names.
+    The ranges are a join key beside the slot, so the scan is pruned at run time to the folders that the list names, where
+    Spark broadcasts the list; a list too large for that names most ranges anyway.
     """
     known = StructType([f for f in schema.fields if f.name != "slot_range"]).add("slot_range", LongType())
-    wanted = worklist.select("slot", F.floor(F.col("slot") / width).alias("slot_range"))
+    wanted = worklist.select("slot", F.expr(f"slot DIV {width}").alias("slot_range"))
     return spark.read.schema(known).parquet(path).join(wanted, ["slot_range", "slot"], "left_semi").select(*[f.name for f in schema.fields])
 
 

@@ -131,7 +131,7 @@ def mark_late(rows: DataFrame, time: str = "created_at", delay: str = "1 hour",
     older than the watermark is dropped by the engine, so a finish that was forgotten lets no late row through.
     """
     schema = StructType([f for f in rows.schema.fields if f.name != "event"] + StructType().add("late", "boolean").fields)
-    keyed = rows.withColumn("millis", F.unix_millis(time)).withColumn("slots", F.floor(F.col("slot") / width)).withWatermark(time, delay).groupBy("slots")
+    keyed = rows.withColumn("millis", F.unix_millis(time)).withColumn("slots", F.expr(f"slot DIV {width}")).withWatermark(time, delay).groupBy("slots")
     return keyed.transformWithStateInPandas(ShardFinish(schema, keep_ms), schema, "append", "eventTime")
 
 
