@@ -163,11 +163,15 @@ def _to_own(counts: str, total: Column, shares: dict[str, list[float]]) -> Colum
 
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``df`` that pass, with their own columns. The verdict depends on the text alone, so the text's digest is the key."""
+    """The rows of ``df`` that pass, with their own columns.
+
+    The verdict depends on text and language alone, so a 128-bit digest of both is the key; rows that repeat both have
+    one verdict, and a text under another language has its own. Null and empty count alike, as they do in the rules.
+    """
     names = [f"c{i}" for i in range(len(df.columns))]  # the input may have columns of any name
     at = dict(zip(df.columns, names, strict=True))
-    body = F.col(at[text])
-    plain = df.toDF(*names).withColumns({"_key": F.xxhash64(body), "_check": F.coalesce(F.octet_length(body), F.lit(-1))})
-    judged = verdicts(materialize(features(plain, at[text], at[lang], "_key", "_check"), "features"), limits)
-    rejected = materialize(judged.where("NOT kept").select("_key", "_check").distinct(), "rejected")
-    return plain.join(bounded(rejected), ["_key", "_check"], "left_anti").select(*names).toDF(*df.columns)
+    body, language = (F.coalesce(F.col(at[c]), F.lit("")) for c in (text, lang))
+    plain = df.toDF(*names).withColumn("_key", F.md5(F.concat(F.char_length(language), F.lit(":"), language, body).cast("binary")))
+    judged = verdicts(materialize(features(plain, at[text], at[lang], "_key"), "features"), limits)
+    rejected = materialize(judged.where("NOT kept").select("_key").distinct(), "rejected")
+    return plain.join(bounded(rejected), "_key", "left_anti").select(*names).toDF(*df.columns)

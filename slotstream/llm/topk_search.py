@@ -185,13 +185,14 @@ def search(df: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id",
     index = materialize(_blocks(vectors, BLOCK_ROWS), "index")
     wanted = materialize(vectors.where(F.col("vec_id") % every == 0), "wanted")
     n_queries = -(-wanted.count() // QUERY_ROWS)
-    asked = materialize(_blocks(wanted.repartition(max(1, n_queries // 16), "vec_id"), QUERY_ROWS), "queries")
+    blocks = _blocks(wanted.repartition(max(1, n_queries // 16), "vec_id"), QUERY_ROWS)
+    asked = materialize(blocks.withColumn("q_block", F.monotonically_increasing_id()), "queries")  # ids may repeat, blocks are blocks of their own
     n_index = index.count()
     rows, columns = _grid(n_index * n_queries, n_index, n_queries)
     part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = index.select("dim", "ids", "vectors", part("ids", rows).alias("g"), every_of(columns).alias("h"))
-    right = asked.select("dim", F.xxhash64("ids").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), part("ids", columns).alias("h"), every_of(rows).alias("g"))
+    right = asked.select("dim", "q_block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), part("q_block", columns).alias("h"), every_of(rows).alias("g"))
     pairs = right.join(left.hint("shuffle_hash"), ["g", "h", "dim"])  # every query block meets every block of the index once
 
     def run(batches):

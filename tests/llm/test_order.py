@@ -214,3 +214,19 @@ def test_pipeline_stages_of_odd_tables(spark):
         assert all((r.class_id, r._order, r.kept) == ("kept", "kept", 1) for r in got)
         empty = corpus_pipeline.materialize(docs.limit(0), "none") if name == "bpe" else docs.limit(0)
         assert stage(spark, empty, SF).isEmpty(), name
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_top_k_of_repeated_queries(spark, equal):
+    """Rows that repeat a query's id are queries of their own, in whatever number."""
+    rng = random.Random(7)
+    vector = lambda: [rng.uniform(-1, 1) for _ in range(6)]
+    one = vector()
+    rows = [(0, one if equal else vector()) for _ in range(130)] + [(i, vector()) for i in range(1, 40)]
+    found = topk_search.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), 10, 100).collect()
+    scaled = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    wanted = []
+    for q, v in scaled[:130]:
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in scaled if i != q)[:10]
+        wanted += [(q, rank, i, -score) for rank, (score, i) in enumerate(best, 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted(wanted) and len(wanted) == 1300

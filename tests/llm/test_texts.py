@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from slotstream.llm import bpe, common, license_scan, pii, quality_rules, queries, token_counts, url_filter
@@ -448,3 +449,15 @@ def test_url_filter_passes_false_positives_to_the_join(spark, monkeypatch):
     assert listed < passed and len(passed - listed) < 1500
     verdicts = {r.verdict for r in queries.op3_url_filters(spark, SF).where("rule IS NULL").collect()}
     assert verdicts == {"allow", "block"}
+
+
+def test_a_text_is_judged_in_each_language_it_comes_in(spark):
+    """The filter keeps just what the rules keep, also where a text comes under several languages."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rejected = quality_rules.judge(docs).where("NOT kept AND NOT base_failed").select("doc_id")
+    again = docs.join(rejected, "doc_id")
+    other = [again.withColumn("lang", F.lit(x).cast("string")).withColumn("doc_id", F.col("doc_id") + k) for k, x in ((100_000, None), (200_000, "ru"), (300_000, "xx"))]
+    table = docs.unionByName(other[0]).unionByName(other[1]).unionByName(other[2])
+    wanted = {r.doc_id for r in quality_rules.judge(table).where("kept").select("doc_id").collect()}
+    got = [r.doc_id for r in quality_rules.keep_good(table).select("doc_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == wanted and sum(i >= 100_000 for i in wanted) > 30
