@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from slotstream.sources import sinks, tables, versions
 from slotstream.sources import testdata as td
-from slotstream.streaming import jobs, stateful
+from slotstream.streaming import counters, jobs, stateful
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -136,6 +136,30 @@ def stream_slot_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(jobs.track_slots(events))
 
 
+def stream_block_rate_sma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed ticks of each commitment with their moving average, empty ones included, while the log grows; ticks are hours here."""
+    parts = _thirds(history_rows(spark.read.parquet(f"{sf_dir}/events.parquet")).withColumn("second", F.unix_timestamp("created_at")), "second")
+    return _in_parts(spark, parts, lambda rows: stateful.average_rates(rows, "commitment", 3600, "0 seconds"))
+
+
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live counters of a session, summed over the batches of three runs; the test log spans years, so slots are kept that long."""
+    jobs.use_rocksdb(spark)
+    out = shared_folder(spark)
+    columns = ["log_offset", "slot", "commitment", "CAST(created_at AS TIMESTAMP) AS created_at", "dead_error", "processed"]
+    session = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*td.HISTORY_COLUMNS, "event_type <> 'error' AS processed").selectExpr(*columns)
+
+    def run(stream: DataFrame, i: int) -> None:
+        job = f"{out}/{i}"
+        work = counters.count_session(stream, "10000 days").select("log_offset", "slot")
+        writer = work.writeStream.queryName(job).trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
+        with counters.CounterWriter(spark, job, f"{out}/counters"):
+            writer.format("parquet").option("path", f"{out}/slots").start().awaitTermination()
+
+    _runs(spark, f"{out}/log", _thirds(session, "log_offset"), run)
+    return counters.totals(spark, f"{out}/counters").drop("polls", "full")
+
+
 def _growing(spark: SparkSession, sf_dir: str, early: str) -> tuple[str, list[DataFrame]]:
     """An empty folder for the log, and the history cut in two: the rows that fit ``early``, and the others."""
     history = history_rows(spark.read.parquet(f"{sf_dir}/events.parquet"))
@@ -199,7 +223,7 @@ def multicast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_commit_late, stream_late_after_finish, stream_slot_sequential, stream_blocks, stream_retention, stream_slot_tracker, stream_commit_modes, stream_filter_change, stream_late_rows, multicast)}
+QUERIES = {f.__name__: f for f in (history_stream, stream_dedup_status, stream_block_rate, stream_commit, stream_commit_late, stream_late_after_finish, stream_slot_sequential, stream_blocks, stream_retention, stream_slot_tracker, stream_block_rate_sma, stream_counters, stream_commit_modes, stream_filter_change, stream_late_rows, multicast)}
 SQL = {
     "history_stream": "SELECT log_offset, slot, commitment, dead_error, num_shards FROM history",
     "stream_dedup_status": "SELECT DISTINCT slot, commitment FROM history",
@@ -217,6 +241,11 @@ SQL = {
     "stream_blocks": "SELECT e.slot, e.arrival AS end_arrival, count(d.arrival) AS updates, min(d.arrival) AS first_arrival FROM arrivals e LEFT JOIN arrivals d ON d.slot = e.slot AND d.event = 'data' AND d.kind <> 'slot_status' WHERE e.event = 'ended' GROUP BY e.slot, e.arrival",
     "stream_retention": "SELECT slot FROM history GROUP BY slot ORDER BY slot DESC LIMIT 500",
     "stream_slot_tracker": "SELECT slot, commitment, min(log_offset) AS log_offset FROM history WHERE slot IN (SELECT slot FROM history GROUP BY slot HAVING count(DISTINCT log_offset % 4) = 4) GROUP BY slot, commitment",
+    "stream_block_rate_sma": """SELECT * FROM (WITH t AS (SELECT commitment, CAST(floor(epoch(created_at) / 3600) AS BIGINT) * 3600 AS tick FROM history),
+    s AS (SELECT commitment, unnest(range(min(tick), (SELECT max(tick) FROM t), 3600)) AS tick FROM t GROUP BY commitment),
+    r AS (SELECT commitment, tick, coalesce(n, 0) AS blocks FROM s LEFT JOIN (SELECT commitment, tick, count(*) AS n FROM t GROUP BY ALL) c USING (commitment, tick))
+  SELECT commitment, tick, blocks, sum(blocks) OVER (PARTITION BY commitment ORDER BY tick ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) / 5 AS average FROM r)""",
+    "stream_counters": "SELECT * FROM (SELECT count(*) AS events, count(*) FILTER (processed) AS processed, count(*) FILTER (NOT processed) AS skipped FROM session), (SELECT count(DISTINCT slot) AS slots, count(*) FILTER (commitment = 0) AS processed_statuses, count(*) FILTER (commitment = 1) AS confirmed_statuses, count(*) FILTER (commitment = 2) AS finalized_statuses FROM history)",
     "stream_commit_modes": "SELECT m.mode, log_offset, CASE WHEN log_offset <= middle AND m.mode = 'none' OR log_offset = middle AND m.mode = 'manual' THEN 2 ELSE 1 END AS deliveries FROM history, (SELECT min(log_offset) + (max(log_offset) - min(log_offset)) // 2 AS middle FROM history), (VALUES ('auto'), ('manual'), ('none')) m(mode)",
     "stream_filter_change": "SELECT log_offset, slot, CASE WHEN slot < cut THEN 'first' ELSE 'second' END AS version FROM history, (SELECT max(slot) // 2 AS cut FROM history) WHERE slot < cut OR commitment >= 1",
     "stream_late_rows": "SELECT CAST(floor(epoch(created_at) / 3600) AS BIGINT) * 3600 AS tick, count(*) AS blocks FROM history WHERE epoch(created_at) >= (SELECT (CAST(floor(epoch(min(created_at))) AS BIGINT) + CAST(floor(epoch(max(created_at))) AS BIGINT)) // 2 // 3600 * 3600 FROM history) GROUP BY 1",

@@ -1,4 +1,4 @@
-"""Stateful stream operators: commit progress, late rows, slot order, blocks.
+"""Stateful stream operators: commit progress, late rows, slot order, blocks, rates.
 
 State lives with its key (group, shard, lane or slot) in the state store; a batch reads and writes the keys it has rows
 of, and nothing else. Event-time timers remove what no longer changes.
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from slotstream.operators.adapters import PASS_THROUGH
 
@@ -268,3 +268,69 @@ def stream_blocks(arrivals: DataFrame, time: str | None = None, delay: str = "1
         return arrivals.groupBy("slot").transformWithStateInPandas(BlockBuilder(schema, payload, None), schema, "append", "none")
     timed = arrivals.withColumn("millis", F.unix_millis(time)).withWatermark(time, delay)
     return timed.groupBy("slot").transformWithStateInPandas(BlockBuilder(schema, payload, keep_ms), schema, "append", "eventTime")
+
+
+# ---------------------------------------------------------------- rates
+class RateAverage(StatefulProcessor):
+    """One key's ticks in order, those without blocks included, and the average over the last ``n``; zeros come before the first.
+
+    The rows of a batch are the ticks with blocks that the watermark has just closed. A timer closes the empty ticks
+    after them, so a key without blocks goes on ticking as long as the watermark moves. State: the next tick and the
+    last ``n - 1`` counts.
+    """
+
+    SLICE = 100_000  # ticks of one result batch
+
+    def __init__(self, schema: StructType, seconds: int, n: int):
+        self.schema, self.seconds, self.n = schema, seconds, n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.next = handle.getValueState("next", "tick bigint")
+        self.counts = handle.getValueState("counts", "last array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat([r[["tick", "blocks"]] for r in rows]).groupby("tick")["blocks"].sum()
+        if not self.next.exists():
+            self.next.update((int(batch.index[0]),))
+            self.handle.registerTimer(self._closed_at(int(batch.index[0])))
+        yield from self._ticks(key, int(batch.index[-1]) + self.seconds, batch)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() // 1000
+        yield from self._ticks(key, now // self.seconds * self.seconds, None)
+        self.handle.registerTimer(self._closed_at(self.next.get()[0]))
+
+    def _closed_at(self, tick: int) -> int:
+        return (tick + self.seconds) * 1000
+
+    def _ticks(self, key, end: int, blocks: pd.Series | None) -> Iterator[pd.DataFrame]:
+        """Results for the ticks from the next one to before ``end``."""
+        start = self.next.get()[0]
+        last = np.array(self.counts.get()[0] if self.counts.exists() else [0] * (self.n - 1), np.int64)
+        for low in range(start, end, self.SLICE * self.seconds):
+            ticks = np.arange(low, min(end, low + self.SLICE * self.seconds), self.seconds, dtype=np.int64)
+            counts = np.zeros(len(ticks), np.int64) if blocks is None else blocks.reindex(ticks, fill_value=0).to_numpy(np.int64)
+            sums = np.cumsum(np.concatenate([[0], last, counts]))
+            last = np.concatenate([last, counts])[len(counts) :]
+            yield _frame(self.schema, {self.schema.names[0]: [key[0]] * len(ticks), "tick": ticks, "blocks": counts, "average": (sums[self.n :] - sums[: -self.n]) / self.n})
+        if end > start:
+            self.next.update((end,))
+            self.counts.update((last.tolist(),))
+
+    def close(self) -> None:
+        pass
+
+
+def average_rates(blocks: DataFrame, key: str, seconds: int = 1, delay: str = "10 seconds", n: int = 5) -> DataFrame:
+    """key, tick (epoch seconds), blocks and average: each closed tick of each key once, as in ``stats.block_rate_average``.
+
+    ``blocks``: the key and created_at; rows without a time are left out, a null key is a key of its own. Blocks are
+    counted by tick first, so that one row for each tick with blocks goes to its key, however many blocks it has. A
+    key's ticks begin with its first block and end where the watermark is; blocks behind the watermark are dropped.
+    """
+    timed = blocks.where("created_at IS NOT NULL").withWatermark("created_at", delay)
+    counts = timed.groupBy(key, F.window("created_at", f"{seconds} seconds")).agg(F.count(F.lit(1)).alias("blocks"))
+    ticks = counts.select(key, F.window_time("window").alias("closed"), F.unix_timestamp("window.start").alias("tick"), "blocks")
+    schema = StructType([blocks.schema[key], StructField("tick", LongType()), StructField("blocks", LongType()), StructField("average", DoubleType())])
+    return ticks.groupBy(key).transformWithStateInPandas(RateAverage(schema, seconds, n), schema, "append", "eventTime")

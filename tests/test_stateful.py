@@ -1,5 +1,6 @@
 """Stateful streams against plain Python and the batch functions, in batches of any cut, and the size of their state."""
 
+import datetime
 import os
 import random
 import tempfile
@@ -9,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from slotstream.operators import adapters, completion, progress
+from slotstream.operators import adapters, completion, progress, stats
 from slotstream.sources import sinks, tables, versions
-from slotstream.streaming import jobs, stateful
+from slotstream.streaming import counters, jobs, stateful
 
 ARRIVALS = "arrival bigint, slot bigint, event string, kind string"
 
@@ -252,3 +253,65 @@ def test_manual_consumer_without_earlier_commits(spark):
         jobs.consume(tables.stream_table(spark, f"{path}/log", spark.createDataFrame([], schema).schema), f"{path}/c", "manual", i)
     got = spark.read.parquet(f"{path}/c/delivered").groupBy("log_offset").count().collect()
     assert {r.log_offset: r["count"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_average_rates(spark):
+    """Each key ticks on, with zeros, as far as the watermark goes; runs that stop and start again change nothing."""
+    rng = random.Random(4)
+    at = lambda second: datetime.datetime.fromtimestamp(second, datetime.UTC).replace(tzinfo=None)
+    seconds = sorted(rng.choice((rng.randrange(1000, 1060), rng.randrange(1100, 1200))) for _ in range(90))
+    rows = [(rng.choice("ab") if s < 1100 else "a", at(s + 0.5)) for s in seconds] + [(None, at(1150.2)), ("a", at(1210.0))]
+    rows.sort(key=lambda r: r[1])
+    batches = [rows[:20], rows[20:21], rows[21:70], rows[70:], [("b", None), ("b", at(1001.0))]]  # the last one: no time, behind the watermark
+    log = Log(spark, "k string, created_at timestamp")
+    job = lambda r: stateful.average_rates(r, "k", 1, "0 seconds")
+    log.run(job, batches[:2])
+    got = log.run(job, batches[2:]).collect()
+    times = {k: [r[1].replace(tzinfo=datetime.UTC).timestamp() for r in rows if r[0] == k] for k in ("a", "b", None)}
+    wanted = []
+    for k, ts in times.items():
+        n = [sum(int(t) == s for t in ts) for s in range(int(min(ts)), 1210)]
+        wanted += [(k, int(min(ts)) + i, c, sum(n[max(0, i - 4) : i + 1]) / 5) for i, c in enumerate(n)]
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(map(tuple, got), key=key) == sorted(wanted, key=key)
+    batch = stats.block_rate_average(stats.block_rate(spark.createDataFrame([r for r in rows if r[0] == "a"], log.schema)), 5, 1)
+    assert sorted(map(tuple, batch.select("tick", "blocks", "average").where("tick < 1210").collect())) == sorted(w[1:] for w in wanted if w[0] == "a")
+
+
+def test_long_silence_comes_in_slices(spark):
+    """Ticks without blocks are not made all at once."""
+    rows = [("a", datetime.datetime(2024, 1, 1)), ("a", datetime.datetime(2024, 1, 8))]
+    got = Log(spark, "k string, created_at timestamp").run(lambda r: stateful.average_rates(r, "k", 1, "0 seconds"), [rows])
+    assert got.agg(F.count("tick"), F.countDistinct("tick"), F.sum("blocks"), F.sum("average")).first() == (7 * 86400, 7 * 86400, 1, 1.0)
+
+
+def test_live_counters(spark):
+    """Every batch writes its counters: sums equal those of the rows; a batch with as many files as allowed is full."""
+    start = datetime.datetime(2024, 1, 1)
+    rng = random.Random(6)
+    rows = [(i, rng.choice((None, *range(30))), rng.choice((0, 1, 2, None)), rng.choice((True, False, None)), start + datetime.timedelta(seconds=i)) for i in range(200)]
+    path, schema = tempfile.mkdtemp(prefix="spark-"), "log_offset bigint, slot bigint, commitment int, processed boolean, created_at timestamp"
+    jobs.use_rocksdb(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    batch = spark.createDataFrame(rows, schema)
+    for i in range(3):
+        batch.where(f"log_offset % 3 = {i}").coalesce(1).write.mode("append").parquet(f"{path}/log")
+    for i in range(2):  # the second run finds nothing new
+        stream = tables.stream_table(spark, f"{path}/log", batch.schema, 2).select("*", F.col("_metadata.file_path").alias("file"))
+        with counters.CounterWriter(spark, f"live-{i}", f"{path}/counters", limit=2):
+            work = counters.count_session(stream, "1 day", "file")
+            work.writeStream.queryName(f"live-{i}").trigger(availableNow=True).option("checkpointLocation", f"{path}/c").format("noop").start().awaitTermination()
+    got = counters.totals(spark, f"{path}/counters").first().asDict()
+    assert (got.pop("polls"), got.pop("full")) == (2, 1)
+    wanted = stats.session_counters(batch, batch).first().asDict()
+    assert got == wanted
+
+
+def test_a_counter_that_cannot_be_written_is_an_error(spark):
+    path = tempfile.mkdtemp(prefix="spark-")
+    spark.createDataFrame([(1, 1, 0, True, datetime.datetime(2024, 1, 1))], "log_offset bigint, slot bigint, commitment int, processed boolean, created_at timestamp").write.parquet(f"{path}/log")
+    open(f"{path}/counters", "w").close()
+    stream = tables.stream_table(spark, f"{path}/log", spark.read.parquet(f"{path}/log").schema)
+    with pytest.raises(Exception, match="counters"), counters.CounterWriter(spark, "broken", f"{path}/counters"):
+        work = counters.count_session(stream)
+        work.writeStream.queryName("broken").trigger(availableNow=True).option("checkpointLocation", f"{path}/c").format("noop").start().awaitTermination()
