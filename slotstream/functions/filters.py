@@ -122,7 +122,7 @@ class TransactionFilter:
         keys = transaction_keys()
         if self.token_accounts is None:
             return keys
-        return F.array_union(keys, {"all": all_owners, "changed": changed_owners}[self.token_accounts]())
+        return F.array_union(keys, F.array_compact({"all": all_owners, "changed": changed_owners}[self.token_accounts]()))
 
     def predicate(self) -> Column:
         out = []
@@ -144,8 +144,13 @@ class TransactionFilter:
                 parts.append(F.size(F.array_except(values(self.account_required), keys)) == 0)
             return _all(parts)
 
-        if self.account_include or self.account_exclude or self.account_required:
-            out.append(F.get(F.transform(F.array(self.keys()), fits), F.lit(0)))  # the keys are built once a row
+        wanted = {*self.account_include, *self.account_exclude, *self.account_required}
+        if wanted:
+            keys = self.keys()
+            if self.token_accounts == "changed":  # balances are compared only where an owner matters at all
+                matters = F.exists(all_owners(), lambda o: o.isin(list(wanted)))
+                keys = F.when(matters, keys).otherwise(transaction_keys())
+            out.append(F.get(F.transform(F.array(keys), fits), F.lit(0)))  # the keys are built once a row
         return _all(out)
 
 

@@ -18,7 +18,11 @@ def update_key(signature: str = "txn_signature") -> Column:
 
 
 def dedup_updates(updates: DataFrame, signature: str = "txn_signature") -> DataFrame:
-    """First arrival of each key in its (slot, shard); kinds without a key are left out."""
+    """First arrival of each key in its (slot, shard); kinds without a key are left out.
+
+    The planner turns the rank into a limit of one row per key before the shuffle, so repeats leave early; a minimum over
+    whole rows would be a sort aggregate, which takes longer where most keys are distinct.
+    """
     first = Window.partitionBy("slot", "shard_idx", update_key(signature)).orderBy("arrival")
     return updates.where(F.col("kind").isin(*KEYED)).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 

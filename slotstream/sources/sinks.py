@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StructType
+from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StructType
 
 from slotstream.functions import project
 
@@ -40,6 +40,10 @@ def _long_as_text(column: Column, kind: DataType) -> Column:
         return column.cast("string")
     if isinstance(kind, StructType):
         return F.when(column.isNotNull(), F.struct(*[_long_as_text(column[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, ArrayType):
+        return F.transform(column, lambda x: _long_as_text(x, kind.elementType))
+    if isinstance(kind, MapType):  # keys are text in JSON anyway
+        return F.transform_values(column, lambda _, v: _long_as_text(v, kind.valueType))
     return column
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from slotstream.functions import filters as fl
 from slotstream.functions import project
 from slotstream.operators import adapters, completion, dedup, groups, progress, stats
+from slotstream.sources import sinks
 
 ARRIVALS = "arrival bigint, slot bigint, event string, kind string"
 KINDS = {"d": ("data", "entry"), "s": ("data", "slot_status"), "m": ("data", "block_meta"), "e": ("ended", None)}
@@ -216,3 +217,20 @@ def test_declared_schemas(spark):
 
     got = tables.conform(spark.createDataFrame([(1, 7, "x")], "slot int, lamports bigint, other string"), schemas.ACCOUNT)
     assert got.schema.simpleString() == schemas.ACCOUNT.simpleString() and (got.first().slot, got.first().lamports, got.first().owner) == (1, 7, None)
+
+
+def test_null_owners_name_no_account(spark):
+    """An owner that is not known is none of the accounts of a filter, whether or not another owner is."""
+    keys = "static_keys array<bigint>, writable_keys array<bigint>, readonly_keys array<bigint>"
+    rows = [(1, [1], None, None, [], [(0, None, 5)]), (2, [1], None, None, [], [(0, None, 5), (1, 7, 5)]), (3, [1], None, None, [(1, 7, 5)], [(1, 7, 5)]), (4, [1], None, None, None, None), (5, [7], None, None, [], [])]
+    balance = "array<struct<account_index: int, owner: bigint, amount: bigint>>"
+    df = spark.createDataFrame(rows, f"id int, {keys}, pre_token_balances {balance}, post_token_balances {balance}")
+    ids = lambda **f: sorted(r.id for r in df.where(fl.TransactionFilter(token_accounts="changed", **f).predicate()).collect())
+    assert ids(account_include=[7]) == [2, 5]
+    assert ids(account_exclude=[7]) == [1, 3, 4]
+    assert ids(account_required=[1, 7]) == [2]
+
+
+def test_json_longs_in_arrays_and_maps(spark):
+    row = spark.createDataFrame([([1, None], {"a": 2}, [(3, 4)], None)], "a array<bigint>, m map<string, bigint>, s array<struct<x: bigint, y: int>>, n array<bigint>")
+    assert row.select(sinks.as_json(row).alias("j")).first().j == '{"a":["1",null],"m":{"a":"2"},"s":[{"x":"3","y":4}]}'
