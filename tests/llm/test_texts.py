@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -316,27 +317,47 @@ def test_license_scans(spark):
     assert license_scan.inherit(license_scan.scan(df.limit(0)).drop("dir")).isEmpty()
 
 
-def plain_scan(text, templates, titles, units, df, threshold=0.6):
-    """TF-IDF cosine of every run of lines to every template, with nothing passed over."""
-    known = [(name, collections.Counter(license_scan.terms(x))) for name, x in [*templates, *titles]]
-    vocabulary = {t for _, c in known for t in c}
+def plain_scan(text, templates, titles, units, df, threshold=0.8, margin=0.005):
+    """Every stretch that lies on a template at a decisive term, judged by plain cosines and sets of terms."""
+    known = [(name, license_scan.terms(x)) for name, x in [*templates, *titles]]
+    vocabulary = {t for _, x in known for t in x}
     idf = lambda t: math.log((1 + units) / (1 + df.get(t, 0))) + 1 if t in vocabulary else math.log(1 + units) + 1
-    cosine = lambda a, b: sum(a[t] * b[t] * idf(t) ** 2 for t in a if t in b) / math.sqrt(sum((n * idf(t)) ** 2 for t, n in a.items()) * sum((n * idf(t)) ** 2 for t, n in b.items()))
-    lines = [license_scan.terms(x) for x in (text or "").lower().split("\n")]
-    reach = license_scan.REACH * max(sum(c.values()) for _, c in known)
-    found, covered, titled = [], set(), False
-    for a in range(len(lines)):
-        for b in range(a, len(lines)):
-            unit = [t for line in lines[a : b + 1] for t in line]
-            if (b == a or len(unit) <= reach) and all(any(t in vocabulary for t in lines[i]) for i in (a, b)):
-                scores = [(round(cosine(collections.Counter(unit), c), 12), name) for name, c in known]
-                if max(scores)[0] >= threshold:
-                    found.append(max(scores))
-                    covered |= set(range(a, b + 1))
-                    titled = titled or max(s for s, _ in scores[len(templates) :]) >= threshold
+    weigh = lambda x: {t: n * idf(t) for t, n in collections.Counter(x).items()}
+    cosine = lambda a, b: sum(w * b.get(t, 0) for t, w in a.items()) / math.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+    mass = lambda x: sum(idf(t) ** 2 for t in x)
+    decisive = license_scan.Matcher(templates, units, df, threshold, titles).decisive
+    low = (text or "").lower()
+    spans = [(m.group(), *m.span()) for m in re.finditer(r"[a-z0-9]+(?:\.[a-z0-9]+)*", low)]
+    found, covered, titled = {}, set(), False
+    for p, (t, _, _) in enumerate(spans):
+        for _, x in known if t in decisive else []:
+            for o in (o for o, y in enumerate(x) if y == t):
+                first, end = max(0, p - o), min(len(spans), p - o + len(x))
+                unit = [s[0] for s in spans[first:end]]
+                scores = [cosine(weigh(unit), weigh(y)) for _, y in known]
+                best = max(range(len(known)), key=lambda i: (round(scores[i], 12), -i))
+                name, words_ = known[best][0], set(known[best][1])
+                others = [(s, set(y), cosine(weigh(known[best][1]), weigh(y))) for s, (n, y) in zip(scores, known, strict=True) if n != name]
+                part = lambda d: mass(d & set(unit)) / mass(d) if d else 0.5  # noqa: E731, B023
+                before = low[spans[max(0, first - 4)][1] : spans[first][1]]
+                sentence = re.split(r"[.!?;:]\s|\n[ \t\r]*\n", before)[-1]
+                if (
+                    round(scores[best], 12) >= threshold
+                    and all(s <= scores[best] - margin for s, _, _ in others)
+                    and part(words_ - {t for n, y in known if n != name for t in y}) >= 0.5
+                    and all(part(words_ - y) > part(y - words_) for _, y, c in others if c >= license_scan.SIMILAR)
+                    and not (set(unit) & license_scan.NEGATIONS) - words_
+                    and not set(license_scan.terms(sentence)) & license_scan.NEGATIONS
+                ):
+                    found[name] = max(found.get(name, 0), scores[best])
+                    covered |= set(range(first, end))
+                    titled = titled or best >= len(templates)
+    if "BSD-3-Clause" in found:
+        found.pop("BSD-2-Clause", None)
     if not found:
         return None, None, None
-    return max(found)[1], max(found)[0], 1.0 if titled else sum(len(lines[i]) for i in covered) / sum(map(len, lines))
+    score, name = max((round(s, 12), n) for n, s in found.items())
+    return name, score, 1.0 if titled else len(covered) / len(spans)
 
 
 def close(a, b):
@@ -348,10 +369,10 @@ def test_license_matcher_agrees_with_plain_cosines():
     texts = [x for _, x in [*license_scan.TEMPLATES, *license_scan.TITLES]]
     vocabulary = sorted({t for x in texts for t in license_scan.terms(x)}) + [f"z{i}" for i in range(20)]
     df = {"the": 900, "of": 800, "this": 500, "is": 700, "and": 850, "to": 600}
-    matcher = license_scan.Matcher(license_scan.TEMPLATES, 1000, df, 0.6, license_scan.TITLES)
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, 1000, df, 0.8, license_scan.TITLES)
     assert set(matcher.idf) - matcher.decisive
     matched = 0
-    for _ in range(250):
+    for _ in range(150):
         words_ = [w for _ in range(rng.randrange(1, 4)) for w in (rng.choice(texts).split() if rng.random() < 0.6 else rng.choices(vocabulary, k=rng.randrange(30)))]
         text = "".join(w + rng.choice([" ", " ", " ", "\n", "\n\n"]) for w in words_)
         want = plain_scan(text, license_scan.TEMPLATES, license_scan.TITLES, 1000, df)
@@ -362,7 +383,7 @@ def test_license_matcher_agrees_with_plain_cosines():
 
 def test_license_notices_do_not_depend_on_what_follows(spark):
     """A notice wrapped over short lines scores the same alone and before code of any length; a title makes a licence file."""
-    notice = "# This program is free software: you can\n# redistribute it and/or modify it under\n# the terms of the GNU General Public\n# License\n"
+    notice = "# This program is free software: you can\n# redistribute it and/or modify it under\n# the terms of the GNU General Public\n# License as published by the Free Software\n# Foundation, either version 3 of the License,\n# or (at your option) any later version.\n"
     code = "\n".join(f"x{i} = call(y{i}, z{i % 7})" for i in range(3000))
     files = [("a/1", notice), ("a/2", notice + code), ("a/3", code), ("b/LICENSE", "Apache License\nVersion 2.0, January 2004\n" + code), ("b/c/d", "nothing"), ("e/f", "word " * 200_000)]
     rows = {r.path: r for r in license_scan.inherit(common.materialize(license_scan.scan(spark.createDataFrame(files, "path string, text string")).drop("text"), "scanned")).collect()}
@@ -370,12 +391,57 @@ def test_license_notices_do_not_depend_on_what_follows(spark):
     assert rows["a/3"].origin == "inherited" and rows["b/c/d"].license == "Apache-2.0" and rows["e/f"].license is None
 
 
+FSF = "is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize(
+    ("text", "license_"),
+    [
+        ("This program " + FSF.format("General Public License", "2"), "GPL-2.0"),
+        ("This program " + FSF.format("General Public License", "3"), "GPL-3.0"),
+        ("This program " + FSF.format("General Public License", "4"), None),
+        ("This library " + FSF.format("Lesser General Public License", "2.1"), "LGPL-2.1"),
+        ("This library " + FSF.format("Lesser General Public License", "3"), "LGPL-3.0"),
+        ("This program " + FSF.format("Affero General Public License", "3"), "AGPL-3.0"),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "BSD-2-Clause"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: one. two. Neither the name of the company nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "BSD-3-Clause"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software)", "MIT"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "BSL-1.0"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "ISC"),
+        ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "Zlib"),
+        ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "CC0-1.0"),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("// SPDX-License-Identifier: MIT", "MIT"),
+        ("// SPDX-License-Identifier: Sleepycat", None),
+        ("This is not released under the MIT License.", None),
+        ("It is no longer released under the MIT License.", None),
+        ("This is not a library. Released under the MIT License.", "MIT"),
+        ("Released under the MIT License. It is not slow.", "MIT"),
+        ("Released under the Foo License.", None),
+        ("Released under the MIT License. " + "then much else follows in this line " * 200, "MIT"),
+        ("much else comes first in this line " * 200 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files " + "and more " * 500, "MIT"),
+    ],
+)
+def test_licenses_are_told_apart(text, license_):
+    for df in ({}, {"the": 900, "of": 800, "this": 500, "is": 700, "and": 850, "to": 600, "license": 60, "under": 90, "mit": 300, "by": 70, "3": 40, "2": 45}):
+        matcher = license_scan.Matcher(license_scan.TEMPLATES, 1000, df, 0.8, license_scan.TITLES)
+        assert matcher.scan(text)[0] == license_
+
+
 def test_license_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     vocabulary = {t for _, x in [*license_scan.TEMPLATES, *license_scan.TITLES] for t in license_scan.terms(x)}
     lines = [set(license_scan.terms(x)) & vocabulary for r in docs for x in (r.text or "").lower().split("\n")]
     df = collections.Counter(t for line in lines for t in line)
-    matcher = license_scan.Matcher(license_scan.TEMPLATES, len(lines), df, 0.6, license_scan.TITLES)
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, len(lines), df, 0.8, license_scan.TITLES)
     own = {r.doc_id: matcher.scan(r.text) for r in docs}
     sources = {r.doc_id: r.source for r in docs}
     place = lambda i: [sources[i], str(i // 1000), str(i // 100)]
