@@ -157,7 +157,7 @@ class Matcher:
     def scan(self, text: str | None) -> tuple[str | None, float | None, float | None]:
         """Licence, cosine and share of the file's terms in matching units; nulls without a match. A title stands for the whole file."""
         low = (text or "").lower()
-        if not any(t in low for t in self.decisive):
+        if not any(t in low for t in self.decisive) or all(self.decisive.isdisjoint(_TERM.findall(line)) for line in low.split("\n")):
             return None, None, None
         starts, ends, units = array("q"), array("q"), set()
         anchors = []
