@@ -10,8 +10,15 @@ of the corpus, is drawn again with the next attempt, until none is left. Later a
 surrogate, so the rounds end even where a format has too few values. Only documents with redrawn entities are
 joined with their attempts.
 
-A name is the capitalised words after a title, with particles and initials; each part has a surrogate by itself, so
-full and short mentions agree, and the parts are replaced without a title too in the texts that hold the name.
+A name is the capitalised words after a title, with particles and initials. Titles may stack ("Frau Prof. Dr.") and,
+like offices ("Mr President") and function words, are no part of a name. Each part has a surrogate by itself, so full and
+short mentions agree. A family name (the last word of a name, or the only one) has one surrogate whatever the gender;
+given names follow the gender of the title, or have forms of their own where only an academic title is known. The parts
+are replaced without a title too in the texts that hold the name. A part alone is left where "the" stands before it
+("the Bush fire") or a word of a street or company behind it, and where the corpus has the word more often with a small
+first letter than with a capital one ("Will", "May"): such words are counted over all texts. Letters and digits that are
+drawn one by one (local parts, secrets, account numbers) never stay what they were.
+
 Bank account numbers (IBAN) count if their check digits are right, and get right ones; IPv6 addresses keep their
 groups of zeros and their spelling; social security numbers (123-45-6789) stay in the ranges that are given out.
 
@@ -35,7 +42,23 @@ SAME_LENGTH = 6
 
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora")
 _MALE = ("Mr", "Herr", "Monsieur", "Señor")
-_FEMALE_TITLES = {t.lower() for t in _FEMALE}
+#: Titles that tell no gender.
+_ACADEMIC = (r"Dr\.-Ing", "Dr", "Prof", "Professor", "Doctor", "Doktor")
+_TITLES = _FEMALE + _MALE + _ACADEMIC
+_GENDERS = {t.lower(): "f" for t in _FEMALE} | {t.lower(): "m" for t in _MALE}
+_OFFICES = ("President", "Chairman", "Chairwoman", "Speaker", "Minister", "Secretary", "Chancellor", "Director", "Judge", "Präsident", "Präsidentin", "Ministerin", "Kanzler", "Kanzlerin", "Bundeskanzler", "Bundeskanzlerin", "Direktor", "Direktorin", "Président", "Présidente", "Ministre", "Presidente", "Presidenta", "Ministro", "Ministra")
+#: What may stand between a title and a name.
+_MORE = re.compile(r"(?:(?:" + "|".join(_TITLES + _OFFICES) + r"|med|phil|jur|iur|rer|nat|habil|h\.? ?c)\b\.? )+(?=[^\W\d_])", re.IGNORECASE)
+#: Capitalised words that end a name, or show that there is none.
+_NO_NAME = {t.casefold() for t in _TITLES + _OFFICES} | set(
+    "a an and are as at but by for from he her his how i if in is it its my no not of on or our she so that the their then there they this to was we were what when where who why will you your".split()
+    + "aber als am auf aus das dem der die ein eine er es für hat ich im ist mit nach sie und vom war wenn wer wie wir zum zur".split()
+    + "au aux avec ce dans elle et il ils je les mais nous ou par pour que qui sur un une vous".split()
+    + "como con cuando ella ellos en los las para pero por pues sin una y yo".split()
+) - {"will"}  # also a given name
+#: Words behind a part of a name that make a street or a company of it.
+_NO_PERSON = re.compile(r" (?:Street|St|Road|Rd|Avenue|Ave|Lane|Drive|Square|Park|Bridge|University|Inc|Ltd|LLC|Corp|Company|Group|GmbH|AG|KG|SE|Straße|Platz|Allee|SA|SARL)\b")
+_ARTICLE = re.compile(r"\b[Tt]he \Z")
 _PATTERN = re.compile(
     r"(?<![\w.%+-])(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?(?P<secret>[A-Za-z0-9+/_=-]{12,})"
@@ -43,14 +66,15 @@ _PATTERN = re.compile(
     r"|(?<![0-9A-Za-z])(?P<iban>(?-i:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?))(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z:.])(?=[0-9a-f:]*[0-9])(?P<ipv6>(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?=[a-f]{0,3}[0-9])[0-9a-f]{3,4}(?::[0-9a-f]{1,4}){0,5}::[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,5})(?![0-9A-Za-z:])"
     r"|(?<![\w-])(?P<ssn>(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![\w-])"
-    r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)"
+    r"|(?<!\d)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\(\d{3}\) ?\d{3}-\d{4}"
+    r"|(?=\+(?:[ .()-]{0,2}\d){8})\+\d{1,3}[ .-]?(?:\(\d{1,5}\)|\d{1,5})(?:[ .-]\d{5,8}|(?:[ .-]\d{2,4}){2,4})|(?<![\w.-])\d{3}(?P<dash>[.-])\d{3}(?P=dash)\d{4}(?![\w-]))(?!\d)"
     r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4})(?!\d)"
     r"|(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)"
-    r"|\b(?P<title>" + "|".join(_FEMALE + _MALE) + r")\.? (?=[^\W\d_])",
+    r"|\b(?P<title>" + "|".join(_TITLES) + r")\.? (?=[^\W\d_])",
     re.IGNORECASE,
 )
 #: Pieces without any of these hold no entity. ASCII letters of either case have four more partners where case is ignored.
-_HINT = re.compile(r"[\d@]|[=:]\s*[\"']?[A-Za-zİıſ\u212a0-9+/_=-]{12}|[a-fA-F0-9]{32}|\b[" + "".join(sorted({t[0] for t in _FEMALE + _MALE})) + r"](?i:" + "|".join(t[1:] for t in _FEMALE + _MALE) + r")\b")
+_HINT = re.compile(r"[\d@]|[=:]\s*[\"']?[A-Za-zİıſ\u212a0-9+/_=-]{12}|[a-fA-F0-9]{32}|\b[" + "".join(sorted({t[0] for t in _TITLES})) + r"](?i:" + "|".join(t[1:] for t in _TITLES) + r")\b")
 #: The end of a line that a secret's key or its sign may leave open; no entity passes any other line break.
 _OPEN = re.compile(r"(?:token|secret|password|passwd|api[_-]?key|[=:])\Z", re.IGNORECASE)
 #: What is left of a word in which another entity ended may be an email address.
@@ -62,11 +86,14 @@ _PARTICLES = re.compile(r"(?:(?:von|van|der|den|de|del|della|di|da|du|la|zu|ter|
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words of a name in capitals only, where the end of the name does not show.
 MAX_CAPITAL_WORDS = 3
-#: Syllables by script: stems, and endings of female and male names.
+#: The kinds of names by gender (n: unknown), and of what has a surrogate: given names by gender, family names.
+NAMES = ("f", "m", "n")
+NAME_PARTS = (*NAMES, "s")
+#: Syllables by script: stems, and endings of female, male and other given names and of family names.
 _SYLLABLES = {
-    "latin": ("ba be di do fa ga ka le li ma mi na no pe ra ri sa ta ve zo".split(), ("na", "ria", "ela"), ("no", "rik", "mar")),
-    "cyrillic": ("ба ве ди до ка ле ли ма ми на но ра ри са та".split(), ("на", "рия", "ела"), ("нов", "рик", "мар")),
-    "greek": ("βα δε δι κα λε λι μα μι να νο ρα ρι σα τα".split(), ("να", "ρια", "ελα"), ("νος", "ρης", "μας")),
+    "latin": ("ba be di do fa ga ka le li ma mi na no pe ra ri sa ta ve zo".split(), {"f": ("na", "ria", "ela"), "m": ("no", "rik", "mar"), "n": ("li", "ris", "ani"), "s": ("sen", "dal", "ker")}),
+    "cyrillic": ("ба ве ди до ка ле ли ма ми на но ра ри са та".split(), {"f": ("на", "рия", "ела"), "m": ("нов", "рик", "мар"), "n": ("ли", "рис", "ани"), "s": ("ко", "юк", "ских")}),
+    "greek": ("βα δε δι κα λε λι μα μι να νο ρα ρι σα τα".split(), {"f": ("να", "ρια", "ελα"), "m": ("νος", "ρης", "μας"), "n": ("λι", "ρις", "ανι"), "s": ("ιδη", "ακη", "ου")}),
 }
 
 
@@ -131,21 +158,31 @@ def canonical(kind: str, mention: str) -> str:
         return ipaddress.IPv6Address(mention).exploded
     if kind in ("phone", "card", "ssn"):
         digits = "".join(str(int(c)) for c in mention if c.isdecimal())
-        # numbers without a country code are those of +1
-        return digits[1:] if kind == "phone" and mention[0] == "+" and digits[0] == "1" and len(digits) == 11 else digits
-    if kind in ("f", "m"):
+        if kind != "phone" or mention[0] != "+":
+            return digits
+        if digits[0] == "1" and len(digits) == 11:  # numbers without a country code are those of +1
+            return digits[1:]
+        code = len(re.match(r"\+(\d{1,3})", mention)[1])
+        return f"{digits[:code]} {digits[code:]}"
+    if kind in NAME_PARTS:
         return mention.casefold()
     return mention
 
 
+def _other(draw: _Draw, among: str, c: str) -> str:
+    """One of the characters that is not ``c``."""
+    among = among.replace(c, "") if len(c) == 1 else among
+    return among[draw.below(len(among))]
+
+
 def _like(draw: _Draw, text: str) -> str:
-    """Letters for letters and digits for digits, ASCII, in the same case."""
+    """Other letters for letters and other digits for digits, ASCII, in the same case."""
     out = []
     for c in text:
         if c.isdigit():
-            out.append(str(draw.below(10)))
+            out.append(_other(draw, "0123456789", c))
         elif c.isalpha():
-            x = chr(97 + draw.below(26))
+            x = _other(draw, "abcdefghijklmnopqrstuvwxyz", c.lower())
             out.append(x.upper() if c.isupper() else x)
         else:
             out.append(c)
@@ -163,8 +200,8 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     if kind == "hex":
         return "".join("0123456789abcdef"[draw.below(16)] for _ in canon) + more
     if kind == "phone":
-        kept = max(0, len(canon) - 10)
-        return canon[:kept] + "".join(str(draw.below(10)) for _ in canon[kept:]) + more
+        code, space, number = canon.rpartition(" ")
+        return code + space + "".join(str(draw.below(10)) for _ in number) + more
     if kind == "card":
         out = str(1 + draw.below(9)) + "".join(str(draw.below(10)) for _ in canon[1:]) + more
         if _luhn(canon) == 0:
@@ -181,9 +218,9 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         return ":".join("".join("0123456789abcdef"[draw.below(16) if k else 1 + draw.below(15)] for k in range(len(x))).zfill(4) for x in groups)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4)) if attempt < 64 else f"10.{attempt}.{draw.below(1 << 30)}"
-    if kind in ("f", "m"):
-        stems, female, male = _SYLLABLES[_script(canon)]
-        return " ".join("".join(stems[draw.below(len(stems))] for _ in range(2 + max(0, attempt - SAME_LENGTH))) + (female if kind == "f" else male)[draw.below(3)] for _ in canon.split(" "))
+    if kind in NAME_PARTS:
+        stems, endings = _SYLLABLES[_script(canon)]
+        return "".join(stems[draw.below(len(stems))] for _ in range(2 + max(0, attempt - SAME_LENGTH))) + endings[kind][draw.below(3)]
     return _like(draw, canon) + longer
 
 
@@ -196,11 +233,11 @@ def _render(kind: str, mention: str, canon: str) -> str:
         out = _spelled(mention, canon)
         return out.upper() if mention.isupper() else out
     if kind in ("phone", "card", "ssn"):
-        code = "1" if kind == "phone" and len(canonical(kind, mention)) < sum(c.isdecimal() for c in mention) else ""
-        digits = iter(code + canon)
+        code = "1" if kind == "phone" and mention[0] == "+" and " " not in canonical(kind, mention) else ""
+        digits = iter(code + canon.replace(" ", ""))
         out = "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in mention)
         return out + "".join(digits)
-    if kind in ("f", "m"):
+    if kind in NAME_PARTS:
         return canon.upper() if mention.isupper() else canon.title()
     if kind in ("email", "hex") and mention.isupper():
         return canon.upper()
@@ -241,7 +278,7 @@ def _name_end(text: str, start: int) -> int:
         m = _NAME_WORD.match(text, at)
         if not m or not m[0][0].isupper():
             return end
-        if len(m[0]) == 1:  # a letter alone, which is no initial
+        if len(m[0]) == 1 or m[0].casefold() in _NO_NAME:  # a letter alone is no initial
             return end
         words += 1
         end = m.end()
@@ -265,9 +302,12 @@ def _entities(piece: str):
         if m.re is _EMAIL_REST:
             yield "email", m.start(), at
         elif m["title"]:
-            end = _name_end(piece, at) if m["title"][0].isupper() else at
-            if any(True for _ in _name_parts(piece[at:end])):
-                yield "f" if m["title"].lower() in _FEMALE_TITLES else "m", at, end
+            more = _MORE.match(piece, at)
+            start = more.end() if more else at
+            end = _name_end(piece, start) if m["title"][0].isupper() else start
+            if any(True for _ in _name_parts(piece[start:end])):
+                titles = [m["title"], *_LETTERS.findall(more[0] if more else "")]
+                yield next((_GENDERS[t.lower()] for t in titles if t.lower() in _GENDERS), "n"), start, end
                 at = end
         else:
             kind = m.lastgroup if m.lastgroup != "sep" else "card"
@@ -282,13 +322,31 @@ def _entities(piece: str):
         m = _EMAIL_REST.match(piece, at) or _PATTERN.search(piece, at)
 
 
-def mentions(text: str | None):
-    """(kind, start, end) of every entity in a text, from left to right; of names, also the mentions without a title."""
+def mentions(text: str | None, ordinary: frozenset[str] = frozenset()):
+    """(kind, start, end) of every entity in a text, from left to right; of names, also the mentions without a title.
+
+    ``ordinary``: parts of names, case-folded, that are no names where they stand alone without a title.
+    """
+    return _analysed(text, ordinary)[0]
+
+
+def _analysed(text: str | None, ordinary: frozenset[str] = frozenset()):
+    """The mentions, and what the titled ones tell of the parts of names: genders of given names, and family names."""
     found = [(kind, at + a, at + b) for at, piece in _pieces(text or "") if _HINT.search(piece) for kind, a, b in _entities(piece)]
-    return _with_untitled(text, found) if any(kind in ("f", "m") for kind, *_ in found) else found
+    given: dict[str, set[str]] = {}
+    family = set()
+    for kind, start, end in found:
+        if kind in NAMES and (space := text.rfind(" ", start, end)) >= 0:
+            for a, b in _name_parts(text[start:end]):
+                part = text[start + a : start + b].casefold()
+                if start + a > space:
+                    family.add(part)
+                else:
+                    given.setdefault(part, set()).add(kind)
+    return (_with_untitled(text, found, ordinary) if any(kind in NAMES for kind, *_ in found) else found), (given, family)
 
 
-def _with_untitled(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+def _with_untitled(text: str, found: list[tuple[str, int, int]], ordinary: frozenset[str] = frozenset()) -> list[tuple[str, int, int]]:
     """``found`` and the capitalised words elsewhere in the text that are parts of its names.
 
     A part that names of both genders share belongs to the last one before it. Parts seen in capitals only are
@@ -297,59 +355,73 @@ def _with_untitled(text: str, found: list[tuple[str, int, int]]) -> list[tuple[s
     seen: dict[str, list[tuple[int, str]]] = {}
     mixed = set()
     for kind, start, end in found:
-        if kind in ("f", "m"):
+        if kind in NAMES:
             for a, b in _name_parts(text[start:end]):
                 part = text[start + a : start + b]
                 seen.setdefault(part.casefold(), []).append((start, kind))
                 if not part.isupper():
                     mixed.add(part.casefold())
     word = lambda at: 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+    person = lambda a, b: text[a:b].casefold() not in ordinary and not _NO_PERSON.match(text, b) and not _ARTICLE.search(text, max(0, a - 5), a)
     out, free = [], 0
     for kind, start, end in [*found, ("", len(text), len(text))]:
+        runs: list[tuple[str, int, int, int]] = []
         for m in _LETTERS.finditer(text, free, start):
             part = m[0].casefold()
             if part in seen and len(m[0]) > 1 and m[0][0].isupper() and (part in mixed or m[0].isupper()) and not word(m.start() - 1) and not word(m.end()):
                 of = next((k for at, k in reversed(seen[part]) if at < m.start()), seen[part][0][1])
-                if out and out[-1][0] == of and out[-1][1] >= free and text[out[-1][2] : m.start()] in (" ", "-"):
-                    out[-1] = (of, out[-1][1], m.end())
+                if runs and runs[-1][0] == of and text[runs[-1][2] : m.start()] in (" ", "-"):
+                    runs[-1] = (of, runs[-1][1], m.end(), runs[-1][3] + 1)
                 else:
-                    out.append((of, m.start(), m.end()))
+                    runs.append((of, m.start(), m.end(), 1))
+        out += [(of, a, b) for of, a, b, n in runs if n > 1 or person(a, b)]
         if kind:
             out.append((kind, start, end))
         free = end
     return out
 
 
-def keys(kind: str, mention: str) -> list[str]:
-    """The canonical forms that have surrogates: one for a mention, or one for each part of a name."""
-    return [canonical(kind, mention[a:b]) for a, b in _name_parts(mention)] if kind in ("f", "m") else [canonical(kind, mention)]
+def _keyed(mention: str, kind: str, told) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, canonical form) of what has a surrogate in a mention: the whole of it, or each part of a name."""
+    if kind not in NAMES:
+        return [(0, len(mention), kind, canonical(kind, mention))]
+    (given, family), space, out = told, mention.rfind(" "), []
+    for a, b in _name_parts(mention):
+        part = mention[a:b].casefold()
+        if (part in family) != (part in given):
+            last = part in family
+        else:
+            last = a > space
+        genders = sorted(given.get(part, set()) - {"n"})
+        out.append((a, b, "s" if last else genders[0] if kind == "n" and genders else kind, part))
+    return out
 
 
-def _replaced(kind: str, mention: str, key: bytes, attempts: dict[tuple[str, str], int]) -> str:
-    if kind not in ("f", "m"):
-        canon = canonical(kind, mention)
-        return _render(kind, mention, surrogate(key, kind, canon, attempts.get((kind, canon), 0)))
-    out, at = [], 0
-    for a, b in _name_parts(mention):
-        canon = canonical(kind, mention[a:b])
-        out += [_initials(mention[at:a], kind, key), _render(kind, mention[a:b], surrogate(key, kind, canon, attempts.get((kind, canon), 0)))]
-        at = b
-    return "".join(out) + _initials(mention[at:], kind, key)
+def entities(text: str | None) -> set[tuple[str, str]]:
+    """Kind and canonical form of all that has a surrogate in a text."""
+    found, told = _analysed(text)
+    return {(kind, canon) for of, start, end in found for _, _, kind, canon in _keyed(text[start:end], of, told)}
 
 
-def _initials(text: str, kind: str, key: bytes) -> str:
+def _initials(text: str, key: bytes) -> str:
     """Initials have a keyed letter of their own, which other initials may share."""
-    return re.sub(r"[^\W\d_](?=\.)", lambda m: chr(65 + _Draw(key, kind, "initial", m[0].casefold()).below(26)) if m[0].isupper() else m[0], text)
+    return re.sub(r"[^\W\d_](?=\.)", lambda m: _other(_Draw(key, "initial", m[0].casefold()), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", m[0]) if m[0].isupper() else m[0], text)
 
 
-def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, int]:
+def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int], ordinary: frozenset[str] = frozenset()) -> tuple[str | None, int]:
     """The text with surrogates, and how many mentions were replaced."""
-    out, at, n = [], 0, 0
-    for kind, start, end in mentions(text):
-        mention = text[start:end]
-        out += [text[at:start], _replaced(kind, mention, key, attempts)]
-        at, n = end, n + 1
-    return ("".join(out) + text[at:] if n else text), n
+    found, told = _analysed(text, ordinary)
+    out, at = [], 0
+    for of, start, end in found:
+        out.append(text[at:start])
+        mention, done = text[start:end], 0
+        for a, b, kind, canon in _keyed(mention, of, told):
+            drawn = surrogate(key, kind, canon, attempts.get((kind, canon), 0))
+            out += [_initials(mention[done:a], key), _render(kind, mention[a:b], drawn)]
+            done = b
+        out.append(_initials(mention[done:], key))
+        at = end
+    return ("".join(out) + text[at:] if found else text), len(found)
 
 
 def _found(df: DataFrame) -> DataFrame:
@@ -359,8 +431,7 @@ def _found(df: DataFrame) -> DataFrame:
         for batch in batches:
             docs, kinds, canons = [], [], []
             for doc, text in zip(batch.column("doc"), batch.column("text"), strict=True):
-                x = text.as_py()
-                for kind, canon in {(kind, canon) for kind, a, b in mentions(x) for canon in keys(kind, x[a:b])}:
+                for kind, canon in entities(text.as_py()):
                     docs.append(doc.as_py())
                     kinds.append(kind)
                     canons.append(canon)
@@ -392,6 +463,17 @@ def redrawn(entities: DataFrame, key: bytes) -> DataFrame:
         table = materialize(judged.where("not again").drop("again").unionByName(redo.withColumn("drawn", draw("kind", "canon", "attempt")).drop("again")), "drawn")
 
 
+def ordinary_words(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """canon of the ``parts`` of names that ``texts`` have more often with a small first letter than with a capital one.
+
+    Words are counted before they meet the names, so a frequent word is one row of a partition in the shuffle.
+    """
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}{2,}"), F.lit(0))).alias("word"))
+    first = F.substring("word", 1, 1)
+    counts = words.groupBy(F.lower("word").alias("canon")).agg(F.count_if(first == F.lower(first)).alias("small"), F.count(F.lit(1)).alias("n"))
+    return counts.where("2 * small > n").join(parts.select("canon").distinct(), "canon", "left_semi").select("canon")
+
+
 def replace_entities(df: DataFrame, key: bytes, text: str = "text", count: str = "n_replaced") -> DataFrame:
     """``df`` with surrogates in ``text`` and the number of replaced mentions in ``count``."""
     names = [f"c{i}" for i in range(len(df.columns))]
@@ -399,7 +481,12 @@ def replace_entities(df: DataFrame, key: bytes, text: str = "text", count: str =
     body = names[df.columns.index(text)]
     found = materialize(_found(plain.select("doc", F.col(body).alias("text"))), "mentions")
     attempts = redrawn(materialize(found.select("kind", "canon").distinct(), "entities"), key)
-    per_doc = found.join(attempts, ["kind", "canon"]).groupBy("doc").agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("attempts"))
+    known = found.join(attempts, ["kind", "canon"])
+    named = found.where(F.col("kind").isin(*NAME_PARTS))
+    if not named.isEmpty():
+        plain_words = materialize(ordinary_words(plain.select(F.col(body).alias("text")), named), "ordinary")
+        known = known.unionByName(named.join(plain_words, "canon").select("doc", F.lit("ordinary").alias("kind"), "canon", F.lit(0).alias("attempt")))
+    per_doc = known.groupBy("doc").agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("attempts"))
     per_doc = materialize(per_doc, "attempts")
     ids = bounded(per_doc.select("doc"))
     with_attempts = plain.join(ids, "doc", "left_semi").join(per_doc, "doc")
@@ -407,7 +494,10 @@ def replace_entities(df: DataFrame, key: bytes, text: str = "text", count: str =
 
     @F.arrow_udf("text string, n bigint")
     def apply(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        done = [replace(x, key, {(a["kind"], a["canon"]): a["attempt"] for a in known or ()}) for x, known in zip(texts.to_pylist(), lists.to_pylist(), strict=True)]
+        done = []
+        for x, known in zip(texts.to_pylist(), lists.to_pylist(), strict=True):
+            ordinary = frozenset(a["canon"] for a in known or () if a["kind"] == "ordinary")
+            done.append(replace(x, key, {(a["kind"], a["canon"]): a["attempt"] for a in known or ()}, ordinary))
         return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["text", "n"])
 
     out = with_attempts.unionByName(without).withColumn("done", apply(body, "attempts"))

@@ -213,6 +213,60 @@ def test_pii_phone_with_and_without_country_code():
     assert n == 3 and a == f"+1 {b}" and b != "(017) 555-7713" and c.startswith("+44 ") and c[4:] != b
 
 
+@pytest.mark.parametrize(
+    ("text", "ordinary", "gone", "stays"),
+    [("Frau Dr. Schmidt kam. Schmidt ging.", "", ["Schmidt"], "Frau Dr. * kam. * ging."), ("Dr. Helen Brown, Prof. Dr. med. Weber und Dr.-Ing. Kurz", "", ["Helen", "Brown", "Weber", "Kurz"], "Dr. * *, Prof. Dr. med. * und Dr.-Ing. *"),
+     ("Mr Will May said: May we go? Will is fine, Will May too.", "may will", ["Will May"], "Mr * * said: May we go? Will is fine, * * too."), ("Mr President, the President said. Mr President Kern nods.", "", ["Kern"], "Mr President, the President said. Mr President * nods."),
+     ("Herr Müller und die Müller GmbH, Mr. Bush and the Bush fire, Bush left Bush Street", "", ["Bush left"], "Herr * und die Müller GmbH, Mr. * and the Bush fire, * left Bush Street"), ("Mr. In The news", "", [], "Mr. In The news"),
+     ("+49 30 1234567, 555-123-4567, +33 1 23 45 67 89", "", ["1234567", "555-123", "23 45"], None), ("write a.b@example.com", "", ["a.b@"], None)],
+)
+def test_pii_titles_ordinary_words_and_numbers(text, ordinary, gone, stays):
+    ordinary = frozenset(ordinary.split())
+    new, n = pii.replace(text, b"key", {}, ordinary)
+    assert not any(x in new for x in gone) and len(new.split()) == len(text.split())
+    if stays is not None:
+        assert pii.re.fullmatch(pii.re.escape(stays).replace(r"\*", r"\w+"), new)
+    elif "+" in text:
+        assert new[:4] == "+49 " and new[17:21] != text[17:21] and "+33 " in new and n == 3
+    else:
+        assert all(x != y for x, y in zip(text[6:9:2], new[6:9:2], strict=True)) and new.endswith("@example.com")
+
+
+def test_pii_one_family_name_has_one_surrogate():
+    new, n = pii.replace("Mr John Smith, Mrs Anna Smith, Mr. Smith; John and Anna. Dr. Anna Kern", b"key", {})
+    w = pii.re.findall(r"\w+", new)
+    assert n == 6 and w[2] == w[5] == w[7] and w[1] == w[8] and w[4] == w[10] == w[12] and len({w[1], w[2], w[4], w[13]}) == 4
+    assert w[1].endswith(("no", "rik", "mar")) and w[4].endswith(("na", "ria", "ela"))
+    assert pii.replace("ask Mr J. Smith", b"key", {})[0] != "ask Mr J. Smith" and "J." not in pii.replace("ask Mr J. Smith", b"key", {})[0]
+
+
+def test_pii_query_against_plain_replacement(spark, tmp_path):
+    """The registered query: one surrogate an entity, none shared, nothing else changed, ordinary words told by the corpus."""
+    plain = ["we will go and may stay; a rose, it will do " * 150, "the will of may", None, "", "x" * 200_000 + " a.b@x.org"]
+    texts = [f"Mr Will May wrote {i % 7}{i % 7}@x.org on +49 30 {1000000 + i % 5}; May we? Will Keller go? Frau Dr. Rose Keller, Keller." for i in range(40)] + plain + ["Mr Will May wrote"] * 3
+    table = documents(spark, texts)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op9_pii(spark, str(tmp_path)).collect()}
+    ids = [r.doc_id for r in table.orderBy("doc_id").collect()]
+    assert len(got) == len(texts)
+    ordinary, forms, owners = frozenset({"will", "may", "rose"}), {}, {}
+    for doc, old in zip(ids, texts, strict=True):
+        new, found = got[doc].text, pii.mentions(old, ordinary)
+        assert got[doc].n_replaced == len(found)
+        if not found:
+            assert new == old
+            continue
+        pattern = "".join(pii.re.escape(old[e:s]) + ("(.+?)" if s < len(old) else "") for e, s in zip([0, *[b for *_, b in found]], [*[a for _, a, _ in found], len(old)], strict=True)) if found[-1][2] < len(old) else None
+        if pattern is None:
+            assert new.startswith(old[: found[0][1]]) and old[found[0][1] :] not in new
+            continue
+        for (kind, a, b), drawn in zip(found, pii.re.fullmatch(pattern, new, pii.re.DOTALL).groups(), strict=True):
+            old_words, new_words = (old[a:b].split(), drawn.split()) if kind in pii.NAMES else ([old[a:b]], [drawn])
+            for x, y in zip(old_words, new_words, strict=True):
+                assert forms.setdefault(x, y) == y != x and owners.setdefault(y, x) == x
+    assert {"Will", "May", "Keller", "Rose", "00@x.org", "66@x.org", "+49 30 1000004"} <= set(forms) and "; May we? Will " in got[ids[0]].text
+
+
 def test_pii_stays_distinct_where_formats_are_scarce(spark):
     """More entities than a two-digit local part can name: surrogates grow, none is shared or real."""
     entities = spark.createDataFrame([("email", f"{i:02d}@x.org") for i in range(100)], "kind string, canon string")
