@@ -32,16 +32,16 @@ from slotstream.llm.common import bounded, materialize
 
 #: Rows per bucket of the two-level numbering of a source's rows.
 BUCKET_ROWS = 2_000
-#: Slots of the smallest source in a round of default weights; rounding changes a share by at most 1 in twice as many.
+#: Slots of the smallest source in a round of default weights, unless the caller wants finer ones; rounding changes a share by at most 1 in twice as many.
 FINEST = 8
 
 
-def _weights(spark: SparkSession, sizes: DataFrame, weights: Mapping[str | None, int] | None, alpha: float) -> DataFrame:
+def _weights(spark: SparkSession, sizes: DataFrame, weights: Mapping[str | None, int] | None, alpha: float, finest: int) -> DataFrame:
     """``sizes`` (source, rows) with the whole weight of each source: as given, or in proportion to rows ** alpha."""
     if weights is None:
         least = sizes.agg(F.min("rows").alias("least"))  # one row
         ratio = F.pow(F.col("rows") / F.col("least"), F.lit(float(alpha)))
-        return sizes.crossJoin(F.broadcast(least)).select("source", "rows", F.greatest(F.lit(1), F.round(FINEST * ratio)).cast("long").alias("weight"))
+        return sizes.crossJoin(F.broadcast(least)).select("source", "rows", F.greatest(F.lit(1), F.round(finest * ratio)).cast("long").alias("weight"))
     given = json.dumps([{"source": "" if s is None else f"={s}", "given": int(w)} for s, w in weights.items()])
     table = spark.range(1).select(F.inline(F.from_json(F.lit(given), "array<struct<source string, given bigint>>")))
     return sizes.join(table, "source", "left").select("source", "rows", F.greatest(F.lit(1), F.coalesce("given", F.lit(1))).cast("long").alias("weight"))
@@ -127,10 +127,12 @@ def _phase_of(firsts: Column, r: Column, count: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s < count) & (F.get(firsts, at + s) <= r), at + s).otherwise(at))
 
 
-def mix(df: DataFrame, weights: Mapping[str | None, int] | None = None, source: str = "source", key: str = "doc_id", block_rows: int = 1, alpha: float = 0.5) -> DataFrame:
+def mix(df: DataFrame, weights: Mapping[str | None, int] | None = None, source: str = "source", key: str = "doc_id", block_rows: int = 1, alpha: float = 0.5, finest: int = FINEST) -> DataFrame:
     """``df`` with phase, block, slot and position in the mixed order (positions skip only what a last, partial block lacks).
 
-    ``weights``: whole target weights by source, in blocks per round; without them, sizes tempered by ``alpha``.
+    ``weights``: whole target weights by source, in blocks per round; without them, sizes tempered by ``alpha``
+    and rounded to whole slots, ``finest`` for the smallest source: a weight is then off by one in 2 * ``finest`` at most,
+    and a round has the more slots.
     """
     spark = df.sparkSession
     names = [f"c{i}" for i in range(len(df.columns))]
@@ -138,7 +140,7 @@ def mix(df: DataFrame, weights: Mapping[str | None, int] | None = None, source:
     plain = df.toDF(*names).withColumn("_s", F.coalesce(F.concat(F.lit("="), F.col(at[source]).cast("string")), F.lit("")))
     sizes = materialize(plain.groupBy(F.col("_s").alias("source")).agg(F.count(F.lit(1)).alias("rows")), "sizes")
     blocks = F.ceil(F.col("rows") / block_rows)
-    weighed = _weights(spark, sizes, weights, alpha).select("source", "weight", F.floor(blocks / F.col("weight")).alias("full"), (blocks % F.col("weight")).alias("rest"))
+    weighed = _weights(spark, sizes, weights, alpha, finest).select("source", "weight", F.floor(blocks / F.col("weight")).alias("full"), (blocks % F.col("weight")).alias("rest"))
     sources = materialize(weighed, "sources")
     phases = materialize(rounds(sources), "phases")
     places = materialize(schedule(phases), "schedule")

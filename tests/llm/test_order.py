@@ -230,3 +230,13 @@ def test_top_k_of_repeated_queries(spark, equal):
         best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in scaled if i != q)[:10]
         wanted += [(q, rank, i, -score) for rank, (score, i) in enumerate(best, 1)]
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted(wanted) and len(wanted) == 1300
+
+
+@pytest.mark.parametrize("finest", [mixing.FINEST, 1000])
+def test_default_weights_are_off_by_half_a_slot_at_most(spark, finest):
+    sizes = {"a": 1, "b": 7, "c": 12_345, None: 10**9}
+    table = spark.createDataFrame(list(sizes.items()), "source string, rows bigint")
+    found = {r.source: r.weight for r in mixing._weights(spark, table, None, 0.5, finest).collect()}
+    assert all(abs(found[s] / (finest * n**0.5) - 1) <= 1 / (2 * finest) for s, n in sizes.items())
+    docs = spark.createDataFrame([(i, "x" if i % 3 else "y") for i in range(30)], "doc_id bigint, source string")
+    assert sorted(r.position for r in mixing.mix(docs, finest=finest).collect()) == list(range(30))
