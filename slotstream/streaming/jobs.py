@@ -32,58 +32,63 @@ def block_rates(blocks: DataFrame, tick: str = "1 second", delay: str = "10 seco
 
 
 class SlotTracker(StatefulProcessor):
-    """State of one slot: finished shards, statuses that wait for the rest, commitments already sent.
+    """State of a range of slots, a row for each: finished shards, statuses that wait for the rest, commitments already sent.
 
     Input rows: slot, event (status or finish), log_offset, commitment, shard_idx, num_shards. Statuses leave when all
     shards have finished, or at once below ``minimum``; each commitment leaves once. A slot's state expires.
     """
 
+    STATE = "slot bigint, num_shards int, changed bigint, shards array<int>, sent array<int>, waiting array<int>, offsets array<bigint>"
+
     def __init__(self, minimum: int = 0, ttl_ms: int | None = None):
         self.minimum, self.ttl_ms = minimum, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.shards = handle.getMapState("shards", "shard int", "seen boolean", self.ttl_ms)
-        self.sent = handle.getMapState("sent", "commitment int", "seen boolean", self.ttl_ms)
-        self.waiting = handle.getMapState("waiting", "commitment int", "log_offset bigint", self.ttl_ms)
-        self.count = handle.getValueState("num_shards", "n int", self.ttl_ms)
-
-    def _status(self, slot: int, commitment: int, offset: int, out: list) -> None:
-        if self.sent.containsKey((commitment,)):
-            return
-        if commitment < self.minimum or self._complete():
-            self.sent.updateValue((commitment,), (True,))
-            out.append((slot, commitment, offset))
-        elif not self.waiting.containsKey((commitment,)) or self.waiting.getValue((commitment,))[0] > offset:
-            self.waiting.updateValue((commitment,), (offset,))
-
-    def _complete(self) -> bool:
-        wanted = self.count.get()[0] if self.count.exists() else None
-        return bool(wanted) and sum(1 for _ in self.shards.keys()) == wanted
+        self.slots = handle.getListState("slots", self.STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        (slot,) = key
-        out: list[tuple[int, int, int]] = []
-        pending = pd.concat(list(rows)).sort_values("log_offset")  # one slot's few status and finish rows
-        for row in pending.itertuples():
-            if row.event == "finish":
-                self.count.update((int(row.num_shards),))
-                self.shards.updateValue((int(row.shard_idx) % int(row.num_shards),), (True,))
-                if self._complete():
-                    for (commitment,), (offset,) in list(self.waiting.iterator()):
-                        self.waiting.removeKey((commitment,))
-                        self._status(slot, commitment, offset, out)
-            else:
-                self._status(slot, int(row.commitment), int(row.log_offset), out)
+        now = 0 if self.ttl_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        known = {}
+        for slot, wanted, changed, shards, sent, waiting, offsets in self.slots.get():
+            if self.ttl_ms is None or changed + self.ttl_ms > now:
+                known[slot] = [wanted, changed, set(shards), set(sent), dict(zip(waiting, offsets, strict=True))]
+        out: list[tuple[int, int, int | None]] = []
+        batch = pd.concat(list(rows)).sort_values("log_offset", kind="stable")
+        columns = (batch[c].tolist() for c in ("slot", "event", "log_offset", "commitment", "shard_idx", "num_shards"))
+        for slot, event, offset, commitment, shard, wanted in zip(*columns, strict=True):
+            state = known.setdefault(slot, [None, now, set(), set(), {}])
+            shards, sent, waiting = state[2:]
+            state[1] = now
+            if event == "finish":
+                state[0] = int(wanted)
+                shards.add(int(shard) % state[0])
+                if len(shards) == state[0]:
+                    out += [(slot, c, o) for c, o in waiting.items() if c not in sent]
+                    sent.update(waiting)
+                    waiting.clear()
+            elif (commitment := int(commitment)) not in sent:
+                if commitment < self.minimum or len(shards) == state[0]:
+                    sent.add(commitment)
+                    out.append((slot, commitment, offset))
+                else:
+                    waiting[commitment] = min(offset, waiting.get(commitment, offset))
+        self.slots.put([(slot, n, at, list(shards), list(sent), list(w), list(w.values())) for slot, (n, at, shards, sent, w) in known.items()])
         yield pd.DataFrame(out, columns=["slot", "commitment", "log_offset"]).astype({"slot": "int64", "commitment": "int32", "log_offset": "int64"})
 
     def close(self) -> None:
         pass
 
 
-def track_slots(events: DataFrame, minimum: int = 0, ttl_ms: int | None = None) -> DataFrame:
-    """slot, commitment, log_offset of the statuses as they are released. State is keyed by slot and expires ``ttl_ms`` after its last change."""
+def track_slots(events: DataFrame, minimum: int = 0, ttl_ms: int | None = None, width: int = 256) -> DataFrame:
+    """slot, commitment, log_offset of the statuses as they are released. A slot's state expires ``ttl_ms`` after its last change.
+
+    ``width`` slots share a key, so that a batch calls on Python and the state store once for each range. Rows without a
+    slot are left out; a finish needs no offset and comes behind its batch's statuses then.
+    """
     mode = "none" if ttl_ms is None else "processingTime"
-    return events.groupBy("slot").transformWithStateInPandas(SlotTracker(minimum, ttl_ms), "slot bigint, commitment int, log_offset bigint", "append", mode)
+    offset = F.when(F.col("event") == "finish", F.coalesce("log_offset", F.lit(2**63 - 1))).otherwise(F.col("log_offset"))
+    keyed = events.where("slot IS NOT NULL").withColumn("log_offset", offset).withColumn("slots", F.expr(f"slot DIV {width}")).groupBy("slots")
+    return keyed.transformWithStateInPandas(SlotTracker(minimum, ttl_ms), "slot bigint, commitment int, log_offset bigint", "append", mode)
 
 
 def retention_batches(path: str, keep: int = 10_000) -> Callable[[DataFrame, int], None]:

@@ -126,6 +126,30 @@ def test_late_rows_and_their_state(spark):
     assert (1, 0, 9) not in {(r.slot, r.shard_idx, r.arrival) for r in spark.read.parquet(f"{log.path}/out").collect()}
 
 
+def test_slot_tracker_takes_ranges_of_slots(spark):
+    """Slots of one range and of several, in batches of any cut, as each slot would be tracked alone; state is by range."""
+    rng, offset, rows = random.Random(8), 0, []
+    for slot in [*range(40), 700, 701]:
+        for _ in range(rng.randrange(1, 9)):
+            rows.append((slot, "status", rng.randrange(3), None, None) if rng.random() < 0.6 else (slot, "finish", None, rng.randrange(9), 2 + slot % 2))
+    rng.shuffle(rows)
+    rows = [(slot, event, i, *rest) for i, (slot, event, *rest) in enumerate(rows)]
+    batches = [rows[:50], rows[50:51], rows[51:120], [*rows[120:], (None, "status", 10**6, 0, None, None)]]
+    log = Log(spark, "slot bigint, event string, log_offset bigint, commitment int, shard_idx int, num_shards int")
+    got = log.run(lambda r: jobs.track_slots(r, minimum=1), batches)
+    wanted, shards, sent, waiting = [], {}, set(), {}
+    for slot, event, offset, commitment, shard, n in rows:
+        if event == "finish":
+            shards.setdefault(slot, set()).add(shard % n)
+        elif (slot, commitment) not in sent:
+            waiting.setdefault((slot, commitment), offset)
+        for s, c in [k for k in waiting if k[0] == slot and (k[1] < 1 or len(shards.get(slot, ())) == 2 + slot % 2)]:
+            sent.add((s, c))
+            wanted.append((s, c, waiting.pop((s, c))))
+    assert sorted(map(tuple, got.collect())) == sorted(wanted) and len(wanted) > 20
+    assert log.state_rows() == 2  # slots 0 to 255, and 700 with 701
+
+
 def trace(text):
     """Arrivals of a golden trace: d data, s status, m block metadata, e the end of a slot."""
     kinds = {"d": ("data", "entry"), "s": ("data", "slot_status"), "m": ("data", "block_meta"), "e": ("ended", None)}
