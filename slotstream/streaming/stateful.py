@@ -10,10 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, IntegralType, LongType, StructField, StructType
 
 from slotstream.operators.adapters import PASS_THROUGH
 
@@ -83,6 +84,19 @@ def track_commits(session: DataFrame) -> DataFrame:
     return rows.groupBy("consumer").transformWithStateInPandas(CommitTracker(schema), schema, "append", "none")
 
 
+def _pack(rows: pd.DataFrame) -> bytes:
+    """Rows as one value of state: an Arrow stream."""
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_pandas()
+
+
 # ---------------------------------------------------------------- late rows
 class ShardFinish(StatefulProcessor):
     """When the shards of a range of slots finished; each is forgotten ``keep_ms`` of event time after that, by a timer."""
@@ -136,83 +150,122 @@ def mark_late(rows: DataFrame, time: str = "created_at", delay: str = "1 hour",
 
 
 # ---------------------------------------------------------------- slot order
-class SlotOrder(StatefulProcessor):
-    """One lane: the slots that have not been passed, in the order in which they were first seen, and the rows behind the open one."""
+class SlotQueue(StatefulProcessor):
+    """One lane: the slots that have not been passed, in the order in which they were first seen. Rows: one a slot and batch."""
+
+    def __init__(self, schema: StructType):
+        self.schema = schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.queue = handle.getListState("queue", "packed binary")
+        self.passed = handle.getValueState("passed", "open bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = [_unpack(packed) for (packed,) in self.queue.get()]
+        batch = pd.concat([r[["slot", "first_seen", "ended_at"]] for r in rows])
+        batch = batch.groupby("slot", as_index=False).min().assign(opened=False).sort_values("first_seen", kind="stable")
+        queue = pd.concat([*known, batch])
+        # a slot keeps the place and the time of its first row
+        ended = queue.groupby("slot")["ended_at"].min()
+        queue = queue.drop_duplicates("slot")
+        queue = queue.assign(ended_at=ended.loc[queue["slot"]].to_numpy()).sort_values("first_seen", kind="stable")
+        open_ = np.flatnonzero(queue["ended_at"].to_numpy() == NEVER)
+        passed = int(open_[0]) if len(open_) else len(queue)
+        free = queue.iloc[: passed + 1]
+        before = self.passed.get()
+        # -1: nothing was passed before
+        after = np.maximum.accumulate(np.concatenate([[-1 if before is None else before[0]], free["ended_at"].to_numpy()]))
+        new = ~free["opened"].to_numpy(bool)
+        if passed:
+            self.passed.update((int(after[passed]),))
+        rest = queue.iloc[passed:]
+        if len(rest):
+            rest = rest.assign(opened=np.arange(len(rest)) == 0)
+            self.queue.put([(_pack(rest.iloc[i : i + SLOTS]),) for i in range(0, len(rest), SLOTS)])
+        elif known:
+            self.queue.clear()
+        if new.any():
+            yield _frame(self.schema, {self.schema.names[0]: [key[0]] * int(new.sum()), "slot": free["slot"][new], "first_seen": free["first_seen"][new], "after": after[: len(free)][new]})
+
+    def close(self) -> None:
+        pass
+
+
+class SlotRows(StatefulProcessor):
+    """A range of slots of one lane: the rows of slots that are not open yet, and which slots are."""
 
     def __init__(self, schema: StructType, payload: StructType):
         self.schema, self.payload = schema, payload
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.queue = handle.getListState("queue", "slot bigint, first_seen bigint, ended_at bigint")
-        self.waiting = handle.getListState("waiting", self.payload)
-        self.passed = handle.getValueState("passed", "open bigint")
+        self.waiting = handle.getListState("waiting", "packed binary")
+        self.open = handle.getListState("open", "slot bigint, first_seen bigint, after bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.payload.names
-        batch = pd.concat([r[names] for r in rows])
-        through = (batch["event"] == "data") & batch["kind"].isin(PASS_THROUGH)
-        at_once = batch[through]
-        if len(at_once):
-            yield self._out(at_once, at_once["arrival"], 0)
-        held = batch[~through]
-        if not len(held):
-            return
-        queue = {s: (f, e) for s, f, e in self.queue.get()}
-        seen = held.groupby("slot")["arrival"].min()
-        ended = held[held["event"] == "ended"].groupby("slot")["arrival"].min()
-        for slot, first in seen.sort_values().items():
-            queue.setdefault(slot, (int(first), None))
-        for slot, end in ended.items():
-            first, known = queue[slot]
-            queue[slot] = (first, int(end) if known is None else min(known, int(end)))
-        waiting = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=names)
-        pending = pd.concat([waiting, held]) if len(waiting) else held
-        highest = self.passed.get()[0] if self.passed.exists() else None
-        opened, blocked = {}, False
-        for slot, (first, end) in sorted(queue.items(), key=lambda x: x[1][0]):
-            if blocked:
-                break
-            opened[slot] = (first, highest)
-            blocked = end is None
-            if not blocked:
-                highest = end if highest is None else max(highest, end)
-                queue.pop(slot)
-        if highest is not None:
-            self.passed.update((highest,))
-        self._put(self.queue, [(int(s), f, e) for s, (f, e) in sorted(queue.items(), key=lambda x: x[1][0])])
+        batch, names = pd.concat(list(rows)), self.payload.names
+        opens, pending = batch[batch["opens"]], batch.loc[~batch["opens"], names]
+        known = {s: (f, a) for s, f, a in self.open.get()}
+        opened = known | {int(s): (int(f), int(a)) for s, f, a in opens[["slot", "first_seen", "after"]].itertuples(index=False)}
+        waiting = [_unpack(packed) for (packed,) in self.waiting.get()] if len(opens) else []
+        pending = pd.concat([*waiting, pending])
         free = pending["slot"].isin(opened)
         ready, rest = pending[free], pending[~free]
-        if len(ready) or len(waiting):
-            self._put(self.waiting, list(rest.astype(object).where(rest.notna(), None).itertuples(index=False, name=None)))
-        elif len(rest):
-            self.waiting.appendList(list(rest.astype(object).where(rest.notna(), None).itertuples(index=False, name=None)))
+        if waiting:
+            self.waiting.clear()
+        if len(rest):
+            self.waiting.appendValue((_pack(rest),))
+        ended = set(ready.loc[ready["event"] == "ended", "slot"].tolist())
+        left = {s: v for s, v in opened.items() if s not in ended}
+        if left:
+            self.open.put([(s, *v) for s, v in left.items()])
+        elif known:
+            self.open.clear()
         if len(ready):
-            after = ready["slot"].map(lambda s: -1 if opened[s][1] is None else opened[s][1])
-            yield self._out(ready, np.maximum(ready["arrival"], after), ready["slot"].map(lambda s: opened[s][0]))
-
-    def _out(self, rows: pd.DataFrame, emit, first_seen) -> pd.DataFrame:
-        return _frame(self.schema, {c: rows[c] for c in self.payload.names} | {"emit": emit, "first_seen": first_seen})
-
-    @staticmethod
-    def _put(state, rows: list) -> None:
-        if rows:
-            state.put(rows)
-        elif state.exists():
-            state.clear()
+            first, after = (ready["slot"].map({s: v[i] for s, v in opened.items()}) for i in (0, 1))
+            yield _frame(self.schema, {c: ready[c] for c in names} | {"emit": np.maximum(ready["arrival"], after), "first_seen": first})
 
     def close(self) -> None:
         pass
 
 
-def order_slots(arrivals: DataFrame, lane: str) -> DataFrame:
+#: Stands for an end that has not come, behind all arrivals.
+NEVER = (1 << 63) - 1
+#: Slots in one value of a lane's queue.
+SLOTS = 100_000
+
+
+def _slots_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for each lane and slot of a partition, with its first arrival and its end."""
+    found = pd.DataFrame()
+    for frame in frames:
+        found = pd.concat([found, frame]).groupby(list(frame.columns[:2]), as_index=False, dropna=False).min()
+    yield found
+
+
+def order_slots(arrivals: DataFrame, lane: str, width: int = 256) -> DataFrame:
     """``arrivals`` with emit and first_seen as in ``adapters.slot_sequential``, each row once its slot is open.
 
-    Rows of one ``lane`` have one order, and come in order of arrival from batch to batch. Rows behind a slot that has
-    not ended wait in state; no row of a slot comes after its end.
+    Rows of one ``lane`` have one order, and come in order of arrival from batch to batch. A lane's key sees one row for
+    each slot of a batch, says which slots are open, and has the slots that are not passed as state, packed. Rows
+    behind a slot that has not ended wait under keys of ``width`` slots, and are read again when one of them opens. No
+    row of a slot comes after its end. Rows without a slot are left out.
     """
     payload = StructType([f for f in arrivals.schema.fields if f.name != lane])
     schema = StructType([*payload.fields, StructField("emit", LongType()), StructField("first_seen", LongType())])
-    return arrivals.groupBy(lane).transformWithStateInPandas(SlotOrder(schema, payload), schema, "append", "none")
+    through = F.coalesce((F.col("event") == "data") & F.col("kind").isin(*PASS_THROUGH), F.lit(False))
+    held = arrivals.where(~through & F.col("slot").isNotNull())
+    key = arrivals.schema[lane]
+    ends = held.select(lane, "slot", F.col("arrival").alias("first_seen"), F.when(F.col("event") == "ended", F.col("arrival")).otherwise(F.lit(NEVER)).alias("ended_at"))
+    slots = ends.repartition(lane, "slot").mapInPandas(_slots_of, ends.schema)
+    found = StructType([key, arrivals.schema["slot"], StructField("first_seen", LongType()), StructField("after", LongType())])
+    opens = slots.groupBy(lane).transformWithStateInPandas(SlotQueue(found), found, "append", "none")
+    # no nulls in whole numbers: pandas would make them floats
+    blank = {f.name: F.lit(0 if isinstance(f.dataType, IntegralType) else None).cast(f.dataType) for f in payload.fields if f.name != "slot"}
+    nothing = F.lit(0).cast("long")
+    rows = held.withColumns({"opens": F.lit(False), "first_seen": nothing, "after": nothing}).unionByName(opens.withColumns({"opens": F.lit(True), **blank}))
+    ready = rows.withColumn("slots", F.expr(f"slot DIV {width}")).groupBy(lane, "slots").transformWithStateInPandas(SlotRows(schema, payload), schema, "append", "none")
+    passed = arrivals.where(through).select(*payload.names, F.col("arrival").cast("long").alias("emit"), F.lit(0).cast("long").alias("first_seen"))
+    return ready.unionByName(passed)
 
 
 # ---------------------------------------------------------------- blocks
