@@ -270,57 +270,77 @@ def order_slots(arrivals: DataFrame, lane: str, width: int = 256) -> DataFrame:
 
 # ---------------------------------------------------------------- blocks
 class BlockBuilder(StatefulProcessor):
-    """The updates of one slot until it ends; those of a slot that never does leave ``keep_ms`` of event time after its first."""
+    """The updates of a range of slots, each until it ends; those of a slot that never does leave ``keep_ms`` of event time after its first."""
+
+    SLICE = 10_000  # updates of one result batch, unless a block has more
 
     def __init__(self, schema: StructType, payload: StructType, keep_ms: int | None):
         self.schema, self.payload, self.keep_ms = schema, payload, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.updates = handle.getListState("updates", self.payload)
+        self.updates = handle.getMapState("updates", "slot bigint", "packed binary, until bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows))
-        ends = batch[batch["event"] == "ended"]
-        data = batch[(batch["event"] == "data") & (batch["kind"] != "slot_status")][self.payload.names]
-        new = list(data.astype(object).where(data.notna(), None).itertuples(index=False, name=None))
-        if not len(ends):
-            if new and self.keep_ms is not None and not self.updates.exists():
-                self.handle.registerTimer(int(batch["millis"].min()) + self.keep_ms)
-            if new:
-                self.updates.appendList(new)
-            return
-        arrival = self.payload.names.index("arrival")
-        block = sorted([*map(tuple, self.updates.get()), *new], key=lambda r: r[arrival])
-        self._leave()
-        yield _frame(self.schema, {"slot": [key[0]], "end_arrival": [int(ends["arrival"].min())], "updates": [[dict(zip(self.payload.names, r, strict=True)) for r in block]]})
+        ends = batch[batch["event"] == "ended"].groupby("slot")["arrival"].min()
+        data = batch.loc[(batch["event"] == "data") & (batch["kind"] != "slot_status"), ["slot", *self.payload.names]]
+        known = {slot: value for (slot,), value in self.updates.iterator()}
+        over = data["slot"].isin(ends.index)
+        self._keep(known, data[~over], batch)
+        parts = [data[over]]
+        for slot in [s for s in known if s in ends.index]:
+            parts.append(_unpack(known[slot][0]))
+            self.updates.removeKey((slot,))
+        yield from self._blocks(ends, pd.concat(parts).sort_values(["slot", "arrival"], kind="stable"))
+
+    def _keep(self, known: dict, data: pd.DataFrame, batch: pd.DataFrame) -> None:
+        for slot, rows in data.groupby("slot"):
+            slot, until = int(slot), 0
+            if slot in known:
+                rows, until = pd.concat([_unpack(known[slot][0]), rows]), known[slot][1]
+            elif self.keep_ms is not None:
+                until = int(batch.loc[batch["slot"] == slot, "millis"].min()) + self.keep_ms
+                self.handle.registerTimer(until)
+            self.updates.updateValue((slot,), (_pack(rows), until))
+
+    def _blocks(self, ends: pd.Series, data: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The blocks of the slots in ``ends``, some at a time; ``data`` is in their order."""
+        names = self.payload.names
+        at = [np.searchsorted(data["slot"].to_numpy(), ends.index.to_numpy(), side) for side in ("left", "right")]
+        slots, columns = [], (ends.index.tolist(), ends.tolist(), *at)
+        for slot, end, low, high in zip(*columns, strict=True):
+            slots.append((slot, end, low, high))
+            if high - slots[0][2] >= self.SLICE or slot == ends.index[-1]:
+                part = data.iloc[slots[0][2] : high][names].astype(object)
+                updates = part.where(part.notna(), None).to_dict("records")
+                yield _frame(self.schema, {"slot": [x[0] for x in slots], "end_arrival": [x[1] for x in slots], "updates": [updates[a - slots[0][2] : b - slots[0][2]] for _, _, a, b in slots]})
+                slots = []
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.updates.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        for slot in [slot for (slot,), (_, until) in self.updates.iterator() if until <= now]:
+            self.updates.removeKey((slot,))
         return iter([])
 
-    def _leave(self) -> None:
-        self.updates.clear()
-        if self.keep_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-
     def close(self) -> None:
         pass
 
 
-def stream_blocks(arrivals: DataFrame, time: str | None = None, delay: str = "1 hour", keep_ms: int = 3_600_000) -> DataFrame:
+def stream_blocks(arrivals: DataFrame, time: str | None = None, delay: str = "1 hour", keep_ms: int = 3_600_000, width: int = 64) -> DataFrame:
     """slot, end_arrival and the ordered updates of each slot as it ends, as in ``adapters.block_stream``.
 
     With a ``time`` column, slots that do not end are forgotten ``keep_ms`` after their first update; without one they
-    wait for ever. Rows that come after their slot's end begin a new block.
+    wait for ever. Rows that come after their slot's end begin a new block. ``width`` slots share a key; only those that
+    have not ended have state. Rows without a slot are left out.
     """
     payload = StructType([f for f in arrivals.schema.fields if f.name not in ("slot", "event", time)])
     schema = StructType([arrivals.schema["slot"], StructField("end_arrival", LongType()), StructField("updates", ArrayType(payload))])
+    keyed = arrivals.where("slot IS NOT NULL").withColumn("slots", F.expr(f"slot DIV {width}"))
     if time is None:
-        return arrivals.groupBy("slot").transformWithStateInPandas(BlockBuilder(schema, payload, None), schema, "append", "none")
-    timed = arrivals.withColumn("millis", F.unix_millis(time)).withWatermark(time, delay)
-    return timed.groupBy("slot").transformWithStateInPandas(BlockBuilder(schema, payload, keep_ms), schema, "append", "eventTime")
+        return keyed.groupBy("slots").transformWithStateInPandas(BlockBuilder(schema, payload, None), schema, "append", "none")
+    timed = keyed.withColumn("millis", F.unix_millis(time)).withWatermark(time, delay)
+    return timed.groupBy("slots").transformWithStateInPandas(BlockBuilder(schema, payload, keep_ms), schema, "append", "eventTime")
 
 
 # ---------------------------------------------------------------- rates

@@ -233,6 +233,16 @@ def test_rows_of_a_lane_wait_by_ranges_of_slots(spark):
     assert sorted(str([r[c] for c in columns]) for r in got) == sorted(str([r[c] for c in columns]) for r in batch) and len(got) == 18
 
 
+def test_blocks_of_ranges_of_slots(spark):
+    """Slots under one key: parts of blocks come in several batches, large blocks in several results, and each slot leaves by itself."""
+    rows = [(i, i % 3, "data", "entry") for i in range(24_000)]
+    batches = [rows[:5], [*rows[5:], (30_000, 1, "ended", None)], [(30_001, 2, "ended", None)]]
+    log = Log(spark, ARRIVALS)
+    got = log.run(lambda r: stateful.stream_blocks(r, width=1000), batches).collect()
+    assert {r.slot: (r.end_arrival, [u.arrival for u in r.updates]) for r in got} == {s: (29_999 + s, list(range(s, 24_000, 3))) for s in (1, 2)}
+    assert log.state_rows() == 1  # slot 0
+
+
 def test_retention_by_number_of_slots(spark):
     rng = random.Random(2)
     batches = [[(rng.randrange(200),) for _ in range(60)] for _ in range(4)] + [[(None,)]]
