@@ -100,7 +100,8 @@ def stream_late_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = td.shard_events(spark, sf_dir)
     finish = td.shard_finish(spark, sf_dir)
     late = (F.col("event") == "data") & (F.col("arrival") > F.coalesce("finish_arrival", F.col("arrival")))
-    marked = log.join(finish, ["slot", "shard_idx"], "left").withColumn("later", late).drop("finish_arrival")
+    log.join(finish, ["slot", "shard_idx"], "left").withColumn("later", late).drop("finish_arrival").write.parquet(marked := f"{shared_folder(spark)}/marked")
+    marked = spark.read.schema(log.schema.add("later", "boolean")).parquet(marked)  # made once, for both parts
     parts = [marked.where("NOT later").drop("later"), marked.where("later").drop("later")]
     found = _in_parts(spark, parts, lambda rows: stateful.mark_late(rows, delay="10000 days", keep_ms=10**12))
     return found.where("late").select("slot", F.col("shard_idx").cast("int").alias("shard_idx"), "kind", "arrival")

@@ -101,22 +101,28 @@ def _unpack(packed: bytes) -> pd.DataFrame:
 class ShardFinish(StatefulProcessor):
     """When the shards of a range of slots finished; each is forgotten ``keep_ms`` of event time after that, by a timer."""
 
+    COLUMNS = ["slot", "shard_idx", "finished", "until"]
+
     def __init__(self, schema: StructType, keep_ms: int):
         self.schema, self.keep_ms = schema, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.finishes = handle.getListState("finishes", "slot bigint, shard_idx bigint, finished bigint, until bigint")
+        self.finishes = handle.getValueState("finishes", "packed binary")
+
+    def _known(self) -> pd.DataFrame:
+        found = self.finishes.get()
+        return pd.DataFrame(columns=self.COLUMNS, dtype="int64") if found is None else _unpack(found[0])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
-        known = [tuple(r) for r in self.finishes.get()]
+        batch, table = pd.concat(list(rows)), self._known()
         ends = batch[batch["event"] == "finish"]
-        new = zip(ends["slot"].tolist(), ends["shard_idx"].tolist(), ends["arrival"].tolist(), (ends["millis"] + self.keep_ms).tolist(), strict=True)
-        table = pd.DataFrame([*known, *new], columns=["slot", "shard_idx", "finished", "until"], dtype="int64").groupby(["slot", "shard_idx"], as_index=False).min()
         if len(ends):
-            self.finishes.put(list(table.itertuples(index=False, name=None)))
-            if not known:
+            new = pd.DataFrame({"slot": ends["slot"], "shard_idx": ends["shard_idx"], "finished": ends["arrival"], "until": ends["millis"] + self.keep_ms}, dtype="int64")
+            first = not len(table)
+            table = pd.concat([table, new]).groupby(["slot", "shard_idx"], as_index=False).min()
+            self.finishes.update((_pack(table),))
+            if first:
                 self.handle.registerTimer(int(table["until"].min()))
         data = batch[batch["event"] == "data"]
         if len(data):
@@ -124,11 +130,11 @@ class ShardFinish(StatefulProcessor):
             yield _frame(self.schema, {c: data[c] for c in self.schema.names[:-1]} | {"late": data["arrival"].to_numpy() > finished})  # unknown: not late
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        left = [tuple(r) for r in self.finishes.get() if r[3] > now]
-        if left:
-            self.finishes.put(left)
-            self.handle.registerTimer(min(r[3] for r in left))
+        table = self._known()
+        left = table[table["until"] > timerValues.getCurrentWatermarkInMs()]
+        if len(left):
+            self.finishes.update((_pack(left),))
+            self.handle.registerTimer(int(left["until"].min()))
         else:
             self.finishes.clear()
         return iter([])

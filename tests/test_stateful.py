@@ -150,6 +150,14 @@ def test_slot_tracker_takes_ranges_of_slots(spark):
     assert log.state_rows() == 2  # slots 0 to 255, and 700 with 701
 
 
+def test_finishes_of_a_range_are_one_value(spark):
+    rows = [(s, 0, e, "entry" if e == "data" else None, a, datetime.datetime(2024, 1, 1)) for s in range(100) for e, a in (("finish", 2), ("data", 1 + s % 4))]
+    log = Log(spark, EVENTS)
+    got = log.run(lambda r: stateful.mark_late(r, keep_ms=10**9), [rows[:101], rows[101:]])
+    assert {r.slot: r.late for r in got.collect()} == {s: 1 + s % 4 > 2 for s in range(100)}
+    assert log.progress[-1]["stateOperators"][0]["customMetrics"]["numValueStateVars"] == 1
+
+
 def trace(text):
     """Arrivals of a golden trace: d data, s status, m block metadata, e the end of a slot."""
     kinds = {"d": ("data", "entry"), "s": ("data", "slot_status"), "m": ("data", "block_meta"), "e": ("ended", None)}
