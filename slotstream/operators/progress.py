@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,24 +21,38 @@ def settled(session: DataFrame) -> DataFrame:
     return session.groupBy("consumer", "log_offset").agg(F.coalesce(F.bool_or("processed"), F.lit(False)).alias("processed"))
 
 
+def _by_gap(session: DataFrame) -> DataFrame:
+    """``session`` with its group's first gap. The gaps, one row a group, are the hashed side: the session is neither sorted nor held."""
+    return session.join(first_gaps(session).hint("shuffle_hash"), "consumer")
+
+
+def _committable(rows: DataFrame) -> DataFrame:
+    """consumer, last (before the first gap), max_slot where there are slots, and blocked: one aggregation over ``_by_gap``."""
+    prefix = F.col("gap").isNull() | (F.col("log_offset") < F.col("gap"))
+    waiting = F.coalesce("processed", F.lit(False)) & (F.col("log_offset") > F.col("gap"))
+    slots = [F.max("slot").alias("max_slot")] if "slot" in rows.columns else []
+    return rows.groupBy("consumer").agg(F.max(F.when(prefix, F.col("log_offset"))).alias("last"), F.count_if(waiting).alias("blocked"), *slots)
+
+
 def committable_offsets(session: DataFrame, committed: DataFrame | None = None) -> DataFrame:
     """consumer, committable: the last offset before the first gap, or what was committed before (column committed).
 
     Two aggregations by group instead of a sequence number per row: no sort, and partial sums before the shuffle.
     """
-    gaps = first_gaps(session)
-    prefix = session.join(gaps, "consumer").where(F.col("gap").isNull() | (F.col("log_offset") < F.col("gap")))
-    last = prefix.groupBy("consumer").agg(F.max("log_offset").alias("last"))
-    out = gaps.join(last, "consumer", "left")
+    groups = first_gaps(session).select("consumer")  # rows without a group have no offset
+    out = groups.join(_committable(_by_gap(session)), "consumer", "left").select("consumer", "last")
     if committed is None:
         return out.select("consumer", F.col("last").alias("committable"))
-    return out.join(committed, "consumer", "left").select("consumer", F.coalesce(F.greatest("last", "committed"), "committed").alias("committable"))
+    return out.join(committed, "consumer", "left").select("consumer", _best().alias("committable"))
+
+
+def _best() -> Column:
+    return F.coalesce(F.greatest("last", "committed"), "committed")
 
 
 def blocked_acks(session: DataFrame) -> DataFrame:
     """Processed events that wait behind a gap, per group."""
-    waiting = F.coalesce("processed", F.lit(False)) & (F.col("log_offset") > F.col("gap"))
-    return session.join(first_gaps(session), "consumer").groupBy("consumer").agg(F.count_if(waiting).alias("blocked"))
+    return _committable(_by_gap(session)).select("consumer", "blocked")
 
 
 def apply_commits(committed: DataFrame, proposed: DataFrame) -> DataFrame:
@@ -51,5 +65,4 @@ def apply_commits(committed: DataFrame, proposed: DataFrame) -> DataFrame:
 
 def session_stats(session: DataFrame, committed: DataFrame) -> DataFrame:
     """One row per group: committed, committable, largest slot seen and number of blocked acknowledgements."""
-    slots = session.groupBy("consumer").agg(F.max("slot").alias("max_slot"))
-    return committed.join(committable_offsets(session, committed), "consumer").join(slots, "consumer").join(blocked_acks(session), "consumer").select("consumer", "committed", "committable", "max_slot", "blocked")
+    return committed.join(_committable(_by_gap(session)), "consumer").select("consumer", "committed", _best().alias("committable"), "max_slot", "blocked")

@@ -85,6 +85,21 @@ def test_committable(spark, events, committed, expected, blocked):
     assert (row.committed, row.committable, row.max_slot, row.blocked) == (committed, expected, 3, blocked)
 
 
+def test_sessions_are_joined_without_a_sort(spark):
+    """The gaps are hashed, so that a task's memory follows the number of groups; a group that is null has a row and no offset."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        session = spark.createDataFrame([(1, 1, 3, True), (1, 2, 4, None), (1, 3, 5, True), (None, 4, 5, True)], "consumer bigint, log_offset bigint, slot bigint, processed boolean")
+        acks = progress.blocked_acks(session)
+        plan = acks._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
+        assert [tuple(r) for r in acks.collect()] == [(1, 1)]
+        assert sorted(map(tuple, progress.committable_offsets(session).collect()), key=str) == [(1, 1), (None, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_commits_never_go_back(spark):
     old = spark.createDataFrame([(1, 5), (2, 5)], "consumer bigint, committed bigint")
     new = spark.createDataFrame([(1, 4), (2, 9), (3, 1)], "consumer bigint, committable bigint")
