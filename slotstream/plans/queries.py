@@ -40,12 +40,13 @@ _TABLES = {
     "complete": "SELECT slot, complete_arrival FROM progress WHERE complete",
     "raw_arrivals": "SELECT log_offset * 2 AS arrival, slot, 'data' AS event, CASE commitment WHEN 2 THEN 'slot_status' WHEN 1 THEN 'block_meta' ELSE 'entry' END AS kind FROM history",
     "arrivals": "SELECT * FROM raw_arrivals UNION ALL SELECT max(arrival) + 1, slot, 'ended', NULL FROM raw_arrivals WHERE slot % 1050 <> 1040 GROUP BY slot",
+    "ended_arrivals": "SELECT * FROM raw_arrivals UNION ALL SELECT max(arrival) + 1, slot, 'ended', NULL FROM raw_arrivals GROUP BY slot",
     "gaps": "SELECT consumer, min(log_offset) FILTER (NOT processed) AS gap FROM session GROUP BY consumer",
     "committable": "SELECT g.consumer, max(s.log_offset) AS committable FROM gaps g LEFT JOIN session s ON s.consumer = g.consumer AND (g.gap IS NULL OR s.log_offset < g.gap) GROUP BY g.consumer",
 }
 _NEEDS = {
     "finish": ["updates"], "shards": ["updates"], "tx": ["updates"], "acct": ["updates"], "progress": ["updates", "finish", "shards"], "complete": ["updates", "finish", "shards", "progress"],
-    "raw_arrivals": ["history"], "arrivals": ["history", "raw_arrivals"], "gaps": ["session"], "committable": ["session", "gaps"],
+    "raw_arrivals": ["history"], "arrivals": ["history", "raw_arrivals"], "ended_arrivals": ["history", "raw_arrivals"], "gaps": ["session"], "committable": ["session", "gaps"],
 }
 
 

@@ -59,8 +59,8 @@ def stream_block_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("tick").agg(F.max_by("blocks", "batch_id").alias("blocks"))
 
 
-def _in_parts(spark: SparkSession, parts: list[DataFrame], job: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
-    """What a stateful job makes of a log that grows part by part, stopped and started again in between."""
+def _in_parts(spark: SparkSession, parts: list[DataFrame], job: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None, files: int = 100) -> DataFrame:
+    """What a stateful job makes of a log that grows part by part, stopped and started again in between; ``files`` make a batch."""
     jobs.use_rocksdb(spark)
     out = shared_folder(spark)
     schemas = []
@@ -71,7 +71,7 @@ def _in_parts(spark: SparkSession, parts: list[DataFrame], job: Callable[[DataFr
         writer = made.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
         (writer.foreachBatch(each) if each else writer.format("parquet").option("path", f"{out}/data")).start().awaitTermination()
 
-    _runs(spark, f"{out}/log", parts, run)
+    _runs(spark, f"{out}/log", parts, run, files)
     return spark.read.schema(schemas[0]).parquet(f"{out}/data") if each is None else spark.createDataFrame([], schemas[0])
 
 
@@ -108,8 +108,12 @@ def stream_late_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_slot_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slot-sequential order of one lane, while the log grows."""
-    return _in_parts(spark, _thirds(td.arrivals(spark, sf_dir).withColumn("lane", F.lit(0)), "arrival"), lambda rows: stateful.order_slots(rows, "lane"))
+    """Slot-sequential order of one lane, while the log grows. Every slot ends: behind one that does not, a lane stands still.
+
+    A part is one batch, however many files it has: its files are not in order of arrival, batches have to be.
+    """
+    parts = _thirds(td.arrivals(spark, sf_dir, all_end=True).withColumn("lane", F.lit(0)), "arrival")
+    return _in_parts(spark, parts, lambda rows: stateful.order_slots(rows, "lane"), files=(1 << 31) - 1)
 
 
 def stream_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,11 +171,11 @@ def _growing(spark: SparkSession, sf_dir: str, early: str) -> tuple[str, list[Da
     return f"{shared_folder(spark)}/log", [history.where(early), history.where(f"NOT ({early})")]
 
 
-def _runs(spark: SparkSession, log: str, parts: list[DataFrame], run: Callable[[DataFrame, int], None]) -> None:
+def _runs(spark: SparkSession, log: str, parts: list[DataFrame], run: Callable[[DataFrame, int], None], files: int = 100) -> None:
     """Append a part to the log, start the job, let it stop, and the same again with the next part."""
     for i, part in enumerate(parts):
         part.write.mode("append").parquet(log)
-        run(tables.stream_table(spark, log, part.schema), i)
+        run(tables.stream_table(spark, log, part.schema, files), i)
 
 
 def stream_commit_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,12 +237,12 @@ SQL = {
     "stream_commit_late": "SELECT consumer, max(log_offset) AS committable FROM (SELECT s.*, min(log_offset) FILTER (NOT done) OVER (PARTITION BY consumer) AS gap FROM (SELECT *, processed OR log_offset % 3 = 0 AS done FROM session) s) WHERE gap IS NULL OR log_offset < gap GROUP BY consumer",
     "stream_late_after_finish": "SELECT slot, CAST(shard_idx AS INTEGER) AS shard_idx, kind, arrival FROM updates JOIN finish USING (slot, shard_idx) WHERE arrival > finish_arrival",
     "stream_slot_sequential": """SELECT a.arrival, a.slot, a.event, a.kind, greatest(a.arrival, coalesce(s.open, a.arrival)) AS emit, s.first_seen
-  FROM arrivals a JOIN (
+  FROM ended_arrivals a JOIN (
     SELECT slot, first_seen, row_number() OVER (ORDER BY first_seen) AS n, CASE WHEN bool_and("end" IS NOT NULL) OVER w THEN max("end") OVER w END AS open
-    FROM (SELECT slot, min(arrival) AS first_seen, min(arrival) FILTER (event = 'ended') AS "end" FROM arrivals WHERE event = 'ended' OR kind NOT IN ('slot_status', 'block_meta') GROUP BY slot)
+    FROM (SELECT slot, min(arrival) AS first_seen, min(arrival) FILTER (event = 'ended') AS "end" FROM ended_arrivals WHERE event = 'ended' OR kind NOT IN ('slot_status', 'block_meta') GROUP BY slot)
     WINDOW w AS (ORDER BY first_seen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) s USING (slot)
   WHERE (a.event = 'ended' OR a.kind NOT IN ('slot_status', 'block_meta')) AND (s.n = 1 OR s.open IS NOT NULL)
-  UNION ALL SELECT arrival, slot, event, kind, arrival, 0 FROM arrivals WHERE event = 'data' AND kind IN ('slot_status', 'block_meta')""",
+  UNION ALL SELECT arrival, slot, event, kind, arrival, 0 FROM ended_arrivals WHERE event = 'data' AND kind IN ('slot_status', 'block_meta')""",
     "stream_blocks": "SELECT e.slot, e.arrival AS end_arrival, count(d.arrival) AS updates, min(d.arrival) AS first_arrival FROM arrivals e LEFT JOIN arrivals d ON d.slot = e.slot AND d.event = 'data' AND d.kind <> 'slot_status' WHERE e.event = 'ended' GROUP BY e.slot, e.arrival",
     "stream_retention": "SELECT slot FROM history GROUP BY slot ORDER BY slot DESC LIMIT 500",
     "stream_slot_tracker": "SELECT slot, commitment, min(log_offset) AS log_offset FROM history WHERE slot IN (SELECT slot FROM history GROUP BY slot HAVING count(DISTINCT log_offset % 4) = 4) GROUP BY slot, commitment",

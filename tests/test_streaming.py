@@ -2,14 +2,16 @@
 
 import tempfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from slotstream.operators import adapters, dedup, progress, stats
+from slotstream.plans import queries
 from slotstream.sources import sinks, tables
 from slotstream.sources import testdata as td
 from slotstream.streaming import jobs, stateful
-from tests.compare import SF
+from tests.compare import SF, same
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +102,25 @@ def test_text_sinks(spark):
     sinks.write_lines(spark.createDataFrame([(1, "x")], "slot int, value string"), f"{path}/lines")
     sinks.write_signatures(spark.createDataFrame([(1, "s")], "slot int, signature string"), f"{path}/sigs")
     assert [r.value for r in spark.read.text(f"{path}/lines").collect() + spark.read.text(f"{path}/sigs").collect()] == ["x", "1,s"]
+
+
+@pytest.mark.parametrize("files", [1, 120])
+def test_slot_order_of_a_whole_log(spark, files):
+    """Rows behind slot 1040 come out too, also where a part of the log has more files than a batch usually takes."""
+    path = tempfile.mkdtemp(prefix="spark-")
+    rows = [(9000 + 7 * i, (140 + 37 * i) % 150, "purchase" if i % 5 == 1 else "error" if i % 5 == 2 else "view", i % files) for i in range(400)]
+    events = spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, file int").selectExpr("*", "TIMESTAMP'2024-01-01' AS ts", "2.0D AS value")
+    events.repartitionByRange(files, "file").drop("file").write.parquet(f"{path}/events.parquet")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "4k" if files > 1 else before[k])
+        got = queries.QUERIES["stream_slot_sequential"](spark, path)
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet/*.parquet'")
+        same(got, con, queries.ORACLE_SQL["stream_slot_sequential"])
+        slots = {(150 * (r[0] // 1500)) + r[1] for r in rows}
+        assert 1040 in slots and got.count() == len(rows) + len(slots)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
